@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The pipeline is a bounded full refresh, run once a day over everything found.
+Nothing in it has watermarks, event-time windows or late data, so there is no
+streaming surface to build.
+"""
