@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from leafmill.functions.text import BLANKS
+
 
 def json_path(field: str) -> str:
     quote = '"' if "'" in field else "'"
@@ -26,8 +28,9 @@ def whole_json(text: Column) -> Column:
     return F.when(complete, F.try_variant_get(pair, "$[0]", "variant"))
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT<")), F.lit(False))
+def object_json(text: Column) -> Column:
+    """Parse a text that must be exactly one JSON object; NULL otherwise."""
+    return F.when(F.startswith(F.ltrim(text, F.lit(BLANKS)), F.lit("{")), whole_json(text))
 
 
 def string_field(answer: Column, field: str) -> Column:
