@@ -17,9 +17,16 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, r"(?s)(?<=.)\.[^.]+\z", "")
 
 
+def has_text(content: Column) -> Column:
+    """False for NULL and ''; blanks count as text."""
+    return F.coalesce(content != "", F.lit(False))
+
+
 def iso_text(ts: Column) -> Column:
-    """ISO form of a timestamp: no zone, and no fraction when it is zero."""
-    return F.translate(ts.cast("string"), " ", "T")
+    """ISO form of a timestamp: no zone, six fraction digits or, when all are zero, none."""
+    shown = F.translate(ts.cast("string"), " ", "T")
+    whole_digits = len("2000-01-01T00:00:00.000000")
+    return F.when(F.contains(shown, F.lit(".")), F.rpad(shown, whole_digits, "0")).otherwise(shown)
 
 
 def percent_text(part: Column, whole: Column) -> Column:

@@ -8,8 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leafmill.functions.answers import json_path, object_json, rule_answer, type_problem
+from leafmill.functions.text import has_text
 from leafmill.schemas import ANSWER, PROMPT_MESSAGES, restrict_struct
 
+EMPTY = "empty content"
+
 Extractor = Callable[[list[dict[str, str]]], str]
 
 
@@ -18,8 +21,8 @@ def filter_empty(df: DataFrame, content: str = "content") -> tuple[DataFrame, Da
 
     Text of blanks only counts as text.
     """
-    has_text = F.coalesce(F.col(content) != "", F.lit(False))
-    return df.where(has_text), df.where(~has_text).withColumn("error", F.lit("empty content"))
+    kept = has_text(F.col(content))
+    return df.where(kept), df.where(~kept).withColumn("error", F.lit(EMPTY))
 
 
 def render_prompts(
@@ -31,7 +34,8 @@ def render_prompts(
     """Add ``messages``, the chat messages with ``{text}`` filled in the user's ones.
 
     The marker is replaced literally and once through, so markers inside a document
-    stay. ``{url}`` stays too unless a column for it is named.
+    stay. ``{url}`` stays too unless a column for it is named. A document without text
+    has no messages (NULL).
     """
     rendered = []
     for message in messages:
@@ -42,7 +46,7 @@ def render_prompts(
                 body = F.replace(body, F.lit("{url}"), F.col(url))
             body = F.replace(body, F.lit("{text}"), F.col(content))
         rendered.append(F.struct(F.lit(message["role"]).alias("role"), body.alias("content")))
-    return df.withColumn("messages", F.array(*rendered))
+    return df.withColumn("messages", F.when(has_text(F.col(content)), F.array(*rendered)))
 
 
 def project_fields(
@@ -72,18 +76,20 @@ def run_extractor(
 
     Give ``extractor``, a function from a document's ``messages`` to answer text, or
     ``setup``, which builds one and is called once per partition (to open a client or
-    load a model there). A call that raises sets ``error`` for its document only.
+    load a model there). A call that raises sets ``error`` for its document only, and
+    a document without text is refused without a call.
     ``partitions`` spreads the calls wider than the input was. Answers are costly:
     write the result before using it twice.
 
     With neither, the fixed rules of ``rule_answer`` run as plain expressions.
     """
     if extractor is None and setup is None:
+        usable = has_text(F.col(content))
         return df.select(
             id_col,
             *carry,
-            rule_answer(F.col(content)).alias("response"),
-            F.lit(None).cast("string").alias("error"),
+            F.when(usable, rule_answer(F.col(content))).alias("response"),
+            F.when(~usable, F.lit(EMPTY)).alias("error"),
         )
     asked = df.select(id_col, *carry, "messages")
     if partitions:
@@ -105,7 +111,9 @@ def run_extractor(
             for messages in batch["messages"]:
                 response, error = None, None
                 try:
-                    response = ask([dict(message) for message in messages])
+                    if messages is None:
+                        raise ValueError(EMPTY)
+                    response = ask([{"role": m["role"], "content": m["content"]} for m in messages])
                 except Exception as problem:  # one bad document must not stop the others
                     error = f"{type(problem).__name__}: {problem}"
                 responses.append(response)

@@ -1,11 +1,13 @@
 """Folder scans.
 
 Any URI that Hadoop knows works (``file:``, ``s3a:``, ``hdfs:`` ...). Spark skips
-names that start with ``.`` or ``_``, and the suffix is matched case-sensitively.
+names that start with ``.`` or ``_`` and files of zero bytes, and the suffix is matched
+case-sensitively.
 """
 
 from __future__ import annotations
 
+import posixpath
 import re
 
 from pyspark.errors import AnalysisException
@@ -15,6 +17,9 @@ from leafmill.functions.text import file_name
 from leafmill.schemas import FILES, LISTING
 
 
+SCHEME_AND_HOST = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def _suffix_glob(suffix: str) -> str:
     return "*" + re.sub(r"([\\*?\[\]{}])", r"\\\1", suffix)
 
@@ -49,10 +54,12 @@ def list_files(
     folder itself are listed.
     """
     files = _binary_files(spark, path, suffix)
-    below = F.regexp_replace(F.col("path"), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    base = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/")
+    base = posixpath.normpath(re.sub(SCHEME_AND_HOST, "", path))
+    if not base.startswith("/"):
+        raise ValueError(f"not an absolute path or URI: {path}")
+    below = F.regexp_replace(F.col("path"), SCHEME_AND_HOST, "")
     listed = files.select(
-        F.substring(below, F.lit(len(base) + 2), F.length("path")).alias("name"),
+        F.substring(below, F.lit(len(base.rstrip("/")) + 2), F.length("path")).alias("name"),
         "path",
         "length",
         "modificationTime",
