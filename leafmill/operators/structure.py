@@ -110,12 +110,15 @@ def run_extractor(
             responses, errors = [], []
             for messages in batch["messages"]:
                 response, error = None, None
-                try:
-                    if messages is None:
-                        raise ValueError(EMPTY)
-                    response = ask([{"role": m["role"], "content": m["content"]} for m in messages])
-                except Exception as problem:  # one bad document must not stop the others
-                    error = f"{type(problem).__name__}: {problem}"
+                if messages is None:
+                    error = EMPTY
+                else:
+                    try:
+                        response = ask(
+                            [{"role": m["role"], "content": m["content"]} for m in messages]
+                        )
+                    except Exception as problem:  # one bad document must not stop the others
+                        error = f"{type(problem).__name__}: {problem}"
                 responses.append(response)
                 errors.append(error)
             out = batch[names].copy()
