@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable
 
@@ -35,6 +36,7 @@ from leafmill.operators.metrics import (
     structured_metrics,
 )
 from leafmill.operators.query import run_query, table_exists
+from leafmill.operators.shaping import spread
 from leafmill.operators.structure import (
     filter_empty,
     keep_last,
@@ -66,6 +68,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over all cores, for costly work on each text."""
+    return spread(_table(spark, sf_dir, "documents"), "doc_id")
+
+
 def _loadable(documents: DataFrame, date: Column) -> DataFrame:
     """Flat records of ``documents``, extracted by rule and parsed, with language and metadata."""
     kept, _ = filter_empty(documents, content="text")
@@ -96,9 +103,10 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- Sources and sinks ------------------------------------------------------------
 
 
+@functools.cache
 def _pages_as_files(spark: SparkSession, sf_dir: str) -> str:
-    """The pages as one text file each, in a new shared folder."""
-    pages = _table(spark, sf_dir, "pages").select("html")
+    """The pages as one text file each, in a shared folder written once per session."""
+    pages = spread(_table(spark, sf_dir, "pages"), "page_id").select("html")
     return write_dataset(pages, shared_dir(spark, "pages"), "text", maxRecordsPerFile="1")
 
 
@@ -133,7 +141,7 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structured_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").select(
+    documents = _spread_documents(spark, sf_dir).select(
         F.concat("source", F.lit("."), "lang", F.lit(".pdf")).alias("filename"),
         F.col("doc_id").alias("path"),
         "text",
@@ -271,7 +279,7 @@ def requested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_extractor(
-        _table(spark, sf_dir, "documents"), id_col="doc_id", content="text"
+        _spread_documents(spark, sf_dir), id_col="doc_id", content="text"
     ).select("doc_id", "response")
 
 
@@ -419,13 +427,13 @@ def aligned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_and_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage 2 by rule, stage 3 into a real table, then SQL over it."""
-    records = _loadable(_table(spark, sf_dir, "documents"), F.lit(FIXED_DATE))
+    records = _loadable(_spread_documents(spark, sf_dir), F.lit(FIXED_DATE))
     load_table(records, "loaded_documents", WITH_LANG, shared_dir(spark, "loaded"))
     return run_query(spark, KEYWORD_REPORT.format(table="loaded_documents"))
 
 
 def loaded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _loadable(_table(spark, sf_dir, "documents"), F.lit(FIXED_DATE))
+    records = _loadable(_spread_documents(spark, sf_dir), F.lit(FIXED_DATE))
     load_table(records, "loaded_records", WITH_LANG, shared_dir(spark, "loaded"))
     return spark.table("loaded_records")
 

@@ -12,25 +12,25 @@ def json_path(field: str) -> str:
     return f"$[{quote}{field}{quote}]"
 
 
-def whole_json(text: Column) -> Column:
-    """Parse a text that must be exactly one JSON value; NULL otherwise.
+def marked_json(text: Column) -> Column:
+    """Parse a text together with a mark that shows whether all of it was read.
 
-    The parser stops after the first complete value, so text behind it would go
+    The JSON parser stops after the first complete value, so text behind it would go
     unnoticed. The text is therefore parsed as the first item of a two-item list
     whose second item is a hash of the text: anything that closes the value early
     loses the hash or moves it to another place.
     """
-    mark = F.xxhash64(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    complete = (F.try_variant_get(pair, "$[1]", "bigint") == mark) & (
-        F.try_variant_get(pair, "$[2]", "variant").isNull()
-    )
-    return F.when(complete, F.try_variant_get(pair, "$[0]", "variant"))
+    mark = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
 
 
-def object_json(text: Column) -> Column:
-    """Parse a text that must be exactly one JSON object; NULL otherwise."""
-    return F.when(F.startswith(F.ltrim(text, F.lit(BLANKS)), F.lit("{")), whole_json(text))
+def object_json(text: Column, marked: Column) -> Column:
+    """The value of ``marked_json`` if the text was exactly one JSON object; NULL otherwise."""
+    complete = (F.try_variant_get(marked, "$[1]", "bigint") == F.xxhash64(text)) & (
+        F.try_variant_get(marked, "$[2]", "variant").isNull()
+    )
+    braced = F.startswith(F.ltrim(text, F.lit(BLANKS)), F.lit("{"))
+    return F.when(braced & complete, F.try_variant_get(marked, "$[0]", "variant"))
 
 
 def string_field(answer: Column, field: str) -> Column:
@@ -91,14 +91,16 @@ def rule_answer(content: Column) -> Column:
     alphabetical order. The other fields are present and empty.
     """
     words = F.array_distinct(F.regexp_extract_all(content, F.lit("[A-Za-z]{5,}"), F.lit(0)))
-    ranked = F.array_sort(F.transform(words, lambda w: F.struct(-F.length(w), w.alias("word"))))
+    ranked = F.sort_array(F.transform(words, lambda w: F.struct(-F.length(w), w.alias("word"))))
     keywords = F.transform(F.slice(ranked, 1, 5), lambda r: r["word"])
     none = F.array().cast("array<string>")
     return F.to_json(
         F.struct(
-            F.split_part(content, F.lit("\n"), F.lit(1)).alias("title"),
+            F.substring_index(content, "\n", 1).alias("title"),
             none.alias("authors"),
-            F.split_part(content, F.lit("\n"), F.lit(2)).alias("abstract"),
+            F.split_part(
+                F.substring_index(content, "\n", 2), F.lit("\n"), F.lit(2)
+            ).alias("abstract"),
             keywords.alias("keywords"),
             F.lit("").alias("methodology"),
             none.alias("key_findings"),

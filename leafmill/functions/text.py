@@ -30,9 +30,24 @@ def iso_text(ts: Column) -> Column:
 
 
 def percent_text(part: Column, whole: Column) -> Column:
-    """``part / whole`` as a percentage with two decimals; NULL when ``whole`` is zero."""
+    """``part / whole`` as a percentage with two decimals; NULL when ``whole`` is zero.
+
+    Rounds the exact value of the double, ties to even. Formatting functions round its
+    shortest decimal form instead, which shows 1 / 4000 as 0.02% rather than 0.03%.
+    """
     share = F.try_divide(part.cast("double"), whole.cast("double")) * 100
-    return F.when(share.isNotNull(), F.format_string("%.2f%%", F.bround(share, 2)))
+    halves = F.rint(share * 200)
+    # 200 is split into powers of two so that no step rounds.
+    beyond = (share * 128 - halves) + share * 64 + share * 8
+    below = F.floor(halves / 2)
+    hundredths = (
+        F.when(F.pmod(halves, F.lit(2.0)) == 0, below)
+        .when(beyond > 0, below + 1)
+        .when(beyond < 0, below)
+        .otherwise(below + F.pmod(below, F.lit(2)))
+    )
+    shown = F.format_string("%d.%02d%%", F.floor(hundredths / 100), F.pmod(hundredths, F.lit(100)))
+    return F.when(share.isNotNull(), shown)
 
 
 def line_elements(text: Column) -> Column:

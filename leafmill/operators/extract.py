@@ -17,6 +17,9 @@ from leafmill.functions.text import (
 
 Parser = Callable[[bytes], Iterable[object]]
 
+# Text a parser worker gathers before handing it on.
+HELD_CHARS = 16_000_000
+
 BUILT_IN = {"lines": line_elements, "markup": markup_elements}
 
 
@@ -61,14 +64,20 @@ def _parse_in_python(files: DataFrame, parser: Parser, key: str, content: str) -
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows, held = [], 0
             for name, data in zip(batch[key], batch[content]):
                 elements, error = None, None
                 try:
                     elements = [str(element) for element in parser(data)]
+                    held += sum(map(len, elements))
                 except Exception as problem:  # one bad file must not stop the others
                     error = f"{type(problem).__name__}: {problem}"
-                # One frame per file keeps a worker's memory at one document.
-                yield pd.DataFrame({key: [name], "elements": [elements], "error": [error]})
+                rows.append((name, elements, error))
+                if held > HELD_CHARS:
+                    yield pd.DataFrame(rows, columns=schema.names)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=schema.names)
 
     return files.mapInPandas(parse, schema)
 

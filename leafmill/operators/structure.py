@@ -7,8 +7,15 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from leafmill.functions.answers import json_path, object_json, rule_answer, type_problem
+from leafmill.functions.answers import (
+    json_path,
+    marked_json,
+    object_json,
+    rule_answer,
+    type_problem,
+)
 from leafmill.functions.text import has_text
+from leafmill.operators.shaping import once
 from leafmill.schemas import ANSWER, PROMPT_MESSAGES, restrict_struct
 
 EMPTY = "empty content"
@@ -85,11 +92,9 @@ def run_extractor(
     """
     if extractor is None and setup is None:
         usable = has_text(F.col(content))
-        return df.select(
-            id_col,
-            *carry,
-            F.when(usable, rule_answer(F.col(content))).alias("response"),
-            F.when(~usable, F.lit(EMPTY)).alias("error"),
+        answers = once(df, response=F.when(usable, rule_answer(F.col(content))))
+        return answers.select(
+            id_col, *carry, "response", F.when(~usable, F.lit(EMPTY)).alias("error")
         )
     asked = df.select(id_col, *carry, "messages")
     if partitions:
@@ -140,12 +145,13 @@ def parse_responses(
     """
     text = F.col(response)
     earlier = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    parsed = df.withColumn("answer", object_json(text)).withColumn(
+    marked = once(df, _marked=marked_json(text))
+    parsed = once(marked, answer=object_json(text, F.col("_marked"))).withColumn(
         "error",
         F.when(earlier.isNotNull(), earlier)
         .when(text.isNull(), F.lit("no response"))
         .when(F.col("answer").isNull(), F.lit("not a JSON object")),
-    )
+    ).drop("_marked")
     if schema is None:
         return parsed
     return parsed.withColumn(

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("leafmill-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8")

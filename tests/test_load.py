@@ -1,0 +1,93 @@
+"""Stage 3 and the query surface."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from leafmill.operators.load import (
+    align_to_schema,
+    append_records,
+    load_table,
+    recreate_table,
+)
+from leafmill.operators.metrics import load_metrics
+from leafmill.operators.query import fetch_records, iter_records, run_query, table_exists
+from leafmill.schemas import TABLE_COLUMNS
+
+
+def test_recreate_table(spark):
+    recreate_table(spark, "made")
+    table = spark.table("made")
+    assert table.columns == list(TABLE_COLUMNS)
+    assert dict(table.dtypes)["report_year"] == "int"
+    assert {t for n, t in table.dtypes if n != "report_year"} == {"string"}
+    assert append_records(spark.createDataFrame([("a",)], "title string"), "made") == 1
+    recreate_table(spark, "made", {"n": "HUGEINT", "t": "TIMESTAMP"})
+    assert spark.table("made").dtypes == [("n", "decimal(38,0)"), ("t", "timestamp")]
+    assert spark.table("made").count() == 0
+
+
+def test_append(spark):
+    recreate_table(spark, "grown", {"a": "VARCHAR", "n": "INTEGER"})
+    one = spark.createDataFrame([(1, "x", "surplus")], "n bigint, a string, z string")
+    assert append_records(one, "grown") == 1
+    assert append_records(one.select("a").limit(0), "grown") == 0
+    assert append_records(one.select("a").unionAll(one.select("a")), "grown") == 2
+    assert sorted(map(tuple, spark.table("grown").collect()), key=str) == [
+        ("x", 1),
+        ("x", None),
+        ("x", None),
+    ]
+
+
+def test_align(spark):
+    df = spark.sql("SELECT '7' AS n, array('a', null) AS l, parse_json('{\"b\":1}') AS v, 1 AS s")
+    row = align_to_schema(df, {"v": "JSON", "new": "INTEGER", "l": "JSON", "n": "INTEGER"})
+    assert row.columns == ["v", "new", "l", "n"]
+    assert tuple(row.first()) == ('{"b":1}', None, '["a",null]', 7)
+    bad = spark.sql("SELECT 'seven' AS n")
+    assert align_to_schema(bad, {"n": "INTEGER"}, strict=False).first()["n"] is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        align_to_schema(bad, {"n": "INTEGER"}).collect()
+
+
+@pytest.mark.parametrize("placed", [True, False])
+def test_load_replaces_rows_and_columns(spark, tmp_path, placed):
+    name = f"loaded_{placed}".lower()
+    place = str(tmp_path / "t") if placed else None
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    done = load_table(first, name, {"k": "TEXT", "n": "INTEGER"}, place)
+    assert done == {"rows_inserted": 2, "table_name": name}
+    before = spark.table(name)
+
+    # A record that cannot be loaded leaves the table as it was.
+    bad = spark.createDataFrame([("c", "many")], "k string, n string")
+    with pytest.raises(Exception):
+        load_table(bad, name, {"k": "TEXT", "n": "INTEGER"}, place)
+    assert spark.table(name).count() == 2
+
+    # The table can be replaced by something made from itself.
+    doubled = before.select("k", (F.col("n") * 2).alias("twice"))
+    assert load_table(doubled, name, {"twice": "BIGINT"}, place)["rows_inserted"] == 2
+    assert sorted(r["twice"] for r in spark.table(name).collect()) == [2, 4]
+    assert load_metrics(spark.table(name), name).first().asDict() == done
+    assert load_table(first.limit(0), name, {"k": "TEXT"}, place)["rows_inserted"] == 0
+    assert spark.table(name).count() == 0 and table_exists(spark, name)
+
+
+def test_queries(spark):
+    spark.range(5).createOrReplaceTempView("five")
+    assert run_query(spark, "SELECT * FROM five WHERE id > ? AND id < ?", [1, 4]).count() == 2
+    assert fetch_records(spark, "SELECT id FROM five WHERE id = :n", {"n": 3}) == [{"id": 3}]
+    assert fetch_records(spark, "SELECT 1 AS a, 2 AS a") == [{"a": 2}]
+    assert fetch_records(spark, "SELECT * FROM five WHERE id > 9", []) == []
+    assert fetch_records(spark, "DROP TABLE IF EXISTS nothing_here") == []
+    assert len(fetch_records(spark, "SELECT * FROM five", max_rows=5)) == 5
+    with pytest.raises(ValueError, match="more than 4 rows"):
+        fetch_records(spark, "SELECT * FROM five", max_rows=4)
+    assert sorted(r["id"] for r in iter_records(spark, "SELECT * FROM five")) == [0, 1, 2, 3, 4]
+
+
+def test_table_exists(spark):
+    assert not table_exists(spark, "surely_not")
+    recreate_table(spark, "surely", {"a": "TEXT"})
+    assert table_exists(spark, "surely") and table_exists(spark, "SURELY")
