@@ -19,6 +19,7 @@ from leafmill.operators.extract import (
     assign_ids,
     explode_elements,
     extract_elements,
+    highest_position,
     join_elements,
     split_failures,
 )
@@ -163,7 +164,8 @@ def structured_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assemble_text(_table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    turns = _table(spark, sf_dir, "conversations")
+    return assemble_text(turns, "conv_id", "turn", max_seq=highest_position(turns, "turn"))
 
 
 def split_rejoin(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,19 +119,33 @@ def assemble_text(
     text: str = "text",
     *,
     run_length: int = 4096,
+    max_seq: int | None = None,
 ) -> DataFrame:
     """Join each document's elements, in order, by newline: ``(key, content)``.
 
-    Positions are whole numbers, unique within a document. Runs are joined first, so
-    the last step only puts together as many values as the document has runs. A
+    Positions are whole numbers from 0, unique within a document. Runs are joined first,
+    so the last step only puts together as many values as the document has runs. A
     document without elements gets ''.
+
+    ``max_seq`` is the highest position in all of ``elements``, where that is known (see
+    ``highest_position``). If it lies within one run no document can be large, and one
+    step with one shuffle does.
     """
-    runs = assemble_runs(elements, key, seq, text, run_length=run_length)
-    return runs.groupBy(key).agg(
-        F.coalesce(_ordered_join("text", "run"), F.lit("")).alias("content")
+    if max_seq is not None and max_seq < run_length:
+        rows, text, order = elements, text, seq
+    else:
+        rows = assemble_runs(elements, key, seq, text, run_length=run_length)
+        text, order = "text", "run"
+    return rows.groupBy(key).agg(
+        F.coalesce(_ordered_join(text, order), F.lit("")).alias("content")
     )
 
 
+def highest_position(elements: DataFrame, seq: str) -> int:
+    """Highest position in stored elements: a job over one column; -1 without elements."""
+    return elements.agg(F.coalesce(F.max(seq), F.lit(-1))).first()[0]
+
+
 def _ordered_join(text: str, order: str) -> Column:
     return F.expr(f"listagg(`{text}`, '\\n') WITHIN GROUP (ORDER BY `{order}`)")
 

@@ -1,10 +1,16 @@
-"""Two helpers about where work happens, not what is computed."""
+"""Helpers about where and when work happens, not what is computed."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it back, which cuts its lineage and settles its size."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add (or replace) columns that are costly and used several times later.
 

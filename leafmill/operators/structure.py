@@ -15,8 +15,9 @@ from leafmill.functions.answers import (
     type_problem,
 )
 from leafmill.functions.text import has_text
-from leafmill.operators.shaping import once
+from leafmill.operators.shaping import once, stored
 from leafmill.schemas import ANSWER, PROMPT_MESSAGES, restrict_struct
+from leafmill.settings import shared_dir
 
 EMPTY = "empty content"
 
@@ -202,17 +203,26 @@ def keep_last(df: DataFrame, key: str, order: str, *, wide: bool = False) -> Dat
     """For each key the row with the highest ``order``, which is unique within the key.
 
     Rows are reduced before the shuffle, so a key with very many rows costs no more
-    than any other. With ``wide`` only key and order are aggregated and the rows are
-    then picked by a semi join on both (an even spread, whatever the key's share):
-    better for long texts, but ``df`` is read twice, so it should be stored data.
+    than any other.
+
+    With ``wide``, for long texts and few repeats, whole rows need not be shuffled at
+    all. A first job, run at once, reads key and order only and stores the repeated keys
+    in the shared folder. Their size is then known, and Spark takes the other rows out by
+    a broadcast join where it is below ``spark.sql.autoBroadcastJoinThreshold`` and by a
+    shuffled one, with skewed keys split, where it is not. ``df`` should be stored data.
     """
     if wide:
-        heads = df.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_order"))
-        return df.join(
-            heads,
-            F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_order")),
-            "left_semi",
+        repeated = (
+            df.groupBy(F.col(key).alias("_key"))
+            .agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+            .where("_rows > 1")
+            .select("_key", "_last")
+        )
+        repeated = stored(repeated, shared_dir(df.sparkSession, "repeated"))
+        superseded = F.col(key).eqNullSafe(F.col("_key")) & ~F.col(order).eqNullSafe(
+            F.col("_last")
         )
+        return df.join(repeated, superseded, "left_anti")
     # The struct makes a NULL order the lowest one; on its own it would lose the row.
     last = F.max_by(F.struct(*df.columns), F.struct(order))
     return df.groupBy(F.col(key).alias("_key")).agg(last.alias("_row")).select("_row.*")

@@ -24,6 +24,7 @@ from leafmill.operators.extract import (
 )
 from leafmill.operators.load import flatten_record, load_table, with_metadata
 from leafmill.operators.metrics import extraction_metrics, structured_metrics
+from leafmill.operators.shaping import stored
 from leafmill.operators.structure import (
     Extractor,
     keep_last,
@@ -50,12 +51,6 @@ class Refresh:
     load: dict[str, object]
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def extract_documents(files: DataFrame, parser: str | Parser = "lines") -> DataFrame:
     """Stage 1 on scanned files: one row per file, with its text or its ``error``."""
     texts = extract_elements(files, parser).select(

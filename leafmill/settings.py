@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,30 @@ RECOMMENDED = {
 }
 
 
-def configure(spark: SparkSession, **overrides: str) -> SparkSession:
-    """Apply ``RECOMMENDED`` to a session, then any overrides."""
-    for key, value in {**RECOMMENDED, **overrides}.items():
+# Size that a shuffle partition should have; Spark merges smaller ones at run time but
+# does not split larger ones, except in skewed joins.
+SHUFFLE_PARTITION_BYTES = 256 << 20
+
+
+def configure(
+    spark: SparkSession,
+    overrides: Mapping[str, str] | None = None,
+    *,
+    input_bytes: int | None = None,
+) -> SparkSession:
+    """Apply ``RECOMMENDED`` to a session, then any overrides.
+
+    ``input_bytes`` is the size of the data to be shuffled, for the number of shuffle
+    partitions: the default of 200 would make them half a terabyte each at 100 TB.
+    """
+    settings = dict(RECOMMENDED)
+    if input_bytes is not None:
+        partitions = max(
+            spark.sparkContext.defaultParallelism, -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+        )
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    for key, value in {**settings, **(overrides or {})}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from leafmill.operators.extract import assemble_text, extract_elements
+from leafmill.operators.extract import assemble_text, extract_elements, highest_position
 from leafmill.operators.load import flatten_record
 from leafmill.operators.structure import keep_last, parse_responses, render_prompts, run_extractor
 from leafmill.sources.files import list_files
@@ -61,9 +61,23 @@ def test_keep_last_shuffles_rows_once(documents):
     narrow = plan(keep_last(documents.select("source", "doc_id", "lang"), "source", "doc_id"))
     assert narrow.count("Exchange hashpartitioning") == 1
     assert "partial_max_by" in narrow
-    wide = plan(keep_last(documents, "source", "doc_id", wide=True))
-    slim = [line for line in wide.splitlines() if "partial_max" in line]
-    assert slim and not any("text" in line for line in slim)
+
+
+def test_wide_keep_last_shuffles_no_rows(documents):
+    text = plan(keep_last(documents, "source", "doc_id", wide=True))
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_wide_keep_last_without_broadcast(spark, documents):
+    expected = keep_last(documents, "source", "doc_id").collect()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = keep_last(documents, "source", "doc_id", wide=True)
+        assert "SortMergeJoin" in plan(df)
+        assert sorted(df.collect()) == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_assembly_joins_before_each_shuffle(spark):
@@ -72,6 +86,9 @@ def test_assembly_joins_before_each_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 2
     assert text.count("partial_listagg") == 2
     assert "role" not in text
+    short = plan(assemble_text(rows, "conv_id", "turn", max_seq=highest_position(rows, "turn")))
+    assert short.count("Exchange hashpartitioning") == 1
+    assert highest_position(rows.limit(0), "turn") == -1
 
 
 def test_filters_reach_the_scan(spark):

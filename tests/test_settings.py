@@ -1,0 +1,28 @@
+"""Session settings and the shared folder."""
+
+from leafmill.settings import RECOMMENDED, configure, shared_dir
+
+
+def test_shared_dir_lies_under_the_checkpoint_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(f"{base}/x-") and first != second
+
+
+def test_configure(spark):
+    names = [
+        "spark.sql.shuffle.partitions",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    ]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        configure(spark, input_bytes=100 << 40)
+        assert [spark.conf.get(name) for name in names] == ["409600"] * 2
+        configure(spark, input_bytes=1)
+        assert spark.conf.get(names[0]) == str(spark.sparkContext.defaultParallelism)
+        configure(spark, {"spark.sql.shuffle.partitions": "5"})
+        assert spark.conf.get(names[0]) == "5"
+        assert all(spark.conf.get(key) == value for key, value in RECOMMENDED.items())
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
