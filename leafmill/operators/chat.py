@@ -1,0 +1,45 @@
+"""A chat model for the extractor hook."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
+
+from leafmill.schemas import (
+    MODEL,
+    RESPONSE_FORMAT,
+    TEMPERATURE,
+    restrict_response_format,
+)
+
+
+def chat_setup(
+    make_client: Callable[[], Any],
+    *,
+    model: str = MODEL,
+    temperature: float = TEMPERATURE,
+    response_format: Mapping[str, Any] | None = RESPONSE_FORMAT,
+    fields: Sequence[str] | None = None,
+) -> Callable[[], Callable[[list[dict[str, str]]], str]]:
+    """A ``setup`` for ``run_extractor`` that asks a chat-completions client.
+
+    ``make_client`` runs on the executors, once per partition, and reads its keys there.
+    ``fields`` narrows the answer to some fields of the response format.
+    """
+    wanted = restrict_response_format(fields, response_format)
+
+    def setup():
+        client = make_client()
+
+        def ask(messages: list[dict[str, str]]) -> str:
+            reply = client.chat.completions.create(
+                model=model,
+                messages=messages,
+                response_format=wanted,
+                temperature=temperature,
+            )
+            return reply.choices[0].message.content
+
+        return ask
+
+    return setup

@@ -99,6 +99,10 @@ RESPONSE_FORMAT = {
     },
 }
 
+MODEL = "gpt-4o"
+
+TEMPERATURE = 0
+
 TABLE_NAME = "documents"
 
 TABLE_COLUMNS = {

@@ -1,0 +1,25 @@
+"""File parsers for the extraction hook that need a library on the executors."""
+
+from __future__ import annotations
+
+import importlib.util
+import io
+from collections.abc import Callable
+
+
+def pdf_parser(**options: object) -> Callable[[bytes], list[str]]:
+    """A parser from PDF bytes to layout elements, for ``extract_elements``.
+
+    It uses the ``unstructured`` package; ``options`` go to its PDF partitioner. The
+    package is looked for here, on the driver, so that a session without it fails at
+    once and not file by file.
+    """
+    if importlib.util.find_spec("unstructured") is None:
+        raise ImportError("reading PDFs needs the package unstructured[pdf] on all executors")
+
+    def parse(data: bytes) -> list[str]:
+        from unstructured.partition.pdf import partition_pdf
+
+        return [str(part) for part in partition_pdf(file=io.BytesIO(data), **options)]
+
+    return parse

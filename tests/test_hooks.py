@@ -1,0 +1,41 @@
+"""Adapters for the two Python hooks."""
+
+import importlib.util
+import json
+from types import SimpleNamespace
+
+import pytest
+
+from leafmill.operators.chat import chat_setup
+from leafmill.operators.structure import parse_responses, render_prompts, run_extractor
+from leafmill.sources.parsers import pdf_parser
+
+
+def test_chat_setup(spark):
+    def make_client():
+        def create(model, messages, response_format, temperature):
+            fields = response_format["json_schema"]["schema"]["required"]
+            told = {"model": model, "temperature": temperature, "roles": [m["role"] for m in messages]}
+            content = json.dumps({"title": json.dumps(told), "fields": fields})
+            message = SimpleNamespace(message=SimpleNamespace(content=content))
+            return SimpleNamespace(choices=[message])
+
+        return SimpleNamespace(chat=SimpleNamespace(completions=SimpleNamespace(create=create)))
+
+    df = spark.createDataFrame([("d", "text")], "document_id string, content string")
+    setup = chat_setup(make_client, fields=["keywords", "title"])
+    answer = parse_responses(run_extractor(render_prompts(df), setup=setup)).first()
+    found = json.loads(answer["response"])
+    assert answer["error"] is None
+    assert found["fields"] == ["title", "keywords"]
+    assert json.loads(found["title"]) == {
+        "model": "gpt-4o",
+        "temperature": 0,
+        "roles": ["system", "user"],
+    }
+
+
+@pytest.mark.skipif(importlib.util.find_spec("unstructured") is not None, reason="installed")
+def test_pdf_parser_without_its_library():
+    with pytest.raises(ImportError, match="unstructured"):
+        pdf_parser()
