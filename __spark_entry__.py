@@ -285,16 +285,17 @@ def rule_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "response")
 
 
-def _first_line_answer(messages: list[dict[str, str]]) -> str:
-    """A stand-in model: the first line of the document, or a failure for a one-line one."""
-    asked = messages[-1]["content"].split("Paper content: ", 1)[1]
-    title, rest = asked.split("\n", 1)
-    return json.dumps({"title": title, "n_rest": len(rest)}, ensure_ascii=False)
+def model_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Python hook, with a stand-in model that fails on one-line documents."""
 
+    # Defined here so that it travels to workers that cannot import this module.
+    def first_line(messages: list[dict[str, str]]) -> str:
+        text = messages[-1]["content"].split("Paper content: ", 1)[1]
+        title, rest = text.split("\n", 1)
+        return json.dumps({"title": title, "n_rest": len(rest)}, ensure_ascii=False)
 
-def model_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = render_prompts(_table(spark, sf_dir, "documents"), content="text")
-    answers = run_extractor(asked, _first_line_answer, id_col="doc_id")
+    answers = run_extractor(asked, first_line, id_col="doc_id")
     title = F.variant_get("answer", "$.title", "string")
     n_rest = F.variant_get("answer", "$.n_rest", "bigint")
     return parse_responses(answers).select(
@@ -585,12 +586,9 @@ _PAGE_ELEMENTS = """
     page_elements AS (
       SELECT page_id, html, list_filter(
         list_transform(
-          string_split_regex(
-            regexp_replace(regexp_replace(regexp_replace(
-              html, '(?s)<!--.*?-->', ' ', 'g'),
-              '(?is)<script\\b.*?</script\\s*>', ' ', 'g'),
-              '(?is)<style\\b.*?</style\\s*>', ' ', 'g'),
-            '<[^>]*>'),
+          string_split_regex(html,
+            '(?s)<(?:!--.*?-->|(?i:script)\\b.*?</(?i:script)\\s*>'
+            || '|(?i:style)\\b.*?</(?i:style)\\s*>|[^>]*>)'),
           lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))),
         lambda x: x <> '') AS elements
       FROM pages)

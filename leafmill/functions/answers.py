@@ -92,7 +92,7 @@ def rule_answer(content: Column) -> Column:
     """
     words = F.array_distinct(F.regexp_extract_all(content, F.lit("[A-Za-z]{5,}"), F.lit(0)))
     ranked = F.sort_array(F.transform(words, lambda w: F.struct(-F.length(w), w.alias("word"))))
-    keywords = F.transform(F.slice(ranked, 1, 5), lambda r: r["word"])
+    keywords = F.slice(ranked, 1, 5)["word"]
     none = F.array().cast("array<string>")
     return F.to_json(
         F.struct(

@@ -6,6 +6,14 @@ from pyspark.sql import Column, functions as F
 
 BLANKS = " \t\r\n"
 
+# A comment, a whole script or style, or any tag. One pattern, so each page is read once.
+BETWEEN_TEXTS = (
+    r"(?s)<(?:!--.*?-->"
+    r"|(?i:script)\b.*?</(?i:script)\s*>"
+    r"|(?i:style)\b.*?</(?i:style)\s*>"
+    r"|[^>]*>)"
+)
+
 
 def file_name(path: Column) -> Column:
     """Last part of a path."""
@@ -56,12 +64,9 @@ def line_elements(text: Column) -> Column:
 
 
 def markup_elements(html: Column) -> Column:
-    """Texts between the tags of a marked-up page, in order, trimmed, blanks left out."""
-    for ignored in (
-        r"(?s)<!--.*?-->",
-        r"(?is)<script\b.*?</script\s*>",
-        r"(?is)<style\b.*?</style\s*>",
-    ):
-        html = F.regexp_replace(html, ignored, " ")
-    pieces = F.transform(F.split(html, "<[^>]*>", -1), lambda t: F.trim(t, F.lit(BLANKS)))
+    """Texts between the tags of a marked-up page, in order, trimmed, blanks left out.
+
+    Comments, scripts and styles separate texts just as tags do.
+    """
+    pieces = F.transform(F.split(html, BETWEEN_TEXTS, -1), lambda t: F.trim(t, F.lit(BLANKS)))
     return F.filter(pieces, lambda t: t != "")

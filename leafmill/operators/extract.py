@@ -14,6 +14,7 @@ from leafmill.functions.text import (
     line_elements,
     markup_elements,
 )
+from leafmill.operators.shaping import once
 
 Parser = Callable[[bytes], Iterable[object]]
 
@@ -44,12 +45,12 @@ def extract_elements(
         text = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
     else:
         text = raw
-    return files.select(
-        F.col(key),
-        F.when(text.isNotNull(), BUILT_IN[parser](text)).alias("elements"),
-        F.when(raw.isNull(), F.lit("no content"))
-        .when(text.isNull(), F.lit("not valid UTF-8"))
-        .alias("error"),
+    error = F.when(raw.isNull(), F.lit("no content")).when(
+        text.isNull(), F.lit("not valid UTF-8")
+    )
+    elements = F.when(text.isNotNull(), BUILT_IN[parser](text))
+    return once(files.select(key, content), elements=elements, error=error).select(
+        key, "elements", "error"
     )
 
 
