@@ -97,8 +97,8 @@ def entry(spark: SparkSession) -> DataFrame:
     """Documents, titles and keywords per language, over records extracted by rule."""
     documents = _table(spark, "/root/testdata/sf0.001", "documents")
     records = align_to_schema(_loadable(documents, F.lit(FIXED_DATE)), WITH_LANG)
-    records.createOrReplaceTempView("loaded_documents")
-    return run_query(spark, KEYWORD_REPORT.format(table="loaded_documents"))
+    records.createOrReplaceTempView("entry_documents")
+    return run_query(spark, KEYWORD_REPORT.format(table="entry_documents"))
 
 
 # --- Sources and sinks ------------------------------------------------------------
@@ -610,7 +610,7 @@ def _rule_fields(text: str) -> str:
 
 _KEYWORD_REPORT_SQL = f"""
     WITH answers AS (SELECT lang, {_rule_fields("text")} FROM documents)
-    SELECT lang, count(*) AS n_documents, sum(len(keywords)) AS n_keywords,
+    SELECT lang, count(*) AS n_documents, CAST(sum(len(keywords)) AS BIGINT) AS n_keywords,
            count(*) FILTER (WHERE title <> '') AS n_titled
     FROM answers GROUP BY lang
 """
@@ -805,7 +805,8 @@ def oracle_sql() -> dict[str, str]:
                    lang
             FROM answers""",
         "appended_records": """
-            SELECT 2 * count(*) AS n_rows, count(source) AS n_titles, sum(n_chars) AS sum_years,
+            SELECT 2 * count(*) AS n_rows, count(source) AS n_titles,
+                   CAST(sum(n_chars) AS BIGINT) AS sum_years,
                    count(DISTINCT doc_id) AS n_documents, count(*) AS first_count,
                    count(*) AS second_count
             FROM documents""",

@@ -68,8 +68,12 @@ def align_to_schema(
     return df.select(*columns)
 
 
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+def _qualified(spark: SparkSession, name: str) -> str:
+    """Quoted name with its schema, so that a temporary view of that name is not meant."""
+    parts = name.split(".")
+    if len(parts) == 1:
+        parts = [spark.catalog.currentDatabase(), *parts]
+    return ".".join(f"`{part}`" for part in parts)
 
 
 def recreate_table(
@@ -80,9 +84,10 @@ def recreate_table(
 ) -> None:
     """Drop a table if it is there and create it anew, without rows, from a column map."""
     columns = ", ".join(f"`{column}` {spark_type(dtype)}" for column, dtype in mapping.items())
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    target = _qualified(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet{place}")
 
 
 def append_records(df: DataFrame, name: str = TABLE_NAME) -> int:
@@ -93,11 +98,12 @@ def append_records(df: DataFrame, name: str = TABLE_NAME) -> int:
     task would raise twice; it presumes no other writer.
     """
     spark = df.sparkSession
-    table = spark.table(name)
+    target = _qualified(spark, name)
+    table = spark.table(target)
     before = table.count()
     mapping = {field.name: field.dataType.simpleString() for field in table.schema.fields}
-    align_to_schema(df, mapping).write.insertInto(name)
-    return spark.table(name).count() - before
+    align_to_schema(df, mapping).write.insertInto(target)
+    return spark.table(target).count() - before
 
 
 def load_table(
@@ -111,7 +117,9 @@ def load_table(
     The records are written in full first; only then is the table swapped, so a record
     that cannot be loaded leaves the old table as it was. Below ``location`` each load
     gets its own folder and the swap moves no data. Without one the table is managed by
-    Spark and the swap renames it. Returns the rows inserted and the table's name.
+    Spark and the swap renames it; that wants a catalog that outlives the session, or the
+    folder a former session left stands in the way. Returns the rows inserted and the
+    table's name.
     """
     spark = df.sparkSession
     records = align_to_schema(df, mapping)
@@ -122,10 +130,14 @@ def load_table(
         rows = spark.read.schema(records.schema).parquet(folder).count()
         recreate_table(spark, name, mapping, folder)
     else:
-        staging = f"{name}_load_{run}"
-        recreate_table(spark, staging, mapping)
-        records.write.insertInto(staging)
+        recreate_table(spark, f"{name}_load_{run}", mapping)
+        staging, target = _qualified(spark, f"{name}_load_{run}"), _qualified(spark, name)
+        try:
+            records.write.insertInto(staging)
+        except Exception:
+            spark.sql(f"DROP TABLE {staging}")
+            raise
         rows = spark.table(staging).count()
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
-        spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(name)}")
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
     return {"rows_inserted": rows, "table_name": name}

@@ -29,6 +29,23 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
+def sql_types(connection, sql: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {name: TYPES[dtype] for name, dtype in df.dtypes}
+
+
 def sql_rows(connection, sql: str) -> tuple[list[str], list[tuple]]:
     result = connection.execute(sql)
     return _ordered([column[0] for column in result.description], result.fetchall())

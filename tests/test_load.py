@@ -64,6 +64,7 @@ def test_load_replaces_rows_and_columns(spark, tmp_path, placed):
     with pytest.raises(Exception):
         load_table(bad, name, {"k": "TEXT", "n": "INTEGER"}, place)
     assert spark.table(name).count() == 2
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
 
     # The table can be replaced by something made from itself.
     doubled = before.select("k", (F.col("n") * 2).alias("twice"))
@@ -74,6 +75,22 @@ def test_load_replaces_rows_and_columns(spark, tmp_path, placed):
     assert spark.table(name).count() == 0 and table_exists(spark, name)
 
 
+@pytest.mark.parametrize("placed", [True, False])
+def test_load_leaves_a_view_of_that_name_alone(spark, tmp_path, placed):
+    place = str(tmp_path / "t") if placed else None
+    spark.range(7).createOrReplaceTempView("shadowed")
+    try:
+        for _ in range(2):
+            done = load_table(spark.range(3), "shadowed", {"id": "BIGINT"}, place)
+            assert done["rows_inserted"] == 3
+        assert append_records(spark.range(2), "shadowed") == 2
+        assert spark.table("shadowed").count() == 7
+        assert spark.table("default.shadowed").count() == 5
+    finally:
+        spark.catalog.dropTempView("shadowed")
+        spark.sql("DROP TABLE IF EXISTS default.shadowed")
+
+
 def test_queries(spark):
     spark.range(5).createOrReplaceTempView("five")
     assert run_query(spark, "SELECT * FROM five WHERE id > ? AND id < ?", [1, 4]).count() == 2

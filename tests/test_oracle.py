@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from tests.oracle import connect, spark_rows, sql_rows
+from tests.oracle import connect, spark_rows, spark_types, sql_rows, sql_types
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -21,7 +21,9 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_matches_sql(spark, tables, name):
-    names, rows = spark_rows(entry_module.queries()[name](spark, SF_DIR))
+    df = entry_module.queries()[name](spark, SF_DIR)
+    assert spark_types(df) == sql_types(tables, entry_module.oracle_sql()[name])
+    names, rows = spark_rows(df)
     expected_names, expected = sql_rows(tables, entry_module.oracle_sql()[name])
     assert names == expected_names
     assert len(rows) == len(expected)
