@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from leafmill.llm.decontaminate import contamination
 from leafmill.llm.near_duplicates import near_duplicate_groups
+from leafmill.llm.sharding import shard_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +18,29 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES = {fn.__name__: fn for fn in (op3_minhash,)}
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes; see ``shard_documents``."""
+    placed = shard_documents(_table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of the benchmark; see ``contamination``."""
+    found = contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), width=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+QUERIES = {fn.__name__: fn for fn in (op3_minhash, op9_sharding, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
