@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.llm.decontaminate import contamination
+from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.sharding import shard_documents
 
@@ -18,6 +19,12 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more; see ``dedup_lines``."""
+    kept = dedup_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of near equal bytes; see ``shard_documents``."""
     placed = shard_documents(_table(spark, sf_dir, "documents"), 8)
@@ -41,6 +48,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op3_minhash, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op3_minhash, op5_line_dedup, op9_sharding, op10_decontaminate)}
+
+# Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_dedup": f"""
+        WITH numbered AS (
+          SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        lines AS (
+          SELECT r, doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
+          FROM (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM numbered)),
+        keyed AS (SELECT *, translate(trim(line, {_BLANKS}), {_LOWER}) AS key FROM lines),
+        common AS (
+          SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+               count(common.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+                               FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+        FROM keyed LEFT JOIN common USING (key) GROUP BY r""",
+}
