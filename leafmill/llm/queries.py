@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.llm.decontaminate import contamination
 from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.near_duplicates import near_duplicate_groups
+from leafmill.llm.packing import pack_documents
 from leafmill.llm.sharding import shard_documents
 
 
@@ -19,6 +21,15 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens; see ``pack_documents``.
+
+    The file has the same vocabulary and ids as ``byte_bpe_50k.json``.
+    """
+    documents = _table(spark, sf_dir, "documents")
+    return pack_documents(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more; see ``dedup_lines``."""
     kept = dedup_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -48,7 +59,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op3_minhash, op5_line_dedup, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op3_minhash, op4_packing, op5_line_dedup, op9_sharding, op10_decontaminate)}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
