@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.llm.decontaminate import contamination
+from leafmill.llm.language import identify_language, learn_languages
 from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.packing import pack_documents
@@ -36,6 +37,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from three quarters of the documents, by the checksum of their id."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held_out = F.coalesce(checksum % 4 == 2, F.lit(False))
+    model = learn_languages(documents.where(~held_out))
+    return identify_language(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of near equal bytes; see ``shard_documents``."""
     placed = shard_documents(_table(spark, sf_dir, "documents"), 8)
@@ -59,7 +71,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op3_minhash, op4_packing, op5_line_dedup, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op3_minhash, op4_packing, op5_line_dedup, op7_language, op9_sharding, op10_decontaminate)}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
