@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leafmill.llm.decontaminate import contamination
 from leafmill.llm.language import identify_language, learn_languages
@@ -11,12 +11,38 @@ from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.packing import pack_documents
 from leafmill.llm.sharding import shard_documents
+from leafmill.llm.tables import Workspace
+from leafmill.llm.warc import assemble_captures, read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written, read back and assembled; see ``leafmill.llm.warc``."""
+    work = Workspace(spark, "warc")
+    archive = write_warc(_table(spark, sf_dir, "pages"), f"{work.path}/archive")
+    # Digests and sizes are taken while reading; the pages themselves are not kept twice.
+    main = F.col("record_type").isin("response", "revisit")
+    records = read_warc(spark, archive)
+    records = work.put(
+        records.withColumn("payload", F.when(~main, F.col("payload"))), "records"
+    )
+
+    def page_id(told: Column) -> Column:
+        text = F.get(told, F.lit(0))["payload"].cast("string")
+        return F.regexp_extract(text, r"pageId: (-?\d+)", 1).try_cast("bigint")
+
+    return assemble_captures(records).select(
+        page_id(F.col("metadata")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_id(F.col("original.metadata")).alias("refers_to"),
+    )
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles; see ``near_duplicate_groups``."""
     return near_duplicate_groups(_table(spark, sf_dir, "documents"), width=2)
@@ -71,13 +97,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op3_minhash, op4_packing, op5_line_dedup, op7_language, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op7_language, op9_sharding, op10_decontaminate)}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH payloads AS (
+          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                 sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        ranked AS (
+          SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM ranked""",
     "op5_line_dedup": f"""
         WITH numbered AS (
           SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
