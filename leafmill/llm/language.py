@@ -258,7 +258,12 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, text_col: str =
 def known_language(
     docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least_score: float = 0.3
 ) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with at least ``least_score``."""
+    """The rows of ``docs`` whose language is recognised with at least ``least_score``.
+
+    All columns stay as they are. A model without languages keeps every text with a letter.
+    """
+    if not model.languages:
+        return docs.where(has_letter(F.col(text_col)))
     marked = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).alias("text"))
     found = identify_language(marked, model)
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))

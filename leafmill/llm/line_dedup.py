@@ -140,16 +140,23 @@ class LineIndex:
     shards: int
     min_docs: int
     min_chars: int
+    distinct_texts: bool
 
 
-def _document_keys(docs: DataFrame, text_col: str, min_chars: int) -> DataFrame:
-    """One row per document and distinct key that is long enough."""
+def _document_keys(
+    docs: DataFrame, text_col: str, min_chars: int, distinct_texts: bool
+) -> DataFrame:
+    """One row per document (or per distinct text) and distinct key that is long enough."""
     lines = F.split(F.coalesce(text_col, F.lit("")), "\n")
-    return (
-        docs.select(F.explode(F.array_distinct(F.transform(lines, normal_line))).alias("line"))
+    keys = (
+        docs.select(
+            text_key(F.col(text_col)).alias("text_key"),
+            F.explode(F.array_distinct(F.transform(lines, normal_line))).alias("line"),
+        )
         .where(F.length("line") >= min_chars)
-        .select(F.unhex(F.md5("line")).alias("key"))
+        .select("text_key", F.unhex(F.md5("line")).alias("key"))
     )
+    return (keys.distinct() if distinct_texts else keys).select("key")
 
 
 def _shard(shards: int) -> Column:
@@ -163,9 +170,14 @@ def build_line_index(
     text_col: str = "text",
     min_docs: int = 10,
     min_chars: int = 1,
+    distinct_texts: bool = False,
 ) -> LineIndex:
-    """Count line keys over all documents and put those of ``min_docs`` or more into filters."""
-    keys = _document_keys(docs, text_col, min_chars)
+    """Count line keys over all documents and put those of ``min_docs`` or more into filters.
+
+    With ``distinct_texts`` copies of one text count as one document; such a state takes
+    whole groups of copies in and out.
+    """
+    keys = _document_keys(docs, text_col, min_chars, distinct_texts)
     counts = work.put(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "counts")
     common = counts.where(F.col("n") >= min_docs)
     shards = max(1, -(-common.count() // SHARD_KEYS))
@@ -179,13 +191,13 @@ def build_line_index(
         .groupBy("shard")
         .applyInArrow(_build_filter, "shard bigint, filter binary")
     )
-    return LineIndex(counts, work.put(filters, "filters"), shards, min_docs, min_chars)
+    stored = work.put(filters, "filters")
+    return LineIndex(counts, stored, shards, min_docs, min_chars, distinct_texts)
 
 
 def _changed(index: LineIndex, docs: DataFrame, text_col: str, sign: int, work: Workspace) -> LineIndex:
-    change = _document_keys(docs, text_col, index.min_chars).groupBy("key").agg(
-        (F.count(F.lit(1)) * sign).alias("change")
-    )
+    keys = _document_keys(docs, text_col, index.min_chars, index.distinct_texts)
+    change = keys.groupBy("key").agg((F.count(F.lit(1)) * sign).alias("change"))
     both = work.put(
         index.counts.join(change, "key", "full").select(
             "key",
@@ -209,8 +221,12 @@ def _changed(index: LineIndex, docs: DataFrame, text_col: str, sign: int, work:
     )
     counts = both.where("n > 0").select("key", "n")
     return LineIndex(
-        work.put(counts, "counts"), work.put(filters, "filters"), index.shards,
-        index.min_docs, index.min_chars,
+        work.put(counts, "counts"),
+        work.put(filters, "filters"),
+        index.shards,
+        index.min_docs,
+        index.min_chars,
+        index.distinct_texts,
     )
 
 
@@ -346,15 +362,26 @@ def drop_common_lines(docs: DataFrame, index: LineIndex, *, text_col: str = "tex
 
 
 def dedup_lines(
-    docs: DataFrame, *, text_col: str = "text", min_docs: int = 10, min_chars: int = 1
+    docs: DataFrame,
+    *,
+    text_col: str = "text",
+    min_docs: int = 10,
+    min_chars: int = 1,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """Drop every line that at least ``min_docs`` documents hold, in all of them.
 
-    See ``drop_common_lines``. Repeated rows are separate documents; a line repeated within
-    one document counts once. Empty input gives no rows.
+    See ``drop_common_lines``. Repeated rows are separate documents unless
+    ``distinct_texts``, where copies count once, so that lines of a text that is merely
+    copied stay; a line repeated within one document counts once. Empty input gives no rows.
     """
     work = Workspace(docs.sparkSession, "lines")
     index = build_line_index(
-        docs, work, text_col=text_col, min_docs=min_docs, min_chars=min_chars
+        docs,
+        work,
+        text_col=text_col,
+        min_docs=min_docs,
+        min_chars=min_chars,
+        distinct_texts=distinct_texts,
     )
     return drop_common_lines(docs, index, text_col=text_col)
