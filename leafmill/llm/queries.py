@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from leafmill.llm.decontaminate import contamination
 from leafmill.llm.language import identify_language, learn_languages
 from leafmill.llm.line_dedup import dedup_lines
+from leafmill.llm.main_text import extract_main_text, learn_weights
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.packing import pack_documents
 from leafmill.llm.sharding import shard_documents
@@ -63,6 +64,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; see ``extract_main_text``."""
+    pages = _table(spark, sf_dir, "pages")
+    return extract_main_text(pages, learn_weights(pages))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from three quarters of the documents, by the checksum of their id."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -97,7 +104,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op7_language, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op6_main_text, op7_language, op9_sharding, op10_decontaminate)}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
