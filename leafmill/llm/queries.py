@@ -11,6 +11,7 @@ from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.main_text import extract_main_text, learn_weights
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.packing import pack_documents
+from leafmill.llm.quality import quality
 from leafmill.llm.sharding import shard_documents
 from leafmill.llm.tables import Workspace
 from leafmill.llm.warc import assemble_captures, read_warc, write_warc
@@ -81,6 +82,16 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and bands of tokeniser fertility; see ``quality``."""
+    documents = _table(spark, sf_dir, "documents")
+    judged = quality(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of near equal bytes; see ``shard_documents``."""
     placed = shard_documents(_table(spark, sf_dir, "documents"), 8)
@@ -104,7 +115,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op6_main_text, op7_language, op9_sharding, op10_decontaminate)}
+QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op6_main_text, op7_language, op8_quality, op9_sharding, op10_decontaminate)}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
