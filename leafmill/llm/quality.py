@@ -31,11 +31,11 @@ REMEMBERED = 600_000
 FIRST_BYTE_PIECE, LAST_BYTE_PIECE = 3, 258
 MEASURES = ("chars_per_token", "byte_share", "token_entropy")
 # Per measure the least spread that a band assumes, so that uniform groups reject nothing.
-LEAST_SPREAD = {"chars_per_token": 0.15, "byte_share": 0.02, "token_entropy": 0.03}
+LEAST_SPREAD = {"chars_per_token": 0.04, "byte_share": 0.02, "token_entropy": 0.03}
 # How many spreads beyond the quartiles a band reaches, and how much farther for short texts:
 # (1 + SHORT / number of words).
-REACH = 5.0
-SHORT = 40.0
+REACH = 3.5
+SHORT = 60.0
 # Documents that a group needs to have bands.
 LEAST_GROUP = 50
 SCRIPTS = {

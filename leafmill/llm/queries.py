@@ -14,6 +14,7 @@ from leafmill.llm.packing import pack_documents
 from leafmill.llm.quality import quality
 from leafmill.llm.sharding import shard_documents
 from leafmill.llm.tables import Workspace
+from leafmill.llm.token_counts import token_counts
 from leafmill.llm.warc import assemble_captures, read_warc, write_warc
 
 
@@ -21,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under a unigram vocabulary; see ``token_counts``."""
+    documents = _table(spark, sf_dir, "documents")
+    return token_counts(documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written, read back and assembled; see ``leafmill.llm.warc``."""
     work = Workspace(spark, "warc")
@@ -115,7 +122,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op2_warc, op3_minhash, op4_packing, op5_line_dedup, op6_main_text, op7_language, op8_quality, op9_sharding, op10_decontaminate)}
+QUERIES = {
+    fn.__name__: fn
+    for fn in (
+        op1_token_counts,
+        op2_warc,
+        op3_minhash,
+        op4_packing,
+        op5_line_dedup,
+        op6_main_text,
+        op7_language,
+        op8_quality,
+        op9_sharding,
+        op10_decontaminate,
+    )
+}
 
 # Blanks that are cut off at the ends of a line: codes 9 to 13 and 32.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
