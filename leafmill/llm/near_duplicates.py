@@ -6,9 +6,11 @@
    larger, so a document stops as soon as every slot has a rank of an earlier step.
 2. Bands of ``ROWS`` neighbouring slots are hashed; documents sharing a band meet in a bucket.
 3. A bucket links its members to its smallest one, after the exact check on full shingle sets.
-   Where that leaves a bucket with members of several groups, all pairs across groups that
-   the sizes allow are checked, so no link that a bucket shows is lost.
-4. Checked links are joined into groups by union-find: each task joins the links that it
+4. Where that leaves a bucket with members of several groups, groups with members of similar
+   signatures form a family. All pairs across the groups of a family that sizes and signatures
+   allow are checked on full sets, in squares of bounded size, so no link is lost; what comes
+   out of a square are the groups that it joins, not pairs.
+5. Checked links are joined into groups by union-find: each task joins the links that it
    holds, and rounds of exchange between tasks follow until nothing changes.
 
 Copies of one text are one node throughout, whatever their number.
@@ -26,10 +28,13 @@ from leafmill.llm.components import components
 from leafmill.llm.tables import Workspace, row_key, text_key
 from leafmill.llm.words import BASE, mix, shingles, slices
 
-BANDS = 28
-ROWS = 4
-# Elements whose permutations are worked on together; each holds one byte per slot.
-BLOCK = 1 << 17
+# A pair at 80 % misses all bands once in a million; unlike pairs hardly ever meet.
+BANDS = 35
+ROWS = 5
+# Bytes of text whose signatures are made together: each word needs a byte per slot.
+SLICE_BYTES = 1 << 20
+# Slots of which one byte is kept to compare signatures.
+SKETCH = 128
 UNSET = np.int64(1 << 62)
 
 
@@ -37,7 +42,7 @@ def signatures(code: np.ndarray, doc: np.ndarray, n_docs: int, slots: int) -> np
     """SuperMinHash of each document's set; rank in the upper, random bits in the lower half.
 
     ``(code, doc)`` are distinct and sorted by document. Rows of documents without elements
-    stay unset.
+    stay unset. At most 256 slots.
     """
     values = np.full(n_docs * slots, UNSET)
     lives = doc
@@ -95,13 +100,13 @@ def _sketches(width: int):
     @F.arrow_udf("struct<n:bigint,bands:array<bigint>,sketch:binary>")
     def sketch(texts: pa.Array) -> pa.Array:
         parts = []
-        for part in slices(texts):
+        for part in slices(texts, SLICE_BYTES):
             code, doc = shingles(part, width)
             size = np.bincount(doc, minlength=len(part)).astype(np.int64)
             values = signatures(code, doc, len(part), slots)
             some = size > 0
-            bytes_ = (values & 0xFF).astype(np.uint8)
-            ends = (np.arange(len(part) + 1) * slots).astype(np.int32)
+            bytes_ = (values[:, :SKETCH] & 0xFF).astype(np.uint8)
+            ends = (np.arange(len(part) + 1) * SKETCH).astype(np.int32)
             parts.append(
                 pa.StructArray.from_arrays(
                     [
@@ -135,67 +140,101 @@ def _sets(width: int):
     return sets
 
 
-# Members of a bucket that are compared with each other in one go.
+# Members that are compared with as many others in one go.
 SQUARE = 512
 
 
-def _compare_squares(percent: int):
-    """Arrow partition function over squares of buckets: pairs that may be links.
+def _by_square(work_on):
+    """Arrow partition function that hands the rows of each square to ``work_on``.
 
-    Rows come sorted by square. Pairs of one group, pairs with the bucket's centre (checked
-    before) and pairs whose sizes or signatures rule out a link are left out. The signature
-    cut is five standard deviations below the expected number of equal slots of a pair at
-    the threshold.
+    Rows come sorted by square, ``(name, low, high)``; ``work_on`` returns pairs of groups.
     """
-    slots = BANDS * ROWS
-    share = percent / 100
-    cut = share * slots - 5 * (share * (1 - share) * slots) ** 0.5
 
-    def of_square(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
-        size, own = rows["n"].to_numpy(), rows["own"].to_numpy()
-        centre = rows["centre"].to_numpy() == node
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8)
-        sketch = sketch.reshape(len(node), slots)
-        across = rows["low"][0].as_py() != rows["high"][0].as_py()
-        found_a, found_b = [], []
-        for i in range(len(node) - 1):
-            if centre[i]:
-                continue
-            rest = slice(i + 1, None)
-            fits = (root[rest] != root[i]) & ~centre[rest]
-            fits &= 100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i])
-            if across:
-                fits &= own[rest] != own[i]
-            j = np.flatnonzero(fits) + i + 1
-            if len(j):
-                j = j[(sketch[j] == sketch[i]).sum(1) >= cut]
-                found_a.append(np.minimum(node[j], node[i]))
-                found_b.append(np.maximum(node[j], node[i]))
-        if not found_a:
-            none = np.zeros(0, np.int64)
-            return none, none
-        return np.concatenate(found_a), np.concatenate(found_b)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["code", "low", "high"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
+
+        def result(part: pa.Table) -> pa.RecordBatch:
+            a, b = work_on(part.combine_chunks())
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             held = rows if held is None else pa.concat_tables([held, rows])
-            keys = np.stack([held[name].to_numpy() for name in names])
+            keys = np.stack([held[name].to_numpy() for name in ("name", "low", "high")])
             starts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
             at = 0
             for end in starts.tolist():
-                a, b = of_square(held.slice(at, end - at).combine_chunks())
-                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield result(held.slice(at, end - at))
                 at = end
             held = held.slice(at)
         if held is not None and held.num_rows:
-            a, b = of_square(held.combine_chunks())
-            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield result(held)
+
+    return run
+
 
-    return compare
+def _joined_groups(percent: int, exact: bool):
+    """Work on one square: pairs of groups that have members that may be (``exact``: are) linked.
+
+    Members of different groups are compared unless sizes rule out a link or too few slots
+    are equal: five standard deviations below what a pair at the threshold has. Groups
+    joined once are one from then on.
+    """
+    share = percent / 100
+    cut = share * SKETCH - 5 * (share * (1 - share) * SKETCH) ** 0.5
+
+    def work_on(rows: pa.Table) -> tuple[list[int], list[int]]:
+        names, group = np.unique(rows["root"].to_numpy(), return_inverse=True)
+        if len(names) < 2:
+            return [], []
+        size, own = rows["n"].to_numpy(), rows["own"].to_numpy()
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8)
+        sketch = sketch.reshape(len(size), SKETCH)
+        if exact:
+            sets = rows["members"].combine_chunks()
+            flat = sets.flatten().to_numpy().view(np.uint64)  # the order they are sorted in
+            ends = np.concatenate([[0], np.cumsum(size)])
+        across = rows["low"][0].as_py() != rows["high"][0].as_py()
+        found_a, found_b = [], []
+        for i in range(len(size) - 1):
+            fits = group[i + 1 :] != group[i]
+            fits &= 100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i])
+            if across:
+                fits &= own[i + 1 :] != own[i]
+            others = np.flatnonzero(fits) + i + 1
+            if len(others):
+                others = others[(sketch[others] == sketch[i]).sum(1) >= cut]
+            if exact and len(others):
+                mine = flat[ends[i] : ends[i + 1]]
+                theirs = np.concatenate([flat[ends[j] : ends[j + 1]] for j in others])
+                at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                sums = np.concatenate([[0], np.cumsum(mine[at] == theirs)])
+                cuts = np.concatenate([[0], np.cumsum(size[others])])
+                common = sums[cuts[1:]] - sums[cuts[:-1]]
+                others = others[100 * common >= percent * (size[i] + size[others] - common)]
+            for j in others.tolist():
+                old, new = group[j], group[i]
+                if old != new:
+                    found_a.append(int(names[new]))
+                    found_b.append(int(names[old]))
+                    group[group == old] = new
+        return found_a, found_b
+
+    return _by_square(work_on)
+
+
+def _squares(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members (``name, node, root`` and more) of each name dealt into squares, sorted."""
+    parts = F.ceil(F.col("many") / SQUARE).cast("int")
+    return (
+        members.join(sizes, "name")
+        .withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .drop("other", "many")
+        .repartition("name", "low", "high")
+        .sortWithinPartitions("name", "low", "high")
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -263,33 +302,39 @@ def near_duplicate_texts(
     links = work.put(_verified(stars.distinct(), sets, percent), "links")
     groups = components(links, work)
 
+    # Groups that share a bucket and look alike; a square hands on at most one pair per group.
     placed = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (
-        placed.groupBy("code")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        placed.where("size > 2")
+        .groupBy(F.col("code").alias("name"))
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("many"))
         .where("low < high")
-        .select("code")
+        .select("name", "many")
     )
-    parts = F.ceil(F.col("size") / SQUARE).cast("int")
-    squares = (
-        placed.where("size > 2")
-        .join(mixed, "code", "left_semi")
-        .join(nodes.select("node", "n", F.col("marks.sketch").alias("sketch")), "node")
-        .withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "code",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own", "node", "root", "centre", "n", "sketch",
+    marked = nodes.select("node", "n", F.col("marks.sketch").alias("sketch"))
+    alike = work.put(
+        _squares(
+            placed.select(F.col("code").alias("name"), "node", "root").join(marked, "node"), mixed
         )
-        .repartition("code", "low", "high")
-        .sortWithinPartitions("code", "low", "high")
+        .mapInArrow(_joined_groups(percent, exact=False), "a bigint, b bigint")
+        .distinct(),
+        "alike",
+    )
+    families = components(alike, work)
+    named = alike.select(F.explode(F.array("a", "b")).alias("root")).distinct().join(
+        families.select(F.col("node").alias("root"), F.col("root").alias("name")), "root", "left"
+    ).withColumn("name", F.coalesce("name", "root"))
+    relatives = work.put(
+        placed.select("node", "root").distinct().join(named, "root"), "relatives"
+    )
+    many = relatives.groupBy("name").agg(F.count(F.lit(1)).alias("many"))
+    more = work.put(
+        _squares(relatives.join(marked, "node").join(sets, "node"), many).mapInArrow(
+            _joined_groups(percent, exact=True), "a bigint, b bigint"
+        ),
+        "more-links",
     )
-    across = squares.mapInArrow(_compare_squares(percent), "a bigint, b bigint").distinct()
-    more = work.put(_verified(across, sets, percent), "more-links")
-    together = links.unionByName(more)
-    groups = components(together, work)
+    groups = components(links.unionByName(more), work)
 
     named = nodes.join(groups, "node", "left").select(
         "key", "n", "id", F.coalesce("root", "node").alias("root")
@@ -310,7 +355,7 @@ def near_duplicate_texts(
         ),
         "groups",
     )
-    work.drop(nodes, members, sets, links, more)
+    work.drop(nodes, members, sets, links, alike, relatives, more)
     return result
 
 
