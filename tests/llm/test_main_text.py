@@ -1,0 +1,68 @@
+import html as html_
+import re
+
+import pytest
+
+from leafmill.llm.main_text import Weights, best_stretch, extract_main_text, learn_weights, main_text, parts_of
+
+SF_DIR = "/root/testdata/sf0.001"
+FULL = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+<header><h1>Site name</h1><nav><a href=/>Home</a> <a>News</a></nav></header>
+<div class="cookie-notice">We use cookies on this site please accept</div>
+<main><header><h1>The   head&shy;line</h1></header><script>var a="<p>no</p>";</script>
+<p>First para&amp;graph with <em>wor</em>ds &copy; and<br>more<p>Second&nbsp;one
+goes on for some time<aside>buy this now</aside><form>name <input></form>
+<ul><li>one item<li>two items</ul><!-- gone --></main>
+<section id="comments"><p>what a great article this was</p></section>
+<footer>all rights reserved by us</footer></body>"""
+
+
+def test_full_page():
+    assert main_text(FULL, Weights()) == (
+        "The head­line First para&graph with words © and more Second one goes on for "
+        "some time one item two items"
+    )
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (None, ""), ("", ""), ("<p>", ""), ("<script>x", ""), ("plain text only", "plain text only"),
+        ("<p>a b c", "a b c"), ("<b><i><p>x y</p>", "x y"), ("<p>1 < 2 words</p>", "1 < 2 words"),
+        ("&lt;p&gt; &#233;&eacute", "<p> éé"), ("<!-- open <p>text</p>", ""),
+    ],
+)
+def test_odd_pages(page, text):
+    assert main_text(page, Weights()) == text
+
+
+def test_stretch_is_the_best_of_all():
+    weights = Weights({">p.a": 1.5, ">div.b": -1.0, ">p.": 0.5}, tag=-0.7)
+    page = "<p>one<div class=b>x y</div><p class=a>two three<p>four</p><div class=b>z z z z z</div><p class=a>u"
+    parts = parts_of(page)
+
+    def score(a, b):
+        return sum(len(p.text.split()) * weights.word(p.place) + p.tags * weights.tag for p in parts[a:b])
+
+    best = max(score(a, b) for a in range(len(parts)) for b in range(a, len(parts) + 1))
+    assert score(*best_stretch(parts, weights)) == pytest.approx(best)
+
+
+def test_labelled_pages_come_back_whole(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    weights = learn_weights(pages)
+    assert any(v > 0 for v in weights.places.values()) and any(v < 0 for v in weights.places.values())
+    for row in extract_main_text(pages, weights).join(pages.select("page_id", "html"), "page_id").collect():
+        inner = re.search("<article>(.*)</article>", row.html, re.S)[1]
+        plain = re.sub("<[^>]+>", " ", re.sub("</?b>", "", inner))
+        assert row.text == " ".join(html_.unescape(plain).split())
+        assert row.n_chars == len(row.text)
+
+
+def test_nulls_repeats_long_pages_and_clashing_columns(spark):
+    long_page = "<div>" * 300 + "<p>word word</p>" * 30_000
+    rows = [(1, None, None, "t"), (None, "u", "<p>hello there", "t"), (2, "u", long_page, None)] * 2
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    found = extract_main_text(pages, learn_weights(pages)).collect()
+    assert sorted(r.n_chars for r in found) == [0, 0, 11, 11, 299_999, 299_999]
+    assert extract_main_text(pages.limit(0), learn_weights(pages.limit(0))).collect() == []

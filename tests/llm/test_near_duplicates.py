@@ -1,0 +1,98 @@
+import random
+
+import numpy as np
+import pytest
+
+from leafmill.llm.components import components
+from leafmill.llm.near_duplicates import (
+    BANDS, ROWS, keep_one_per_group, near_duplicate_groups, signatures,
+)
+from leafmill.llm.words import BASE, mix
+from tests.llm.brute import groups, shingle_set
+
+
+def sequential(elements, slots):
+    """SuperMinHash element by element, without stopping early."""
+    values = [1 << 62] * slots
+    for element in elements:
+        order = list(range(slots))
+        for step in range(slots):
+            random_ = int(mix(np.array([element], np.uint64) + np.uint64(step + 1) * BASE)[0])
+            place = step + (((random_ & 0xFFFFFFFF) * (slots - step)) >> 32)
+            order[step], order[place] = order[place], order[step]
+            values[order[step]] = min(values[order[step]], (step << 32) | (random_ >> 32))
+    return values
+
+
+@pytest.mark.filterwarnings("ignore:overflow")
+@pytest.mark.parametrize("size", [1, 2, 7, 60, 900])
+def test_signatures_equal_the_sequential_form(size):
+    code = np.sort(mix(np.arange(size, dtype=np.uint64)))
+    found = signatures(code, np.zeros(size, np.int64), 1, 64)
+    assert found[0].tolist() == sequential(code.tolist(), 64)
+
+
+def test_equal_slots_estimate_similarity():
+    slots = BANDS * ROWS
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    found = []
+    for _ in range(30):
+        own = rng.integers(0, 1 << 62, 100).astype(np.uint64)
+        code = np.concatenate([np.sort(shared), np.sort(np.concatenate([shared, own]))])
+        doc = np.repeat([0, 1], [400, 500])
+        a, b = signatures(code, doc, 2, slots)
+        found.append((a == b).mean())
+    assert abs(np.mean(found) - 0.8) < 0.02
+
+
+def family(seed=1, size=60):
+    """Copies of one text with ever more words changed, so that chains of links occur."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(90)]
+    rows = []
+    for i in range(size):
+        if i % 7 == 0 and rows:
+            base = rows[-1][1].split(" ")
+        text = list(base)
+        for _ in range(rng.randrange(12)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(5000)}"
+        rows.append((100 + i, " ".join(text)))
+    return rows
+
+
+def test_groups_equal_brute_force(spark, hard_rows):
+    rows = [(r[0], r[1]) for r in hard_rows] + family()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = sorted(
+        (repr(i), n, repr(c if n else i), i == (c if n else i))
+        for (i, _), (n, c) in zip(rows, groups(rows, 2), strict=True)
+    )
+    found = near_duplicate_groups(docs, width=2).collect()
+    assert sorted((repr(r[0]), r[1], repr(r[2]), r[3]) for r in found) == expected
+
+
+def test_one_row_of_each_group_stays_whole(spark, hard):
+    kept = keep_one_per_group(hard, width=5)
+    assert kept.columns == hard.columns
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows]
+    # 1 stands for 1 to 3, 9 for 9 and 10; rows without words stay, as does the row without id.
+    assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 9, 11, 12, 13]
+    assert ids.count(None) == 2
+    assert len(shingle_set(rows[ids.index(9)].text, 5)) > 30_000
+
+
+def test_empty_input(spark, none):
+    assert near_duplicate_groups(none).collect() == []
+    assert keep_one_per_group(none).collect() == []
+
+
+def test_components_of_long_chains_and_stars(spark, work):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(50)] + [(7, 7)]
+    random.Random(2).shuffle(edges)
+    found = components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(7), work)
+    roots = {r.node: r.root for r in found.collect()}
+    assert all(roots[i] == 0 for i in range(1, 201))
+    assert all(roots[1000 + i] == 1000 for i in range(1, 50))
+    assert 0 not in roots and 1000 not in roots

@@ -1,0 +1,81 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from leafmill.llm.packing import OpenSequences, byte_bpe, pack_documents
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TEXTS = [
+    "", " ", "  two", "a b", "a  b", "tail ", "\n\n x\n", "it's we'll I'd", "é ü 日本 \U0001f600",
+    "x y   z", "tab\tand \n line", "1234 56,7", "<|endoftext|> stays text", "a \n b", "\r\n q",
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made.encode_special_tokens = True
+    return made
+
+
+def test_ids_equal_the_tokenizer(tokenizer):
+    rng = random.Random(4)
+    texts = TEXTS + ["".join(rng.choice("ab é\n\t'1.,s ") for _ in range(40)) for _ in range(500)]
+    encode = byte_bpe(RANKS)
+    for text in texts * 2:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.asarray(ids, "<u4").tobytes(), text
+
+
+def test_best_fit_and_fullest_closed_first():
+    bins = OpenSequences(10, 2)
+    assert bins.add("a", 6) == [] and bins.add("b", 7) == []
+    assert bins.add("c", 3) == [[10, [("b", 0), ("c", 7)]]]
+    assert bins.add("d", 8) == []
+    assert bins.add("e", 5) == [[8, [("d", 0)]]]
+    assert sorted(bins.rest()) == [[5, [("e", 0)]], [6, [("a", 0)]]]
+
+
+def check(rows, found, tokenizer, length):
+    pieces = defaultdict(list)
+    for r in found:
+        pieces[r.doc_id].append(r)
+    for name, text in rows:
+        ids = np.asarray([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        own = sorted(pieces[name], key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(-(-len(ids) // length)))
+        assert [r.start for r in own] == [0, *np.cumsum([r.length for r in own])[:-1]]
+        assert sum(r.length for r in own) == len(ids)
+        assert all(r.length == length for r in own[1:])
+        for r in own:
+            assert zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(sequences)
+
+
+def test_pieces_and_sequences(spark, hard_rows, tokenizer):
+    rows = [(i, r[1]) for i, r in enumerate(hard_rows)] + list(enumerate(TEXTS, 100))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    for length in (64, 2048):
+        found = pack_documents(docs, RANKS, length=length).collect()
+        used = check(rows, found, tokenizer, length)
+        assert used <= 1.1 * -(-sum(r.length for r in found) // length) + 1
+
+
+def test_ids_can_be_kept_and_columns_do_not_clash(hard, none):
+    found = pack_documents(hard, RANKS, with_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in found)
+    assert pack_documents(none, RANKS).collect() == []

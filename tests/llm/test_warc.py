@@ -1,0 +1,85 @@
+import hashlib
+
+import pytest
+
+from leafmill.llm.warc import assemble_captures, read_warc, write_warc
+
+BIG = "<html>\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" + "payload é " * 30 + "\r\n\r\n"
+PAGES = [
+    (3, "http://a.org/x y", BIG),
+    (1, "http://b.org/", BIG),
+    (1, "http://b.org/", BIG),
+    (None, "http://c.org/", BIG),
+    (4, None, None),
+    (5, "http://d.org/\r\nEvil: header", ""),
+    (6, "http://e.org/", "\r\n\r\n\r\n\r\n"),
+    (7, "http://f.org/", "tiny"),
+    (8, "http://f.org/", "tiny"),
+    (9, "http://g.org/", "\r" * 200 + "\n"),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(*p, "extra", "clash") for p in PAGES]
+    return spark.createDataFrame(
+        rows, "page_id bigint, url string, html string, copy string, digest string"
+    )
+
+
+def test_round_trip(spark, pages, work):
+    records = read_warc(spark, write_warc(pages.repartition(3), f"{work.path}/one"))
+    rows = records.collect()
+    assert len(rows) == 3 * len(PAGES)
+    assert len({r.record_id for r in rows}) == len(rows)
+    captures = assemble_captures(records).collect()
+    assert len(captures) == len(PAGES)
+    seen = {}
+    for c in captures:
+        assert len(c.requests) == len(c.metadata) == 1
+        told = bytes(c.metadata[0].payload).decode()
+        assert told.startswith("pageId: ")
+        name = told.removeprefix("pageId: ")
+        seen.setdefault(name, []).append(c)
+    payloads = {"" if i is None else str(i): (h or "").encode() for i, _, h in PAGES}
+    for name, found in seen.items():
+        for c in found:
+            assert c.payload_bytes == len(payloads[name])
+            assert c.payload_digest == hashlib.sha256(payloads[name]).hexdigest()
+            if c.record_type == "response":
+                assert bytes(c.payload) == payloads[name]
+            else:
+                assert bytes(c.payload) == b""
+                assert bytes(c.original.metadata[0].payload) == b"pageId: 1"
+    assert sorted(c.record_type for c in seen["1"]) == ["response", "revisit"]
+    assert [c.record_type for n in ("3", "") for c in seen[n]] == ["revisit", "revisit"]
+    assert all(c.record_type == "response" for n in ("4", "5", "6", "7", "8", "9") for c in seen[n])
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Uncompressed, several records of one kind, missing partners, a cut-off end, junk."""
+    def record(kind, name, payload, *more):
+        head = [f"WARC/1.0\r\nWARC-Type: {kind}\r\nwarc-record-id: <{name}>"]
+        head += [*more, f"Content-Length: {len(payload)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
+
+    data = record("warcinfo", "i", b"software: x") + record("response", "r1", b"\xff\x00body")
+    data += record("request", "q1", b"GET", "WARC-Concurrent-To: <r1>")
+    data += record("metadata", "m1", b"a", "WARC-Concurrent-To: <r1>")
+    data += record("metadata", "m2", b"b", "WARC-Concurrent-To: <r1>")
+    data += record("request", "q2", b"GET", "WARC-Concurrent-To: <gone>")
+    data += record("revisit", "v1", b"", "WARC-Refers-To: <gone>", "WARC-Payload-Digest: sha256:ab")
+    data += record("response", "r2", b"cut off here")[:-9]
+    (tmp_path / "a.warc").write_bytes(data)
+    (tmp_path / "b.warc").write_bytes(b"no archive\r\n\r\nat all")
+    captures = {c.record_id: c for c in assemble_captures(read_warc(spark, str(tmp_path))).collect()}
+    assert set(captures) == {"<r1>", "<v1>", "<r2>"}
+    assert bytes(captures["<r1>"].payload) == b"\xff\x00body"
+    assert [m.record_id for m in captures["<r1>"].metadata] == ["<m1>", "<m2>"]
+    assert captures["<v1>"].payload_bytes is None and captures["<v1>"].payload_digest == "ab"
+    assert bytes(captures["<r2>"].payload) == b"cut off"
+
+
+def test_empty_input(spark, pages, work):
+    records = read_warc(spark, write_warc(pages.limit(0), f"{work.path}/two"))
+    assert records.collect() == [] and assemble_captures(records).collect() == []
