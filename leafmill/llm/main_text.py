@@ -195,8 +195,10 @@ def best_stretch(parts: list[Part], weights: Weights) -> tuple[int, int]:
     for i, part in enumerate(parts):
         if part.silent or (part.boxed and part.inside):
             continue
-        score = len(part.text.split()) * weights.word(part.place) + part.tags * weights.tag
-        total += score
+        total += part.tags * weights.tag
+        if total <= 0:
+            total, start = 0.0, i
+        total += len(part.text.split()) * weights.word(part.place)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:

@@ -34,8 +34,8 @@ MEASURES = ("chars_per_token", "byte_share", "token_entropy")
 LEAST_SPREAD = {"chars_per_token": 0.04, "byte_share": 0.02, "token_entropy": 0.03}
 # How many spreads beyond the quartiles a band reaches, and how much farther for short texts:
 # (1 + SHORT / number of words).
-REACH = 3.5
-SHORT = 60.0
+REACH = 4.0
+SHORT = 80.0
 # Documents that a group needs to have bands.
 LEAST_GROUP = 50
 SCRIPTS = {

@@ -96,7 +96,8 @@ def _cuts(sums: DataFrame, total: int, largest: int, shards: int, capacity: int)
     """Where each shard but the last ends: as even as the capacity allows.
 
     Going back from the end gives the earliest end of each shard that leaves the rest room;
-    going forward, a shard ends at its even share of what is left, but not before that.
+    going forward, a shard ends as near as it can to its even share of what is left, but not
+    before that.
     """
     earliest = [total]
     for _ in range(shards - 1):
@@ -109,7 +110,14 @@ def _cuts(sums: DataFrame, total: int, largest: int, shards: int, capacity: int)
     for k in range(shards - 1):
         even = at + -(-(total - at) // (shards - k))
         limit = min(max(even, earliest[k]), at + capacity, total)
-        at = max(_reach(sums, [limit], largest)[0], at)
+        upto = F.col("upto")
+        below, above = sums.where((upto >= limit - largest) & (upto <= limit + largest)).agg(
+            F.max(F.when((upto <= limit) & (upto > at), upto)),
+            F.min(F.when((upto >= limit) & (upto > at) & (upto <= at + capacity), upto)),
+        ).first()
+        near = [end for end in (below, above) if end is not None]
+        # A group larger than the even share is taken whole, not left to an empty shard.
+        at = min(near, key=lambda end: abs(end - even)) if near else at
         ends.append(at)
     return ends
 

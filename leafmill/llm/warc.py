@@ -146,11 +146,13 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     file, fields, parts, got, need = None, None, [], 0, 0
     done: list[tuple] = []
 
-    def finish() -> None:
+    def finish() -> bytes:
+        """Hand the record on; returns what follows its payload in the pieces read."""
         nonlocal fields
-        payload = SEPARATOR.join(parts)[:need]
-        done.append((*[fields.get(name) for name in wanted], payload))
+        held = SEPARATOR.join(parts)
+        done.append((*[fields.get(name) for name in wanted], held[:need]))
         fields = None
+        return held[need:]
 
     def flush() -> pa.RecordBatch:
         columns = list(zip(*done, strict=True))
@@ -168,21 +170,22 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if fields is not None and parts:
                     finish()
                 file, fields = source, None
-            if fields is None:
-                block = piece.lstrip(b"\r\n")
-                if block[:5] != b"WARC/":
+            if fields is not None:
+                got += len(piece) + (len(SEPARATOR) if parts else 0)
+                parts.append(piece)
+                if got < need:
                     continue
+                size += got
+                # Line ends before the separator can make it match early, inside of which
+                # the next record's header then begins.
+                piece = finish()
+            block = piece.lstrip(b"\r\n")
+            if block[:5] == b"WARC/":
                 fields, parts, got = _header_fields(block), [], 0
                 need = int(fields.get("content-length") or 0)
-                continue
-            got += len(piece) + (len(SEPARATOR) if parts else 0)
-            parts.append(piece)
-            if got >= need:
-                size += got
-                finish()
-                if size > FLUSH_BYTES:
-                    size = 0
-                    yield flush()
+            if size > FLUSH_BYTES:
+                size = 0
+                yield flush()
     if fields is not None and parts:
         finish()
     if done:

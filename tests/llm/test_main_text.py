@@ -42,7 +42,8 @@ def test_stretch_is_the_best_of_all():
     parts = parts_of(page)
 
     def score(a, b):
-        return sum(len(p.text.split()) * weights.word(p.place) + p.tags * weights.tag for p in parts[a:b])
+        words = sum(len(p.text.split()) * weights.word(p.place) for p in parts[a:b])
+        return words + sum(p.tags * weights.tag for p in parts[a + 1 : b])
 
     best = max(score(a, b) for a in range(len(parts)) for b in range(a, len(parts) + 1))
     assert score(*best_stretch(parts, weights)) == pytest.approx(best)
