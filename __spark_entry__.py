@@ -20,7 +20,6 @@ from leafmill.operators.extract import (
     assign_ids,
     explode_elements,
     extract_elements,
-    highest_position,
     join_elements,
     split_failures,
 )
@@ -37,7 +36,7 @@ from leafmill.operators.metrics import (
     load_metrics,
     structured_metrics,
 )
-from leafmill.operators.query import run_query, table_exists
+from leafmill.operators.query import fetch_records, run_query, table_exists
 from leafmill.operators.shaping import spread
 from leafmill.operators.structure import (
     filter_empty,
@@ -166,7 +165,7 @@ def structured_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assemble_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
-    return assemble_text(turns, "conv_id", "turn", max_seq=highest_position(turns, "turn"))
+    return assemble_text(turns, "conv_id", "turn")
 
 
 def split_rejoin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,8 +221,7 @@ def isolate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted = extract_elements(_some_unreadable(spark, sf_dir)).withColumn(
         "filename", F.col("path").cast("string")
     )
-    good, errors = split_failures(extracted)
-    return file_outcomes(good).unionAll(file_outcomes(errors))
+    return file_outcomes(extracted)
 
 
 def extraction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,11 +327,8 @@ def parse_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), props, F.lit("\n")))
     )
     events = _table(spark, sf_dir, "events").withColumn("response", broken)
-    good, errors = split_failures(parse_responses(events))
     key = F.variant_get("answer", "$.k", "int")
-    return good.select("event_id", key.alias("k"), "error").unionAll(
-        errors.select("event_id", key, "error")
-    )
+    return parse_responses(events).select("event_id", key.alias("k"), "error")
 
 
 def validate_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,13 +359,12 @@ def keep_last_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_last_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = keep_last(_table(spark, sf_dir, "documents"), "source", "doc_id", wide=True)
+    last = keep_last(_table(spark, sf_dir, "documents"), "source", "doc_id")
     return last.select("source", "doc_id", "lang", F.md5("text").alias("text_md5"))
 
 
 def keep_last_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").drop("ts")
-    return keep_last(events, "user_id", "event_id")
+    return keep_last(_table(spark, sf_dir, "events"), "user_id", "event_id")
 
 
 def structured_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,6 +459,23 @@ def appended_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recreated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made anew on the location of one that has rows: only the new rows count."""
+    documents = _table(spark, sf_dir, "documents")
+    place = shared_dir(spark, "recreated")
+    recreate_table(spark, "recreated", {"doc_id": "BIGINT"}, place)
+    append_records(documents, "recreated")
+    recreate_table(spark, "recreated", {"doc_id": "BIGINT", "lang": "TEXT"}, place)
+    added = append_records(documents.where("lang <> 'en'"), "recreated")
+    return run_query(
+        spark,
+        """SELECT lang, count(*) AS n_rows, sum(doc_id) AS sum_ids,
+                  CAST(:added AS BIGINT) AS n_added
+           FROM recreated GROUP BY lang""",
+        {"added": added},
+    )
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     done = load_table(documents, "load_counts", {"doc_id": "BIGINT", "lang": "TEXT"},
@@ -495,11 +506,28 @@ def query_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fetched_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a grouped query as dictionaries on the driver: one per priority."""
+    _table(spark, sf_dir, "orders").createOrReplaceTempView("orders_view")
+    records = fetch_records(
+        spark,
+        "SELECT o_orderpriority, count(*) AS n_orders, max(o_orderkey) AS last_key "
+        "FROM orders_view WHERE o_totalprice > ? GROUP BY o_orderpriority",
+        [50000],
+        max_rows=1000,
+    )
+    return spark.createDataFrame(
+        [tuple(record.values()) for record in records],
+        "o_orderpriority string, n_orders bigint, last_key bigint",
+    )
+
+
 def catalog_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _table(spark, sf_dir, "documents").createOrReplaceTempView("documents_view")
-    return spark.table("documents_view").agg(
+    load_table(_table(spark, sf_dir, "documents"), "checked", {"doc_id": "BIGINT"},
+               shared_dir(spark, "checked"))
+    return spark.table("checked").agg(
         F.count(F.lit(1)).alias("n_documents"),
-        F.lit(table_exists(spark, "documents_view")).alias("found"),
+        F.lit(table_exists(spark, "checked")).alias("found"),
         F.lit(table_exists(spark, "no_such_table")).alias("found_other"),
     )
 
@@ -585,9 +613,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             load_and_query,
             loaded_records,
             appended_records,
+            recreated_table,
             load_counts,
             query_by_position,
             query_by_name,
+            fetched_report,
             catalog_check,
             refresh_pages,
         )
@@ -787,7 +817,8 @@ def own_sql() -> dict[str, str]:
                    md5(arg_max(text, doc_id)) AS text_md5
             FROM documents GROUP BY source""",
         "keep_last_event": """
-            SELECT max(event_id) AS event_id, user_id, arg_max(event_type, event_id) AS event_type,
+            SELECT max(event_id) AS event_id, user_id,
+                   arg_max(ts, event_id) AS ts, arg_max(event_type, event_id) AS event_type,
                    arg_max(value, event_id) AS value, arg_max(props, event_id) AS props
             FROM events GROUP BY user_id""",
         "structured_counts": """
@@ -841,6 +872,10 @@ def own_sql() -> dict[str, str]:
                    count(DISTINCT doc_id) AS n_documents, count(*) AS first_count,
                    count(*) AS second_count
             FROM documents""",
+        "recreated_table": """
+            SELECT lang, count(*) AS n_rows, CAST(sum(doc_id) AS BIGINT) AS sum_ids,
+                   CAST(sum(count(*)) OVER () AS BIGINT) AS n_added
+            FROM documents WHERE lang <> 'en' GROUP BY lang""",
         "load_counts": """
             SELECT count(*) AS rows_inserted, 'load_counts' AS table_name FROM documents""",
         "query_by_position": """
@@ -849,6 +884,9 @@ def own_sql() -> dict[str, str]:
         "query_by_name": """
             SELECT o_orderpriority, count(*) AS n_orders FROM orders
             WHERE o_orderstatus <> 'F' GROUP BY o_orderpriority""",
+        "fetched_report": """
+            SELECT o_orderpriority, count(*) AS n_orders, max(o_orderkey) AS last_key
+            FROM orders WHERE o_totalprice > 50000 GROUP BY o_orderpriority""",
         "catalog_check": """
             SELECT count(*) AS n_documents, true AS found, false AS found_other FROM documents""",
         "refresh_pages": f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leafmill.functions.text import (
@@ -14,7 +14,7 @@ from leafmill.functions.text import (
     line_elements,
     markup_elements,
 )
-from leafmill.operators.shaping import once
+from leafmill.operators.shaping import error_text, once, plain_text
 
 Parser = Callable[[bytes], Iterable[object]]
 
@@ -63,24 +63,31 @@ def _parse_in_python(files: DataFrame, parser: Parser, key: str, content: str) -
         ]
     )
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, held = [], 0
-            for name, data in zip(batch[key], batch[content]):
+            begun, lists, errors, held = 0, [], [], 0
+            for i in range(batch.num_rows):
                 elements, error = None, None
                 try:
-                    elements = [str(element) for element in parser(data)]
+                    elements = [plain_text(str(e)) for e in parser(batch.column(1)[i].as_py())]
                     held += sum(map(len, elements))
                 except Exception as problem:  # one bad file must not stop the others
-                    error = f"{type(problem).__name__}: {problem}"
-                rows.append((name, elements, error))
-                if held > HELD_CHARS:
-                    yield pd.DataFrame(rows, columns=schema.names)
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=schema.names)
-
-    return files.mapInPandas(parse, schema)
+                    elements, error = None, error_text(problem)
+                lists.append(elements)
+                errors.append(error)
+                if held > HELD_CHARS or i + 1 == batch.num_rows:
+                    # The key stays in its Arrow column, whatever its type.
+                    yield pa.record_batch(
+                        [
+                            batch.column(0).slice(begun, len(lists)),
+                            pa.array(lists, pa.list_(pa.string())),
+                            pa.array(errors, pa.string()),
+                        ],
+                        names=schema.names,
+                    )
+                    begun, lists, errors, held = i + 1, [], [], 0
+
+    return files.mapInArrow(parse, schema)
 
 
 def explode_elements(extracted: DataFrame, key: str = "path") -> DataFrame:
@@ -120,33 +127,19 @@ def assemble_text(
     text: str = "text",
     *,
     run_length: int = 4096,
-    max_seq: int | None = None,
 ) -> DataFrame:
     """Join each document's elements, in order, by newline: ``(key, content)``.
 
     Positions are whole numbers from 0, unique within a document. Runs are joined first,
     so the last step only puts together as many values as the document has runs. A
     document without elements gets ''.
-
-    ``max_seq`` is the highest position in all of ``elements``, where that is known (see
-    ``highest_position``). If it lies within one run no document can be large, and one
-    step with one shuffle does.
     """
-    if max_seq is not None and max_seq < run_length:
-        rows, text, order = elements, text, seq
-    else:
-        rows = assemble_runs(elements, key, seq, text, run_length=run_length)
-        text, order = "text", "run"
-    return rows.groupBy(key).agg(
-        F.coalesce(_ordered_join(text, order), F.lit("")).alias("content")
+    runs = assemble_runs(elements, key, seq, text, run_length=run_length)
+    return runs.groupBy(key).agg(
+        F.coalesce(_ordered_join("text", "run"), F.lit("")).alias("content")
     )
 
 
-def highest_position(elements: DataFrame, seq: str) -> int:
-    """Highest position in stored elements: a job over one column; -1 without elements."""
-    return elements.agg(F.coalesce(F.max(seq), F.lit(-1))).first()[0]
-
-
 def _ordered_join(text: str, order: str) -> Column:
     return F.expr(f"listagg(`{text}`, '\\n') WITHIN GROUP (ORDER BY `{order}`)")
 

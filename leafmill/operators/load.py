@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from leafmill.functions.answers import json_field, metadata_json, string_field
 from leafmill.functions.text import iso_text
+from leafmill.operators.shaping import stored
 from leafmill.schemas import ANSWER, TABLE_COLUMNS, TABLE_NAME, spark_type
+from leafmill.settings import remove_folder, shared_dir
 
 
 def flatten_record(
@@ -73,7 +75,28 @@ def _qualified(spark: SparkSession, name: str) -> str:
     parts = name.split(".")
     if len(parts) == 1:
         parts = [spark.catalog.currentDatabase(), *parts]
-    return ".".join(f"`{part}`" for part in parts)
+    return ".".join(_quoted(part) for part in parts)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _create(spark: SparkSession, target: str, mapping: Mapping[str, str], folder: str | None) -> None:
+    """A new table; its rows are what the folder, if one is given, holds."""
+    columns = ", ".join(f"{_quoted(name)} {spark_type(kind)}" for name, kind in mapping.items())
+    place = ""
+    if folder:
+        escaped = folder.replace("\\", "\\\\").replace("'", "\\'")
+        place = f" LOCATION '{escaped}'"
+    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet{place}")
+
+
+def _swap(spark: SparkSession, staging: str, name: str) -> None:
+    """Put a finished table in the place of another."""
+    target = _qualified(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {_qualified(spark, staging)} RENAME TO {target}")
 
 
 def recreate_table(
@@ -82,28 +105,34 @@ def recreate_table(
     mapping: Mapping[str, str] = TABLE_COLUMNS,
     location: str | None = None,
 ) -> None:
-    """Drop a table if it is there and create it anew, without rows, from a column map."""
-    columns = ", ".join(f"`{column}` {spark_type(dtype)}" for column, dtype in mapping.items())
-    target = _qualified(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet{place}")
+    """Drop a table if it is there and create it anew, without rows, from a column map.
+
+    Below ``location`` the table gets a folder of its own, new each time. The new table is
+    made first, so where that fails the old one is still there.
+    """
+    run = uuid.uuid4().hex
+    staging = f"{name}_load_{run}"
+    folder = f"{location.rstrip('/')}/load-{run}" if location else None
+    _create(spark, _qualified(spark, staging), mapping, folder)
+    _swap(spark, staging, name)
 
 
 def append_records(df: DataFrame, name: str = TABLE_NAME) -> int:
     """Append records to a table by column name and return how many.
 
-    Columns the records lack become NULL, surplus ones are left out. The number comes
-    from the table's file footers before and after, not from counters that a repeated
-    task would raise twice; it presumes no other writer.
+    Columns the records lack become NULL, surplus ones are left out. The records are
+    written to a folder of their own first and counted there, by its file footers, so the
+    number is theirs alone whatever else writes, and the cost does not grow with the table.
     """
     spark = df.sparkSession
     target = _qualified(spark, name)
-    table = spark.table(target)
-    before = table.count()
-    mapping = {field.name: field.dataType.simpleString() for field in table.schema.fields}
-    align_to_schema(df, mapping).write.insertInto(target)
-    return spark.table(target).count() - before
+    mapping = {field.name: field.dataType.simpleString() for field in spark.table(target).schema.fields}
+    batch = shared_dir(spark, "append")
+    records = stored(align_to_schema(df, mapping), batch)
+    rows = records.count()
+    records.write.insertInto(target)
+    remove_folder(spark, batch)
+    return rows
 
 
 def load_table(
@@ -124,20 +153,19 @@ def load_table(
     spark = df.sparkSession
     records = align_to_schema(df, mapping)
     run = uuid.uuid4().hex
+    staging = f"{name}_load_{run}"
+    target = _qualified(spark, staging)
     if location:
         folder = f"{location.rstrip('/')}/load-{run}"
         records.write.parquet(folder)
-        rows = spark.read.schema(records.schema).parquet(folder).count()
-        recreate_table(spark, name, mapping, folder)
+        _create(spark, target, mapping, folder)
     else:
-        recreate_table(spark, f"{name}_load_{run}", mapping)
-        staging, target = _qualified(spark, f"{name}_load_{run}"), _qualified(spark, name)
+        _create(spark, target, mapping, None)
         try:
-            records.write.insertInto(staging)
+            records.write.insertInto(target)
         except Exception:
-            spark.sql(f"DROP TABLE {staging}")
+            spark.sql(f"DROP TABLE {target}")
             raise
-        rows = spark.table(staging).count()
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    rows = spark.table(target).count()
+    _swap(spark, staging, name)
     return {"rows_inserted": rows, "table_name": name}

@@ -26,15 +26,16 @@ def iter_records(
 
 
 def fetch_records(
-    spark: SparkSession, sql: str, params: Params = None, max_rows: int = 100_000
+    spark: SparkSession, sql: str, params: Params = None, *, max_rows: int | None
 ) -> list[dict[str, Any]]:
     """All rows of a query as dictionaries; of two columns with one name the last counts.
 
-    A result larger than ``max_rows`` is refused rather than cut: ``iter_records``
-    reads those.
+    The caller says how many rows the driver can hold. A larger result is refused rather
+    than cut (``iter_records`` reads those); None means any number.
     """
-    rows = run_query(spark, sql, params).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    result = run_query(spark, sql, params)
+    rows = (result if max_rows is None else result.limit(max_rows + 1)).collect()
+    if max_rows is not None and len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows; use iter_records or raise max_rows")
     return [row.asDict() for row in rows]
 

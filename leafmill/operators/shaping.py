@@ -26,6 +26,18 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
+def plain_text(value: str) -> str:
+    """The text itself; raises for what cannot be stored as UTF-8 (a lone surrogate)."""
+    value.encode("utf-8")
+    return value
+
+
+def error_text(problem: Exception) -> str:
+    """What went wrong, as text that can be stored."""
+    text = f"{type(problem).__name__}: {problem}"
+    return text.encode("utf-8", "backslashreplace").decode("utf-8")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Redistribute a scan that has fewer splits than the cluster has cores.
 

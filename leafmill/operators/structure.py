@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leafmill.functions.answers import (
@@ -15,9 +15,8 @@ from leafmill.functions.answers import (
     type_problem,
 )
 from leafmill.functions.text import has_text
-from leafmill.operators.shaping import once, stored
+from leafmill.operators.shaping import error_text, once, plain_text
 from leafmill.schemas import ANSWER, PROMPT_MESSAGES, restrict_struct
-from leafmill.settings import shared_dir
 
 EMPTY = "empty content"
 
@@ -78,16 +77,16 @@ def run_extractor(
     id_col: str = "document_id",
     content: str = "content",
     carry: Sequence[str] = (),
-    partitions: int | None = None,
 ) -> DataFrame:
     """One answer per document: ``(id, *carry, response, error)``.
 
     Give ``extractor``, a function from a document's ``messages`` to answer text, or
     ``setup``, which builds one and is called once per partition (to open a client or
-    load a model there). A call that raises sets ``error`` for its document only, and
-    a document without text is refused without a call.
-    ``partitions`` spreads the calls wider than the input was. Answers are costly:
-    write the result before using it twice.
+    load a model there). An answer is text or None. A call that raises, or answers with
+    anything else, sets ``error`` for its document only, and a document without text is
+    refused without a call. Calls run where their documents are read: for more tasks, read
+    the stored documents with a smaller ``spark.sql.files.maxPartitionBytes``. Answers are
+    costly: write the result before using it twice.
 
     With neither, the fixed rules of ``rule_answer`` run as plain expressions.
     """
@@ -98,8 +97,6 @@ def run_extractor(
             id_col, *carry, "response", F.when(~usable, F.lit(EMPTY)).alias("error")
         )
     asked = df.select(id_col, *carry, "messages")
-    if partitions:
-        asked = asked.repartition(partitions)
     kept = [asked.schema[name] for name in (id_col, *carry)]
     schema = T.StructType(
         [
@@ -108,31 +105,37 @@ def run_extractor(
             T.StructField("error", T.StringType()),
         ]
     )
-    names = [field.name for field in kept]
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = setup() if setup is not None else extractor
         for batch in batches:
             responses, errors = [], []
-            for messages in batch["messages"]:
+            for messages in batch.column(batch.num_columns - 1):
                 response, error = None, None
-                if messages is None:
+                if not messages.is_valid:
                     error = EMPTY
                 else:
                     try:
-                        response = ask(
-                            [{"role": m["role"], "content": m["content"]} for m in messages]
-                        )
+                        response = ask(messages.as_py())
+                        if response is not None:
+                            if not isinstance(response, str):
+                                raise TypeError(f"an answer is text, not {type(response).__name__}")
+                            plain_text(response)
                     except Exception as problem:  # one bad document must not stop the others
-                        error = f"{type(problem).__name__}: {problem}"
+                        response, error = None, error_text(problem)
                 responses.append(response)
                 errors.append(error)
-            out = batch[names].copy()
-            out["response"] = pd.Series(responses, index=out.index, dtype=object)
-            out["error"] = pd.Series(errors, index=out.index, dtype=object)
-            yield out
+            # The other columns stay in Arrow, whatever their types.
+            yield pa.record_batch(
+                [
+                    *batch.columns[:-1],
+                    pa.array(responses, pa.string()),
+                    pa.array(errors, pa.string()),
+                ],
+                names=schema.names,
+            )
 
-    return asked.mapInPandas(answer, schema)
+    return asked.mapInArrow(answer, schema)
 
 
 def parse_responses(
@@ -199,30 +202,24 @@ def validate_records(
     return df.withColumn("violations", F.when(value.isNotNull(), found))
 
 
-def keep_last(df: DataFrame, key: str, order: str, *, wide: bool = False) -> DataFrame:
-    """For each key the row with the highest ``order``, which is unique within the key.
-
-    Rows are reduced before the shuffle, so a key with very many rows costs no more
-    than any other.
+def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
+    """For each key (NULL is one) the row with the highest ``order``, unique within the key.
 
-    With ``wide``, for long texts and few repeats, whole rows need not be shuffled at
-    all. A first job, run at once, reads key and order only and stores the repeated keys
-    in the shared folder. Their size is then known, and Spark takes the other rows out by
-    a broadcast join where it is below ``spark.sql.autoBroadcastJoinThreshold`` and by a
-    shuffled one, with skewed keys split, where it is not. ``df`` should be stored data.
+    Key and order alone are reduced, before the shuffle, to the keys that repeat; rows of
+    those keys with a lower order are then taken out. Whole rows are neither sorted nor
+    aggregated, and Spark moves none of them where the repeated keys are below
+    ``spark.sql.autoBroadcastJoinThreshold``; else the join is shuffled, with skewed keys
+    split. A NULL order is the lowest. Where a repeated key has no other, the query stops,
+    as which row is last is then unknown.
     """
-    if wide:
-        repeated = (
-            df.groupBy(F.col(key).alias("_key"))
-            .agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows"))
-            .where("_rows > 1")
-            .select("_key", "_last")
-        )
-        repeated = stored(repeated, shared_dir(df.sparkSession, "repeated"))
-        superseded = F.col(key).eqNullSafe(F.col("_key")) & ~F.col(order).eqNullSafe(
-            F.col("_last")
-        )
-        return df.join(repeated, superseded, "left_anti")
-    # The struct makes a NULL order the lowest one; on its own it would lose the row.
-    last = F.max_by(F.struct(*df.columns), F.struct(order))
-    return df.groupBy(F.col(key).alias("_key")).agg(last.alias("_row")).select("_row.*")
+    repeated = (
+        df.groupBy(F.col(key).alias("_key"))
+        .agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+        .where("_rows > 1")
+    )
+    unknown = F.raise_error(F.lit(f"a repeated {key} has no {order}"))
+    repeated = repeated.select(
+        "_key", F.when(F.col("_rows") > 1, F.coalesce("_last", unknown)).alias("_last")
+    )
+    lower = F.col(order).isNull() | (F.col(order) < F.col("_last"))
+    return df.join(repeated, F.col(key).eqNullSafe(F.col("_key")) & lower, "left_anti")

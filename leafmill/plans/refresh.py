@@ -65,7 +65,6 @@ def ask_documents(
     *,
     setup: Callable[[], Extractor] | None = None,
     messages: Sequence[Mapping[str, str]] = PROMPT_MESSAGES,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Stage 2 up to the raw answers: ``(filename, path, extraction_date, response, error)``."""
     return run_extractor(
@@ -74,7 +73,6 @@ def ask_documents(
         setup=setup,
         id_col="filename",
         carry=["path", "extraction_date"],
-        partitions=partitions,
     )
 
 
@@ -82,12 +80,11 @@ def refresh(
     spark: SparkSession,
     input_path: str,
     *,
+    parser: str | Parser,
     suffix: str = ".pdf",
-    parser: str | Parser = "lines",
     extractor: Extractor | None = None,
     setup: Callable[[], Extractor] | None = None,
     messages: Sequence[Mapping[str, str]] = PROMPT_MESSAGES,
-    partitions: int | None = None,
     table: str = TABLE_NAME,
     mapping: Mapping[str, str] = TABLE_COLUMNS,
     work_path: str | None = None,
@@ -97,6 +94,7 @@ def refresh(
 ) -> Refresh:
     """Scan, extract, structure and load everything under ``input_path``.
 
+    ``parser`` has no default, as what the bytes of a ``.pdf`` mean is for the caller to say.
     ``work_path`` and ``table_path`` must be reachable by all executors. The JSON
     datasets of both stages are written where a path for them is given.
     """
@@ -111,7 +109,7 @@ def refresh(
         write_extracted(documents, extracted_path)
 
     asked = ask_documents(
-        documents, extractor, setup=setup, messages=messages, partitions=partitions
+        documents, extractor, setup=setup, messages=messages
     )
     parsed = parse_responses(stored(asked, f"{work}/answers"))
     good, structure_errors = split_failures(parsed)

@@ -187,6 +187,12 @@ def struct_from_json_schema(node: Mapping[str, Any]) -> T.DataType:
     JSON value and becomes VARIANT.
     """
     kind = node.get("type")
+    if isinstance(kind, list):
+        # A union with null is that type; a field's nullability is no part of its type here.
+        rest = [option for option in kind if option != "null"]
+        if len(rest) != 1:
+            return T.VariantType()
+        return struct_from_json_schema({**node, "type": rest[0]})
     if kind == "object" and "properties" in node:
         required = set(node.get("required", ()))
         return T.StructType(

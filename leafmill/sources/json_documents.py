@@ -26,6 +26,8 @@ def read_json_documents(
         spark.read.option("multiLine", one_per_file)
         .option("mode", mode)
         .option("recursiveFileLookup", "true")
+        # The largest that a value can be, so that any document written can be read.
+        .option("maxStringLen", str((1 << 31) - 1))
     )
     if schema is None:
         reader = reader.option("singleVariantColumn", ANY_COLUMN)

@@ -23,7 +23,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json", **options: str) -
 def write_extracted(df: DataFrame, path: str, order: str = "path", **options: str) -> str:
     """Write extracted documents, the last by ``order`` for each stem."""
     named = df.withColumn("stem", file_stem(F.col("filename")))
-    last = keep_last(named, "stem", order, wide=True)
+    last = keep_last(named, "stem", order)
     return write_dataset(
         last.select("stem", "filename", "content", "extraction_date"), path, "json", **options
     )

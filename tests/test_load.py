@@ -94,10 +94,10 @@ def test_load_leaves_a_view_of_that_name_alone(spark, tmp_path, placed):
 def test_queries(spark):
     spark.range(5).createOrReplaceTempView("five")
     assert run_query(spark, "SELECT * FROM five WHERE id > ? AND id < ?", [1, 4]).count() == 2
-    assert fetch_records(spark, "SELECT id FROM five WHERE id = :n", {"n": 3}) == [{"id": 3}]
-    assert fetch_records(spark, "SELECT 1 AS a, 2 AS a") == [{"a": 2}]
-    assert fetch_records(spark, "SELECT * FROM five WHERE id > 9", []) == []
-    assert fetch_records(spark, "DROP TABLE IF EXISTS nothing_here") == []
+    assert fetch_records(spark, "SELECT id FROM five WHERE id = :n", {"n": 3}, max_rows=9) == [{"id": 3}]
+    assert fetch_records(spark, "SELECT 1 AS a, 2 AS a", max_rows=None) == [{"a": 2}]
+    assert fetch_records(spark, "SELECT * FROM five WHERE id > 9", [], max_rows=9) == []
+    assert fetch_records(spark, "DROP TABLE IF EXISTS nothing_here", max_rows=9) == []
     assert len(fetch_records(spark, "SELECT * FROM five", max_rows=5)) == 5
     with pytest.raises(ValueError, match="more than 4 rows"):
         fetch_records(spark, "SELECT * FROM five", max_rows=4)
@@ -108,3 +108,19 @@ def test_table_exists(spark):
     assert not table_exists(spark, "surely_not")
     recreate_table(spark, "surely", {"a": "TEXT"})
     assert table_exists(spark, "surely") and table_exists(spark, "SURELY")
+
+
+def test_recreate_on_a_used_location_is_empty(spark, tmp_path):
+    place = str(tmp_path / "o'hara `x`")
+    for _ in range(2):
+        recreate_table(spark, "reused", {"id": "BIGINT", "odd `name": "TEXT"}, place)
+        assert spark.table("reused").count() == 0
+        assert append_records(spark.range(5), "reused") == 5
+
+
+def test_failing_create_leaves_the_old_table(spark):
+    recreate_table(spark, "precious", {"id": "BIGINT"})
+    append_records(spark.range(3), "precious")
+    with pytest.raises(Exception):
+        recreate_table(spark, "precious", {"a": "TEXT", "A": "TEXT"})
+    assert spark.table("precious").count() == 3

@@ -21,10 +21,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_module.own_queries()))
 def test_query_matches_sql(spark, tables, name):
-    df = entry_module.queries()[name](spark, SF_DIR)
-    assert spark_types(df) == sql_types(tables, entry_module.oracle_sql()[name])
+    df = entry_module.own_queries()[name](spark, SF_DIR)
+    assert spark_types(df) == sql_types(tables, entry_module.own_sql()[name])
     names, rows = spark_rows(df)
-    expected_names, expected = sql_rows(tables, entry_module.oracle_sql()[name])
+    expected_names, expected = sql_rows(tables, entry_module.own_sql()[name])
     assert names == expected_names
     assert len(rows) == len(expected)
     assert rows == expected

@@ -6,22 +6,22 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from leafmill.operators.extract import assemble_text, extract_elements, highest_position
+from leafmill.operators.extract import assemble_text, extract_elements
 from leafmill.operators.load import flatten_record
 from leafmill.operators.structure import keep_last, parse_responses, render_prompts, run_extractor
 from leafmill.sources.files import list_files
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = re.compile(r"MapInPandas|BatchEvalPython|ArrowEvalPython|FlatMapGroups")
+PYTHON = re.compile(r"MapInArrow|MapInPandas|BatchEvalPython|ArrowEvalPython|FlatMapGroups")
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.own_queries()))
 def test_registered_plans(spark, name):
-    text = plan(entry_module.queries()[name](spark, SF_DIR))
+    text = plan(entry_module.own_queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if name not in ("parser_hook", "model_hook"):
         assert not PYTHON.search(text)
@@ -57,23 +57,20 @@ def test_row_operators_do_not_shuffle(documents):
         assert "Exchange" not in plan(df)
 
 
-def test_keep_last_shuffles_rows_once(documents):
-    narrow = plan(keep_last(documents.select("source", "doc_id", "lang"), "source", "doc_id"))
-    assert narrow.count("Exchange hashpartitioning") == 1
-    assert "partial_max_by" in narrow
+def test_keep_last_sorts_and_shuffles_no_payload(documents):
+    text = plan(keep_last(documents, "source", "doc_id"))
+    assert "SortAggregate" not in text and "BroadcastHashJoin" in text
+    for line in text.splitlines():
+        if "Aggregate" in line or "Exchange hashpartitioning" in line:
+            assert "text" not in line and "lang" not in line
 
 
-def test_wide_keep_last_shuffles_no_rows(documents):
-    text = plan(keep_last(documents, "source", "doc_id", wide=True))
-    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
-
-
-def test_wide_keep_last_without_broadcast(spark, documents):
+def test_keep_last_without_broadcast(spark, documents):
     expected = keep_last(documents, "source", "doc_id").collect()
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = keep_last(documents, "source", "doc_id", wide=True)
+        df = keep_last(documents, "source", "doc_id")
         assert "SortMergeJoin" in plan(df)
         assert sorted(df.collect()) == sorted(expected)
     finally:
@@ -86,9 +83,6 @@ def test_assembly_joins_before_each_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 2
     assert text.count("partial_listagg") == 2
     assert "role" not in text
-    short = plan(assemble_text(rows, "conv_id", "turn", max_seq=highest_position(rows, "turn")))
-    assert short.count("Exchange hashpartitioning") == 1
-    assert highest_position(rows.limit(0), "turn") == -1
 
 
 def test_filters_reach_the_scan(spark):

@@ -35,6 +35,7 @@ def test_refresh(spark, tmp_path):
     done = refresh(
         spark,
         str(raw),
+        parser="lines",
         extractor=model,
         table="refreshed",
         work_path=str(tmp_path / "work"),
@@ -61,7 +62,7 @@ def test_refresh(spark, tmp_path):
     }
     assert done.documents.select("doc_uid").distinct().count() == 5
 
-    records = fetch_records(spark, "SELECT * FROM refreshed ORDER BY document_id")
+    records = fetch_records(spark, "SELECT * FROM refreshed ORDER BY document_id", max_rows=None)
     assert [(r["document_id"], r["title"], r["keywords"]) for r in records] == [
         ("a.pdf", "newer", '["Ł"]'),
         ("b.c.pdf", "only", '["Ł"]'),
@@ -84,6 +85,7 @@ def test_refresh_of_an_empty_folder(spark, tmp_path):
     done = refresh(
         spark,
         str(tmp_path / "missing"),
+        parser="lines",
         table="refreshed_empty",
         work_path=str(tmp_path / "work"),
         table_path=str(tmp_path / "table"),
@@ -107,6 +109,7 @@ def test_model_is_asked_once_per_document(spark, tmp_path):
     done = refresh(
         spark,
         str(tmp_path / "raw"),
+        parser="lines",
         extractor=counting,
         table="asked_once",
         work_path=str(tmp_path / "work"),

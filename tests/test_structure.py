@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leafmill.operators.metrics import structured_metrics
@@ -111,8 +113,24 @@ def test_setup_runs_once_per_partition(spark):
     df = documents(spark, ["x"] * 300).coalesce(1)
     rows = run_extractor(render_prompts(df), setup=setup).collect()
     assert {int(r["response"]) for r in rows} == set(range(1, 301))
-    wide = run_extractor(render_prompts(df), setup=setup, partitions=7)
-    assert wide.rdd.getNumPartitions() == 7 and wide.count() == 300
+
+
+def test_hooks_leave_other_columns_alone_and_survive_odd_answers(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame(
+        [(big, None, "a"), (None, big, "surrogate"), (1, 2, "dict"), (3, None, "b")],
+        "document_id bigint, other bigint, content string",
+    ).coalesce(1)
+
+    def model(messages):
+        text = messages[-1]["content"].rsplit("Paper content: ", 1)[1]
+        return {"surrogate": "\ud800", "dict": {"a": 1}}.get(text, text)
+
+    found = run_extractor(render_prompts(df), model, carry=["other"]).collect()
+    assert [(r[0], r[1], r["response"]) for r in found] == [
+        (big, None, "a"), (None, big, None), (1, 2, None), (3, None, "b"),
+    ]
+    assert found[1]["error"].startswith("UnicodeEncodeError") and "dict" in found[2]["error"]
 
 
 def test_keep_last(spark):
@@ -126,10 +144,15 @@ def test_keep_last(spark):
     ]
     df = spark.createDataFrame(rows, "name string, path string, text string")
     expected = {("a", "sub/2", "x"), ("b", "1", "y"), (None, "2", "q"), ("c", None, "z")}
-    for wide in (False, True):
-        last = keep_last(df, "name", "path", wide=wide)
-        assert last.columns == df.columns
-        assert {tuple(r) for r in last.collect()} == expected
+    last = keep_last(df, "name", "path")
+    assert last.columns == df.columns
+    assert sorted(last.collect(), key=repr) == sorted(expected, key=repr)
+
+
+def test_keep_last_stops_where_no_row_is_last(spark):
+    df = spark.createDataFrame([("a", None), ("a", None)], "name string, path string")
+    with pytest.raises(Exception, match="has no path"):
+        keep_last(df, "name", "path").collect()
 
 
 def test_keep_last_with_a_hot_key(spark):
@@ -137,10 +160,9 @@ def test_keep_last_with_a_hot_key(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("name"),
         F.col("id").alias("path"),
     )
-    for wide in (False, True):
-        last = keep_last(df, "name", "path", wide=wide)
-        assert last.count() == 40001
-        assert last.where("name = 0").first()["path"] == 59997
+    last = keep_last(df, "name", "path")
+    assert last.count() == 40001
+    assert last.where("name = 0").first()["path"] == 59997
 
 
 def test_structured_metrics(spark):
