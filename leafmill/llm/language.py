@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafmill.llm.tables import small_batches
 from leafmill.llm.words import text_bytes, worker_cache
 
 WINDOW = 256
@@ -244,6 +245,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, text_col: str =
     length. ``und`` with score 0 where the text is null or has no letter, or the model
     knows no language. Columns with these names are replaced.
     """
+    small_batches(docs.sparkSession)
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     if model.languages:
         found = F.when(has_letter(F.col(text_col)), _predict(model)(F.col(text_col))).otherwise(unknown)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from leafmill.llm.tables import small_batches
+
 # Elements by their role in HTML.
 SILENT = {
     "script", "style", "noscript", "template", "svg", "math", "canvas", "iframe", "object",
@@ -284,6 +286,7 @@ def extract_main_text(
     def extract(batch: pa.Array) -> pa.Array:
         return pa.array([main_text(page, weights) for page in batch.to_pylist()], pa.string())
 
+    small_batches(pages.sparkSession)
     text = F.arrow_udf(extract, StringType())(F.coalesce(html_col, F.lit("")))
     return pages.select(id_col, url_col, text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("bigint")

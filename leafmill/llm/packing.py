@@ -32,7 +32,7 @@ OPEN = 4096
 # Units that are packed together in one task when open sequences are packed again.
 GROUP_UNITS = 1 << 16
 # Words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 # Blanks that are not single: their ids depend on what follows.
 UNEVEN = re.compile(r" \s| $")
 

@@ -26,7 +26,7 @@ WINDOW_WORDS = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 # Words whose pieces a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 # Pieces 3 to 258 of the vocabulary stand for single bytes.
 FIRST_BYTE_PIECE, LAST_BYTE_PIECE = 3, 258
 MEASURES = ("chars_per_token", "byte_share", "token_entropy")

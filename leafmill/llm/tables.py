@@ -7,6 +7,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from leafmill.settings import shared_dir
 
 
+# Rows that go to a Python worker at a time: whole documents, so fewer than Spark's default.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+DEFAULT_ROWS = 10_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size for Python workers where it is still the default."""
+    if int(spark.conf.get(BATCH_SETTING)) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 class Workspace:
     """Tables that one operator writes on its way; each is written once and read back.
 
@@ -15,6 +26,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
+        small_batches(spark)
         self.spark = spark
         self.path = shared_dir(spark, purpose)
         self.count = 0

@@ -19,11 +19,12 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from leafmill.llm.tables import small_batches
 from leafmill.llm.words import worker_cache
 
 BLANK = "▁"
 # Words whose counts a worker remembers, and the size of the numbers packed for them.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 PACK = 40
 SCALE = 1_000_000
 
@@ -35,7 +36,7 @@ def zipf_score(rank: int) -> int:
 
 def piece_scores(model: str) -> tuple[dict[str, int], int]:
     """Scores of a sentencepiece file's pieces, and the score of a byte."""
-    held = worker_cache(f"scores {model}")
+    held = worker_cache(f"tokens {model}")
     if "scores" not in held:
         import sentencepiece
 
@@ -101,8 +102,8 @@ def _counter(model: str):
 
     @F.arrow_udf("struct<n_pretokens:bigint,n_tokens:bigint,n_byte_tokens:bigint>")
     def count(texts: pa.Array) -> pa.Array:
-        known = worker_cache(f"counts {model}")
         scores, byte_score = piece_scores(model)
+        known = worker_cache(f"tokens {model}").setdefault("known", {})
         rows = []
         for at in range(0, len(texts), 256):
             split = [(t.as_py() or "").split() for t in texts.slice(at, 256)]
@@ -131,6 +132,7 @@ def token_counts(
 
     A null, empty or blank text has none. Repeated rows are counted each.
     """
+    small_batches(docs.sparkSession)
     return docs.select(id_col, _counter(model)(F.coalesce(text_col, F.lit(""))).alias("c")).select(
         id_col, "c.*"
     )

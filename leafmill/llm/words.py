@@ -23,7 +23,7 @@ AS_IS = np.arange(256, dtype=np.uint8)
 
 # Text is worked on in blocks of about this many bytes, which bounds the memory for
 # arrays with one entry per byte; a block ends between two words.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -43,15 +43,28 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
+def _process_memory() -> dict[str, dict]:
+    """What lives as long as the Python process, whatever tasks it runs."""
+    name = "_llm_process_memory"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})
+
+
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python process, whatever tasks it runs."""
-    holder = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dict that outlives the task; one at a time.
+
+    Asking for another drops it, so that a worker which goes on to another operator does
+    not keep the memory of the one before.
+    """
+    held = _process_memory().setdefault("cache", {})
+    if name not in held:
+        held.clear()
+        held[name] = {}
+    return held[name]
 
 
 def _reach(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``n`` powers of the base and of its inverse."""
-    held = worker_cache("powers")
+    held = _process_memory().setdefault("powers", {})
     if len(held.get("up", ())) < n:
         held["up"], held["down"] = _powers(BASE, n), _powers(UNBASE, n)
     return held["up"], held["down"]
