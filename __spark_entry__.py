@@ -364,7 +364,8 @@ def keep_last_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_last_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_last(_table(spark, sf_dir, "events"), "user_id", "event_id")
+    last = keep_last(_table(spark, sf_dir, "events"), "user_id", "event_id")
+    return last.withColumn("ts", iso_text(F.col("ts")))
 
 
 def structured_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -818,7 +819,8 @@ def own_sql() -> dict[str, str]:
             FROM documents GROUP BY source""",
         "keep_last_event": """
             SELECT max(event_id) AS event_id, user_id,
-                   arg_max(ts, event_id) AS ts, arg_max(event_type, event_id) AS event_type,
+                   regexp_replace(strftime(arg_max(ts, event_id), '%Y-%m-%dT%H:%M:%S.%f'),
+                                  '\\.000000$', '') AS ts, arg_max(event_type, event_id) AS event_type,
                    arg_max(value, event_id) AS value, arg_max(props, event_id) AS props
             FROM events GROUP BY user_id""",
         "structured_counts": """
