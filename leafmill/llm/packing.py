@@ -8,7 +8,8 @@ space, with a bitset of the values in use, so the best one is found by one shift
 number is fixed; when one more is needed, the fullest is closed.
 
 Each task packs the pieces it reads. What its open sequences hold at the end are units that
-are packed again, in groups of bounded size, until one group is left.
+are packed again, in groups of bounded size that are drawn anew each round, until what still
+has room is one group or a round saves next to nothing. Every piece is placed in any case.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SEPARATOR = 0
 OPEN = 4096
 # Units that are packed together in one task when open sequences are packed again.
 GROUP_UNITS = 1 << 16
+# The share of sequences that a round over several groups must save for another to follow.
+LEAST_GAIN = 0.01
 # Words whose ids a worker remembers.
 REMEMBERED = 300_000
 # Blanks that are not single: their ids depend on what follows.
@@ -265,20 +268,39 @@ def _merged(packed: DataFrame, work: Workspace, length: int) -> DataFrame:
         units.select("unit", F.col("unit").alias("into"), F.lit(0).cast("bigint").alias("shift"), "used"),
         "units",
     )
+    left, salt = None, 0
     while True:
         heads = moves.where("unit = into").select(F.col("into").alias("unit"), "used")
-        groups = -(-heads.count() // GROUP_UNITS)
+        least, many = heads.agg(F.min("used"), F.count(F.lit(1))).first()
+        if left is not None and many > left * (1 - LEAST_GAIN):
+            break
+        left = many
+        # What not even the smallest unit fits into is final.
+        loose = heads.where(F.col("used") <= F.lit(length - (least or 0)))
+        groups = -(-loose.count() // GROUP_UNITS)
+        if not groups:
+            break
         step = work.put(
-            heads.withColumn("group", F.pmod(F.xxhash64("unit"), F.lit(max(groups, 1))))
+            loose.withColumn("group", F.pmod(F.xxhash64("unit", F.lit(salt)), F.lit(groups)))
             .groupBy("group")
             .applyInArrow(_merge_group(length), "unit bigint, into bigint, shift bigint, used bigint"),
             "merges",
         )
+        moved = step.select(
+            F.col("unit").alias("old"), F.col("into").alias("new"), "shift", F.col("used").alias("filled")
+        )
         moves = work.put(
-            moves.select("unit", F.col("into").alias("old"), F.col("shift").alias("own"))
-            .join(step.withColumnRenamed("unit", "old"), "old")
-            .select("unit", "into", (F.col("own") + F.col("shift")).alias("shift"), "used"),
+            moves.select("unit", F.col("into").alias("old"), F.col("shift").alias("own"), "used")
+            .join(moved, "old", "left")
+            .select(
+                "unit",
+                F.coalesce("new", "old").alias("into"),
+                (F.col("own") + F.coalesce("shift", F.lit(0))).alias("shift"),
+                F.coalesce("filled", "used").alias("used"),
+            ),
             "moves",
         )
-        if groups <= 1:
-            return moves.select("unit", "into", "shift")
+        if groups == 1:
+            break
+        salt += 1
+    return moves.select("unit", "into", "shift")

@@ -7,7 +7,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from leafmill.llm import packing
 from leafmill.llm.packing import OpenSequences, byte_bpe, pack_documents
+from leafmill.llm.tables import Workspace
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
@@ -79,3 +81,32 @@ def test_ids_can_be_kept_and_columns_do_not_clash(hard, none):
     found = pack_documents(hard, RANKS, with_ids=True).collect()
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in found)
     assert pack_documents(none, RANKS).collect() == []
+
+
+def test_merging_ends_with_more_sequences_than_a_group_holds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_UNITS", 4)
+    put, puts = Workspace.put, []
+
+    def counted(self, df, name):
+        puts.append(name)
+        assert len(puts) < 60, "rounds without end"
+        return put(self, df, name)
+
+    monkeypatch.setattr(Workspace, "put", counted)
+    work = Workspace(spark, "test")
+    for sizes in ([9] * 12, [6] * 40, [10 - i % 9 for i in range(40)], [1] * 30, []):
+        rows = [(i, size, True) for i, size in enumerate(sizes)]
+        packed = spark.createDataFrame(rows, "sequence bigint, used bigint, open boolean")
+        puts.clear()
+        found = packing._merged(packed, work, 10).collect()
+        assert sorted(r.unit for r in found) == list(range(len(sizes)))
+        spans = defaultdict(list)
+        for r in found:
+            spans[r.into].append((r.shift, sizes[r.unit]))
+        for parts in spans.values():
+            at = 0
+            for shift, size in sorted(parts):
+                assert shift == at
+                at += size
+            assert at <= 10
+        assert len(spans) <= 1.5 * -(-sum(sizes) // 10) or min(sizes) > 5
