@@ -38,6 +38,13 @@ LEAST_GAIN = 0.01
 REMEMBERED = 300_000
 # Blanks that are not single: their ids depend on what follows.
 UNEVEN = re.compile(r" \s| $")
+# White space as the vocabulary's pattern has it, in runs so long that tiktoken's matching of
+# them can overflow its stack.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG = 1000
+LONG_RUN = re.compile(f"(?<![{WHITE}])[{WHITE}]{{{LONG},}}")
+# Every LONG / 4th character of a text with such a run has four blanks in a row.
+SAMPLED_RUN = re.compile(f"[{WHITE}]{{4}}")
 
 
 def byte_bpe(path: str) -> Callable[[str], bytes]:
@@ -60,7 +67,17 @@ def byte_bpe(path: str) -> Callable[[str], bytes]:
     )
 
     def whole(text: str) -> bytes:
-        return np.asarray(own.encode_ordinary(text), "<u4").tobytes()
+        if not SAMPLED_RUN.search(text[:: LONG // 4]):
+            return np.asarray(own.encode_ordinary(text), "<u4").tobytes()
+        ids, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            # The pattern leaves a run's last blank to the word behind it.
+            end = run.end() - (run.end() < len(text))
+            ids += own.encode_ordinary(text[at : run.start()])
+            ids += own._encode_single_piece(text[run.start() : end])
+            at = end
+        ids += own.encode_ordinary(text[at:])
+        return np.asarray(ids, "<u4").tobytes()
 
     class Parts(dict):
         def __missing__(self, part: str) -> bytes:

@@ -34,6 +34,17 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert encode(text) == np.asarray(ids, "<u4").tobytes(), text
 
 
+def test_long_white_space_gives_the_tokenizers_ids(tokenizer):
+    encode = byte_bpe(RANKS)
+    blanks = [" ", "\n", "\r\n", " \t", "\u3000", "\x85\xa0"]
+    texts = [a + blank * 2_000 + b for blank in blanks for a in ("", "a", " é") for b in ("", "b", "'s", "\x1c", "1 2  3")]
+    texts += [f"x{blank * n}y {blank * n}" for blank in blanks[:2] for n in (998, 999, 1000, 1001)]
+    texts += ["\x1c" * 3_000, "a" + "\n" * 2_000_000 + "b", " " * 2_000_000, "see" + " " * 2_000_000 + "it"]
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.asarray(ids, "<u4").tobytes(), text[:5]
+
+
 def test_best_fit_and_fullest_closed_first():
     bins = OpenSequences(10, 2)
     assert bins.add("a", 6) == [] and bins.add("b", 7) == []
