@@ -57,6 +57,7 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 # Weights before anything is learned, counted as this many words.
@@ -105,7 +106,6 @@ def parts_of(page: str) -> list[Part]:
     stack: list[tuple[str, str, bool]] = []  # name, description, is a box beside the text
     tags = 0
     at = 0
-    raw_until = None
 
     def place() -> tuple[str, bool, bool, bool]:
         block, linked, landmark, silent, boxed, inside = "", False, "", False, False, False
@@ -135,12 +135,8 @@ def parts_of(page: str) -> list[Part]:
         if out and out[-1].text != " ":
             out.append(Part(" ", "", 0, False, False, False))
 
-    for found in TOKEN.finditer(page):
-        if found.start() < at:
-            continue
+    while found := TOKEN.search(page, at):
         name = found["name"]
-        if raw_until is not None and not (name and found["close"] and name.lower() == raw_until):
-            continue
         text(found.start())
         at = found.end()
         if name is None:
@@ -150,7 +146,6 @@ def parts_of(page: str) -> list[Part]:
         if name not in INLINE:
             block_end()
         if found["close"]:
-            raw_until = None
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
@@ -179,9 +174,10 @@ def parts_of(page: str) -> list[Part]:
                 )
                 stack.append((name, f"{name}.{given.get('class', '').lower()}", box))
                 if name in RAW:
-                    raw_until = name
-    if raw_until is None:
-        text(len(page))
+                    # Nothing but its own end counts within; without one the rest is its own.
+                    end = RAW_END[name].search(page, at)
+                    at = end.start() if end else len(page)
+    text(len(page))
     return out
 
 

@@ -36,6 +36,15 @@ def test_odd_pages(page, text):
     assert main_text(page, Weights()) == text
 
 
+@pytest.mark.parametrize(
+    "raw",
+    ["for(i=0;i<n;i++){f(i);}", "a<!b){}", "x='<!--'", 'a<b&&c="', "if(a</b/.c)x()", "</scripts>", "<a href='", ""],
+)
+def test_raw_content_hides_nothing_that_follows(raw):
+    page = f"<p>one two</p><script>{raw}</SCRIPT ><style>{raw}</style><article>three four</article>"
+    assert main_text(page, Weights()) == "one two three four"
+
+
 def test_stretch_is_the_best_of_all():
     weights = Weights({">p.a": 1.5, ">div.b": -1.0, ">p.": 0.5}, tag=-0.7)
     page = "<p>one<div class=b>x y</div><p class=a>two three<p>four</p><div class=b>z z z z z</div><p class=a>u"
