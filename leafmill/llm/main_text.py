@@ -5,8 +5,8 @@ enclosing blocks), every tag scores negative; the main text is the stretch with
 total, found in one scan. The weights are log-odds learned from pages that label themselves:
 those whose markup has one ``article`` or ``main`` element, within which words are content
 and outside of which they are not. Elements that are never text (scripts, styles, forms and
-the like), and boxes inside the stretch whose words score negative (menus, notices, adverts,
-comments), are left out.
+the like), and boxes inside the stretch (menus, notices, adverts, comments), known by name or
+as blocks whose words are seldom content, are left out; links stay with the block around them.
 """
 
 from __future__ import annotations
@@ -83,6 +83,11 @@ def prior(place: str) -> float:
     return -2.0 if place.startswith("-") or place.endswith(" a") else 1.0
 
 
+def block_of(place: str) -> str:
+    """The name under which all words of a block count, those of its links too."""
+    return f"={place.removesuffix(' a')}"
+
+
 @dataclass
 class Part:
     """A run of text in one place: its words' place, the tags before it, its label."""
@@ -208,8 +213,15 @@ def main_text(page: str | None, weights: Weights) -> str:
     """The main text of a page: blocks in order, white space as single blanks."""
     parts = parts_of(page or "")
     a, b = best_stretch(parts, weights)
+    # A block that the stretch cuts, as at a link, is taken whole.
+    while a < b and a and " " not in (parts[a].text, parts[a - 1].text):
+        a -= 1
+    while a < b < len(parts) and " " not in (parts[b - 1].text, parts[b].text):
+        b += 1
     kept = [
-        p.text for p in parts[a:b] if p.text == " " or not (p.silent or p.boxed or weights.word(p.place) < 0)
+        p.text
+        for p in parts[a:b]
+        if p.text == " " or not (p.silent or p.boxed or weights.word(block_of(p.place)) < 0)
     ]
     return " ".join(html.unescape("".join(kept)).split())
 
@@ -223,7 +235,8 @@ def word_counts(page: str) -> dict[str, list[int]]:
     for p in parts:
         n = len(p.text.split())
         if n and not p.silent:
-            counts.setdefault(p.place, [0, 0])[0 if p.inside and not p.boxed else 1] += n
+            for name in (p.place, block_of(p.place)):
+                counts.setdefault(name, [0, 0])[0 if p.inside and not p.boxed else 1] += n
     return counts
 
 

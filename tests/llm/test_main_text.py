@@ -69,6 +69,17 @@ def test_labelled_pages_come_back_whole(spark):
         assert row.n_chars == len(row.text)
 
 
+def test_links_stay_in_their_sentence(spark):
+    page = "<article><p class=x>see <a>the report</a> now<p>" + "and more " * 9 + "</article>"
+    assert main_text(page, Weights()).startswith("see the report now and")
+    seen = "<article><p>text with <a>a link</a> in it</article><div class=x>far <a>off</a></div>" + "<b></b>" * 9
+    rows = [(i, "u", page if i == 0 else seen + f"<!-- {i} -->") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract_main_text(pages, learn_weights(pages)).collect()}
+    assert found[0].startswith("see the report now and")
+    assert all(found[i] == "text with a link in it" for i in range(1, 40))
+
+
 def test_nulls_repeats_long_pages_and_clashing_columns(spark):
     long_page = "<div>" * 300 + "<p>word word</p>" * 30_000
     rows = [(1, None, None, "t"), (None, "u", "<p>hello there", "t"), (2, "u", long_page, None)] * 2
