@@ -14,7 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -64,6 +64,8 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 PRIOR_WORDS = 50.0
 TAG_WEIGHT = -0.2
 LABEL_PAGES = 4000
+# Words from which on the text of a block is long.
+LONG_WORDS = 20
 
 
 @dataclass
@@ -75,6 +77,8 @@ class Weights:
 
     def word(self, place: str) -> float:
         known = self.places.get(place)
+        if known is None and "~" in place.split(">", 1)[0]:
+            known = self.places.get(any_block(place))
         return known if known is not None else prior(place)
 
 
@@ -83,9 +87,16 @@ def prior(place: str) -> float:
     return -2.0 if place.startswith("-") or place.endswith(" a") else 1.0
 
 
-def block_of(place: str) -> str:
-    """The name under which all words of a block count, those of its links too."""
-    return f"={place.removesuffix(' a')}"
+def block_names(place: str) -> list[str]:
+    """Names under which all words of a block count, those of its links too.
+
+    On pages without a label also one that leaves out whether the text is long.
+    """
+    landmark, block = place.removesuffix(" a").split(">", 1)
+    names = [f"={landmark}>{block}"]
+    if "~" in landmark:
+        names.append(f"={landmark.split('~')[0]}~>{block}")
+    return names
 
 
 @dataclass
@@ -100,6 +111,33 @@ class Part:
     boxed: bool
 
 
+def unlabelled(parts: list[Part]) -> list[Part]:
+    """The parts with places that do not tell of landmarks, as for pages without a label.
+
+    Such a place is the block and its class, whether it is a link, and whether the text
+    between the block tags around it is long.
+    """
+    out: list[Part] = []
+    at = 0
+    while at < len(parts):
+        end = at
+        while end < len(parts) and parts[end].text != " ":
+            end += 1
+        words = sum(len(p.text.split()) for p in parts[at:end] if not p.silent)
+        size = "~long" if words >= LONG_WORDS else "~short"
+        for p in parts[at:end]:
+            mark = "-" if p.boxed else ""
+            out.append(replace(p, place=f"{mark}{size}>{p.place.split('>', 1)[1]}"))
+        out += parts[end : end + 1]
+        at = end + 1
+    return out
+
+
+def any_block(place: str) -> str:
+    """The place without its block and class: what is known of blocks not seen before."""
+    return f"{place.split('>', 1)[0]}>*{' a' if place.endswith(' a') else ''}"
+
+
 def parts_of(page: str) -> list[Part]:
     """Split a page into runs of text; markup is gone but character references stay.
 
@@ -212,6 +250,8 @@ def best_stretch(parts: list[Part], weights: Weights) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     """The main text of a page: blocks in order, white space as single blanks."""
     parts = parts_of(page or "")
+    if not any(p.inside for p in parts):
+        parts = unlabelled(parts)
     a, b = best_stretch(parts, weights)
     # A block that the stretch cuts, as at a link, is taken whole.
     while a < b and a and " " not in (parts[a].text, parts[a - 1].text):
@@ -221,7 +261,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     kept = [
         p.text
         for p in parts[a:b]
-        if p.text == " " or not (p.silent or p.boxed or weights.word(block_of(p.place)) < 0)
+        if p.text == " " or not (p.silent or p.boxed or max(map(weights.word, block_names(p.place))) < 0)
     ]
     return " ".join(html.unescape("".join(kept)).split())
 
@@ -232,10 +272,13 @@ def word_counts(page: str) -> dict[str, list[int]]:
     counts: dict[str, list[int]] = {}
     if not any(p.inside for p in parts):
         return counts
-    for p in parts:
+    for p, bare in zip(parts, unlabelled(parts), strict=True):
         n = len(p.text.split())
         if n and not p.silent:
-            for name in (p.place, block_of(p.place)):
+            # Words of labelled pages also teach about places on pages that have no label.
+            sized = [bare.place, *block_names(bare.place)[:1]]
+            names = [p.place, *block_names(p.place), *sized, *map(any_block, sized), *block_names(bare.place)[1:]]
+            for name in names:
                 counts.setdefault(name, [0, 0])[0 if p.inside and not p.boxed else 1] += n
     return counts
 
@@ -275,8 +318,9 @@ def learn_weights(pages: DataFrame, *, html_col: str = "html", label_pages: int
         .collect()
     )
     places = {}
-    for place, inside, outside in sums:
-        expected = prior(place)
+    # Places without their block come first: they are what is expected of those with one.
+    for place, inside, outside in sorted(sums, key=lambda row: ">*" not in row["place"]):
+        expected = Weights(places).word(place)
         share_in = PRIOR_WORDS / (1 + math.exp(-expected))
         odds = (inside + share_in) / (outside + PRIOR_WORDS - share_in)
         places[place] = max(-4.0, min(4.0, math.log(odds)))

@@ -80,6 +80,23 @@ def test_links_stay_in_their_sentence(spark):
     assert all(found[i] == "text with a link in it" for i in range(1, 40))
 
 
+def test_pages_without_a_label_keep_their_text(spark):
+    text = [f"sentence {i} of the story goes on " + "with some more words " * 6 for i in range(4)]
+    tagline = "<p>our fine little tag line says what this site is about every day</p>"
+    links = "<div class=list>" + "<a>some link</a> " * 6 + "</div>"
+    body = "".join(f"<p>{t}</p>" for t in text)
+    rows = [(i, "u", f"{links}{tagline}<div>posted in news</div><article>{body}</article>{links}<!-- {i} -->") for i in range(60)]
+    whole = " ".join(" ".join(text).split())
+    short = body.replace("</p>", "</p><p>He nodded.</p><div class=odd>Yes.</div>", 1)
+    plain = [f"<div>{body}</div>", f"<div class=post>{'<br>'.join(text)}</div>", f"<div>{' '.join(text)}</div>{links}", body, short]
+    rows += [(100 + i, "u", page) for i, page in enumerate(plain)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract_main_text(pages, learn_weights(pages)).collect()}
+    assert {found[i] for i in range(60)} == {whole}
+    assert [found[100 + i] for i in range(4)] == [whole] * 4
+    assert found[104] == whole.replace(" sentence 1", " He nodded. Yes. sentence 1")
+
+
 def test_nulls_repeats_long_pages_and_clashing_columns(spark):
     long_page = "<div>" * 300 + "<p>word word</p>" * 30_000
     rows = [(1, None, None, "t"), (None, "u", "<p>hello there", "t"), (2, "u", long_page, None)] * 2
