@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from leafmill.llm.clusters import K, ROUNDS, cluster_vectors
 from leafmill.llm.decontaminate import contamination
+from leafmill.llm.filter_audit import filter_audit
 from leafmill.llm.language import identify_language, learn_languages
 from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.main_text import extract_main_text, learn_weights
@@ -122,6 +124,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders, by source; see ``filter_audit``."""
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen centroids, three rounds; see ``cluster_vectors``."""
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -135,6 +147,8 @@ QUERIES = {
         op8_quality,
         op9_sharding,
         op10_decontaminate,
+        op11_filter_audit,
+        op13_centroids,
     )
 }
 
@@ -142,7 +156,95 @@ QUERIES = {
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+
+def _centroids_sql() -> str:
+    """Rounds of assignment and exact floors of means, one pair of tables each."""
+    distance = (
+        "list_sum(list_transform(list_zip(p.v, q.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT"
+    )
+    ctes = [
+        """kept AS (
+          SELECT row_number() OVER () AS r, vec_id,
+                 list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings
+          WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64)""",
+        f"""centre0 AS (
+          SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v FROM kept
+          QUALIFY c < {K})""",
+    ]
+    for k in range(ROUNDS + 1):
+        ctes.append(
+            f"""near{k} AS (
+          SELECT r, min(struct_pack(d := {distance}, c := q.c)) AS best, any_value(p.v) AS v,
+                 any_value(vec_id) AS vec_id
+          FROM kept p CROSS JOIN centre{k} q GROUP BY r)"""
+        )
+        if k < ROUNDS:
+            ctes.append(
+                f"""mean{k} AS (
+          SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+            SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+              SELECT best.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{k})
+            GROUP BY c, i) GROUP BY c),
+        centre{k + 1} AS (
+          SELECT c, coalesce(mean{k}.v::BIGINT[], centre{k}.v) AS v
+          FROM centre{k} LEFT JOIN mean{k} USING (c))"""
+            )
+    return f"""
+        WITH {", ".join(ctes)}
+        SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+               sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia,
+               sum(best.d) OVER ()::BIGINT AS inertia,
+               sha256(list_reduce(list_transform(q.v, lambda x: x::VARCHAR), lambda a, b: a || ',' || b))
+                 AS centroid_sha256
+        FROM near{ROUNDS} JOIN centre{ROUNDS} q ON best.c = q.c"""
+
+
 SQL: dict[str, str] = {
+    "op13_centroids": _centroids_sql(),
+    "op11_filter_audit": """
+        WITH words AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        failing AS (
+          SELECT part, len(w) < 50 AS a, 100 * list_unique(w) < 65 * len(w) AS b,
+                 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+                 regexp_matches(text, '[#$%&*|]') AS d,
+                 doc_id > min(doc_id) OVER (PARTITION BY text) AS e,
+                 doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+                 doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+          FROM words),
+        masks AS (
+          SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask,
+                 count(*) AS n, count_if(good) AS n_good, count_if(toxic) AS n_toxic
+          FROM failing GROUP BY ALL),
+        letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(l, bit)),
+        orders AS (
+          SELECT p.l || q.l || r.l || s.l || t.l AS filter_order,
+                 [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+          FROM letters p, letters q, letters r, letters s, letters t
+          WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+        steps AS (
+          SELECT filter_order, step::INTEGER AS step, bits[step] AS bit,
+                 coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+          FROM orders, range(1, 6) x(step)),
+        audited AS (
+          SELECT part, filter_order, step, any_value(bit) AS bit,
+                 sum(n) FILTER (WHERE mask & (before | bit) = 0) AS kept,
+                 sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS removed,
+                 sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0) AS redundant,
+                 sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+                 sum(n_good) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS good_lost,
+                 sum(n_toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS toxic_lost
+          FROM masks, steps GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+               coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+               coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost,
+               coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+        FROM audited""",
     "op2_warc": """
         WITH payloads AS (
           SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
