@@ -13,6 +13,7 @@ from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.main_text import extract_main_text, learn_weights
 from leafmill.llm.near_duplicates import near_duplicate_groups
 from leafmill.llm.packing import pack_documents
+from leafmill.llm.personal_data import KINDS, find_personal_data, learn_personal_data, spans_text
 from leafmill.llm.quality import quality
 from leafmill.llm.sharding import shard_documents
 from leafmill.llm.tables import Workspace
@@ -129,6 +130,23 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and a skip-chain field over all texts; see ``find_personal_data``."""
+    documents = _table(spark, sf_dir, "documents")
+    field = learn_personal_data(documents)
+    certain = F.filter("found", lambda span: span["certain"])
+
+    def many(kind: str) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("bigint")
+
+    return find_personal_data(documents, field).withColumn("base", certain).select(
+        "doc_id",
+        *[many(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+        spans_text(F.col("found")).alias("spans"),
+    )
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen centroids, three rounds; see ``cluster_vectors``."""
     return cluster_vectors(_table(spark, sf_dir, "embeddings"))
@@ -148,6 +166,7 @@ QUERIES = {
         op9_sharding,
         op10_decontaminate,
         op11_filter_audit,
+        op12_personal_data,
         op13_centroids,
     )
 }
