@@ -4,7 +4,9 @@ Fertility is how a public vocabulary takes a text: characters per token, the sha
 that fall back to single bytes, and the entropy of the tokens as a share of what as many
 different tokens would have. Texts of a language (or of a script where the language is not
 given) are held against bands around the quartiles of all its documents; far outside of a
-band a text is rejected.
+band a text is rejected. The quartiles of a small group lean on those of its script, and these
+on the whole corpus's, by how many documents each has, so every text is judged and none changes
+sides because its group has one document more.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leafmill.llm.tables import Workspace
 from leafmill.llm.words import (
@@ -33,16 +35,50 @@ MEASURES = ("chars_per_token", "byte_share", "token_entropy")
 # Per measure the least spread that a band assumes, so that uniform groups reject nothing.
 LEAST_SPREAD = {"chars_per_token": 0.04, "byte_share": 0.02, "token_entropy": 0.03}
 # How many spreads beyond the quartiles a band reaches, and how much farther for short texts:
-# (1 + SHORT / number of words).
-REACH = 4.0
-SHORT = 80.0
-# Documents that a group needs to have bands.
-LEAST_GROUP = 50
+# (1 + short / number of words). Characters per token settle with length, the others less so.
+REACH = {"chars_per_token": (0.6, 800.0), "byte_share": (4.0, 80.0), "token_entropy": (4.0, 80.0)}
+# The wider group's quartiles count as this many documents of a group.
+LEAN = 50
+# Rows of bands up to which they are sent to all executors; there is one for each language.
+FEW_BANDS = 100_000
+# First and last letters of scripts, by code point.
 SCRIPTS = {
-    "latin": "A-Za-z\\u00c0-\\u024f", "greek": "\\u0370-\\u03ff", "cyrillic": "\\u0400-\\u04ff",
-    "hebrew": "\\u0590-\\u05ff", "arabic": "\\u0600-\\u06ff", "indic": "\\u0900-\\u0dff",
-    "thai": "\\u0e00-\\u0e7f", "kana": "\\u3040-\\u30ff", "han": "\\u4e00-\\u9fff", "hangul": "\\uac00-\\ud7af",
+    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F)], "greek": [(0x370, 0x3FF)],
+    "cyrillic": [(0x400, 0x4FF)], "hebrew": [(0x590, 0x5FF)], "arabic": [(0x600, 0x6FF)],
+    "indic": [(0x900, 0xDFF)], "thai": [(0xE00, 0xE7F)], "kana": [(0x3040, 0x30FF)],
+    "han": [(0x4E00, 0x9FFF)], "hangul": [(0xAC00, 0xD7AF)],
 }
+NO_SCRIPT = "none"
+
+
+def _script_table() -> np.ndarray:
+    """Number of the script, by code point below 0x10000; 0 for none."""
+    table = np.zeros(1 << 16, np.uint8)
+    for number, ranges in enumerate(SCRIPTS.values(), 1):
+        for first, last in ranges:
+            table[first : last + 1] = number
+    return table
+
+
+def scripts_of(texts: pa.Array) -> list[str]:
+    """The script with the most letters in each text, of equal ones the first; or none."""
+    n, names = len(texts), [NO_SCRIPT, *SCRIPTS]
+    data, starts = text_bytes(texts)
+    wide = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int32)
+    table = _script_table()
+    votes = np.zeros((n, len(names)), np.int64)
+    for lead, size in (((0x41, 0x7A), 1), ((0xC3, 0xDF), 2), ((0xE0, 0xEF), 3)):
+        at = np.flatnonzero((data >= lead[0]) & (data <= lead[1]))
+        point = wide[at]
+        if size == 2:
+            point = (point & 31) << 6 | wide[at + 1] & 63
+        elif size == 3:
+            point = (point & 15) << 12 | (wide[at + 1] & 63) << 6 | wide[at + 2] & 63
+        doc = np.searchsorted(starts, at, "right") - 1
+        script = table[point].astype(np.int64)
+        votes += np.bincount(doc * len(names) + script, minlength=votes.size).reshape(votes.shape)
+    votes[:, 0] = 0
+    return [names[i] for i in votes.argmax(axis=1)]
 
 
 def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -125,9 +161,9 @@ def fertility(text: bytes, look_up) -> tuple[int, int, float]:
 
 def _measured(model: str):
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    names = [*counts, "n_tokens", "n_byte_tokens", "token_entropy"]
-    kind = pa.struct([(c, pa.int64()) for c in names[:-1]] + [(names[-1], pa.float64())])
-    ddl = ",".join(f"{c}:bigint" for c in counts) + ",n_tokens:bigint,n_byte_tokens:bigint,token_entropy:double"
+    names = [*counts, "n_tokens", "n_byte_tokens", "token_entropy", "script"]
+    kind = pa.struct([(c, pa.int64()) for c in names[:-2]] + [(names[-2], pa.float64()), (names[-1], pa.string())])
+    ddl = ",".join(f"{c}:bigint" for c in names[:-2]) + ",token_entropy:double,script:string"
 
     @F.arrow_udf(f"struct<{ddl}>")
     def measure(texts: pa.Array) -> pa.Array:
@@ -139,22 +175,53 @@ def _measured(model: str):
             tokens, byte_tokens, entropy = zip(*rows, strict=True)
             arrays = [pa.array(found[c].astype(np.int64)) for c in counts]
             arrays += [pa.array(tokens, pa.int64()), pa.array(byte_tokens, pa.int64())]
-            arrays.append(pa.array(entropy, pa.float64()))
+            arrays += [pa.array(entropy, pa.float64()), pa.array(scripts_of(part), pa.string())]
             parts.append(pa.StructArray.from_arrays(arrays, names=names))
         return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return measure
 
 
-def script_of(text: Column) -> Column:
-    """The script with the most letters in the text; ``none`` without any."""
-    best = F.lit(0)
-    name = F.lit("none")
-    for script, letters in SCRIPTS.items():
-        many = F.length(F.regexp_replace(text, f"[^{letters}]", ""))
-        name = F.when(many > best, F.lit(script)).otherwise(name)
-        best = F.greatest(best, many)
-    return name
+def _mixed(own: list[float], own_many: int, wider: list[float] | None) -> list[float]:
+    if wider is None:
+        return list(own)
+    share = own_many / (own_many + LEAN)
+    return [share * a + (1 - share) * b for a, b in zip(own, wider, strict=True)]
+
+
+def _quartiles(rows: DataFrame, *keys: str) -> DataFrame:
+    """Documents, commonest script and quartiles of all measures (in one list) by group."""
+    lists = [F.percentile_approx(c, [0.25, 0.75], 10000) for c in MEASURES]
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("many"), F.mode("script", True).alias("of"), F.concat(*lists).alias("quartiles")
+    )
+
+
+def bands(measured: DataFrame, work: Workspace) -> DataFrame:
+    """``(band_group, quartiles)`` of every language and script; see the module's text.
+
+    At most one row for each script and one for all come to the driver; languages do not.
+    """
+    passed = measured.where(~F.col("base_failed"))
+    whole = _quartiles(passed).first()
+    scripts = {
+        row.script: _mixed(row.quartiles, row.many, whole.quartiles)
+        for row in _quartiles(passed, "script").collect()
+    }
+    listed = measured.sparkSession.createDataFrame(
+        [(f"script {k}", v, k) for k, v in scripts.items()], "band_group string, quartiles array<double>, script string"
+    )
+    own = F.col("many") / (F.col("many") + LEAN)
+    languages = _quartiles(passed.where("by_language"), "group").join(
+        F.broadcast(listed.select(F.col("script").alias("of"), F.col("quartiles").alias("wider"))), "of"
+    )
+    mixed = F.zip_with("quartiles", "wider", lambda a, b: own * a + (1 - own) * b)
+    return work.put(
+        languages.select(F.col("group").alias("band_group"), mixed.alias("quartiles")).unionAll(
+            listed.select("band_group", "quartiles")
+        ),
+        "bands",
+    )
 
 
 def quality(
@@ -169,23 +236,23 @@ def quality(
 
     ``model`` is a sentencepiece file with byte fallback. A null text has no words and fails
     like every text of under ten. The group of a document is its language or, where that is
-    null or ``lang_col`` is None, its script. A group of under ``LEAST_GROUP`` documents
-    that pass the base rules has no bands and rejects nothing more. Quartiles come from all
-    documents that pass the base rules.
+    null or ``lang_col`` is None, its script. Quartiles come from all documents that pass the
+    base rules; without any, nothing is kept. Repeated rows are judged each, alike. An empty
+    table gives no rows; other columns play no part.
     """
     work = Workspace(docs.sparkSession, "quality")
     text = F.coalesce(text_col, F.lit(""))
-    group = F.lit(None).cast("string") if lang_col is None else F.col(lang_col).cast("string")
+    language = F.lit(None).cast("string") if lang_col is None else F.col(lang_col).cast("string")
     repeated = 100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     measured = work.put(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.coalesce(F.concat(F.lit("language "), group), F.concat(F.lit("script "), script_of(text))).alias("group"),
-            _measured(model)(text).alias("m"),
-        )
-        .select("id", "group", "m.*")
+        docs.select(F.col(id_col).alias("id"), language.alias("language"), _measured(model)(text).alias("m"))
+        .select("id", "language", "m.*")
         .withColumns(
             {
+                "by_language": F.col("language").isNotNull(),
+                "group": F.coalesce(
+                    F.concat(F.lit("language "), F.col("language")), F.concat(F.lit("script "), F.col("script"))
+                ),
                 "base_failed": (F.col("n_words") < LEAST_WORDS) | repeated,
                 "chars_per_token": F.col("word_chars") / F.greatest("n_tokens", F.lit(1)),
                 "byte_share": F.col("n_byte_tokens") / F.greatest("n_tokens", F.lit(1)),
@@ -193,21 +260,19 @@ def quality(
         ),
         "measured",
     )
-    quartiles = measured.where(~F.col("base_failed")).groupBy("group").agg(
-        F.count(F.lit(1)).alias("many"),
-        *[F.percentile_approx(c, [0.25, 0.75], 10000).alias(f"{c}_quartiles") for c in MEASURES],
-    )
+    limits = bands(measured, work)
+    if limits.count() <= FEW_BANDS:
+        limits = F.broadcast(limits)
     inside = F.lit(True)
-    for c in MEASURES:
-        low, high = F.col(f"{c}_quartiles")[0], F.col(f"{c}_quartiles")[1]
-        reach = REACH * F.greatest(high - low, F.lit(LEAST_SPREAD[c])) * (1 + SHORT / F.col("n_words"))
+    for i, c in enumerate(MEASURES):
+        low, high = F.get("quartiles", F.lit(2 * i)), F.get("quartiles", F.lit(2 * i + 1))
+        spreads, short = REACH[c]
+        reach = spreads * F.greatest(high - low, F.lit(LEAST_SPREAD[c])) * (1 + short / F.greatest("n_words", F.lit(1)))
         inside = inside & F.col(c).between(low - reach, high + reach)
-    fits = F.when(F.col("many") >= LEAST_GROUP, inside).otherwise(F.lit(True))
-    bands = quartiles.withColumnRenamed("group", "band_group")
-    judged = measured.join(bands, F.col("group") == F.col("band_group"), "left")
+    judged = measured.join(limits, F.col("group") == F.col("band_group"), "left")
     return judged.select(
         F.col("id").alias(id_col),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         *MEASURES,
-        (~F.col("base_failed") & fits).alias("kept"),
+        (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
     )

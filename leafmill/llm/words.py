@@ -2,12 +2,14 @@
 
 A word is a maximal run of bytes other than space and the control characters 9 to 13. As
 UTF-8 never uses those bytes inside another character, bytes and characters agree on it.
-Words are named by 64-bit hashes of their bytes: a polynomial over the bytes, so that one
-running sum gives the hash of any stretch, then mixed.
+Words are named by 64-bit hashes of their bytes, taken eight at a time, each mixed in before
+the next: unlike sums and polynomials, which some regular words defeat, this has no structure
+that texts meet by chance. Long stretches are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from dataclasses import dataclass
@@ -25,7 +27,8 @@ AS_IS = np.arange(256, dtype=np.uint8)
 # arrays with one entry per byte; a block ends between two words.
 BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
-UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
+# Stretches of more bytes are hashed one by one.
+LONG_BYTES = 128
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,12 +40,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
-
-
 def _process_memory() -> dict[str, dict]:
     """What lives as long as the Python process, whatever tasks it runs."""
     name = "_llm_process_memory"
@@ -62,14 +59,6 @@ def worker_cache(name: str) -> dict:
     return held[name]
 
 
-def _reach(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least ``n`` powers of the base and of its inverse."""
-    held = _process_memory().setdefault("powers", {})
-    if len(held.get("up", ())) < n:
-        held["up"], held["down"] = _powers(BASE, n), _powers(UNBASE, n)
-    return held["up"], held["down"]
-
-
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each text starts (one more for the end)."""
     if isinstance(texts, pa.ChunkedArray):
@@ -108,22 +97,28 @@ class Spans:
 
 
 def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    """A hash of each stretch of ``data``; bounds ascend and stretches do not overlap."""
-    codes = np.zeros(len(begin), np.uint64)
+    """A hash of each stretch of ``data``, which ``fold`` maps bytewise first."""
+    sizes = (end - begin).astype(np.int64)
+    codes = mix(sizes.astype(np.uint64) * BASE)
+    if not len(codes):
+        return codes
+    folded = np.concatenate([fold[data], np.zeros(8, np.uint8)])
+    # Eight bytes from every place on.
+    eights = np.ndarray((len(folded) - 7,), "<u8", folded, strides=(1,))
+    going = np.flatnonzero((sizes > 0) & (sizes <= LONG_BYTES))
     at = 0
-    while at < len(begin):
-        first = begin[at]
-        last = max(int(np.searchsorted(end, first + BLOCK_BYTES, "right")), at + 1)
-        block = data[first : end[last - 1]]
-        up, down = _reach(len(block) + 1)
-        total = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum((fold[block].astype(np.uint64) + np.uint64(1)) * up[: len(block)], out=total[1:])
-        b, e = begin[at:last] - first, end[at:last] - first
-        codes[at:last] = (total[e] - total[b]) * down[b] + (e - b).astype(np.uint64) * np.uint64(
-            0xD6E8FEB86659FD93
-        )
-        at = last
-    return mix(codes)
+    while len(going):
+        chunk = eights[begin[going] + at]
+        rest = sizes[going] - at
+        last = rest < 8
+        chunk[last] &= (np.uint64(1) << (rest[last].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        codes[going] = mix((codes[going] ^ chunk) * BASE + np.uint64(1))
+        at += 8
+        going = going[rest > 8]
+    for i in np.flatnonzero(sizes > LONG_BYTES).tolist():
+        digest = hashlib.blake2b(folded[begin[i] : end[i]], digest_size=8).digest()
+        codes[i] = int.from_bytes(digest, "little")
+    return codes
 
 
 def word_spans(data: np.ndarray, starts: np.ndarray, fold: np.ndarray = LOWER) -> Spans:
