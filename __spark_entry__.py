@@ -50,9 +50,9 @@ from leafmill.operators.structure import (
 from leafmill.plans.refresh import refresh
 from leafmill.schemas import EXTRACTED, PROMPT_MESSAGES, TABLE_COLUMNS
 from leafmill.settings import shared_dir
-from leafmill.sources.files import list_files, read_bytes, scan_documents
+from leafmill.sources.files import list_files, list_prefix, read_bytes, scan_documents
 from leafmill.sources.json_documents import read_json_documents
-from leafmill.sources.sinks import write_dataset, write_extracted, write_structured
+from leafmill.sources.sinks import write_dataset, write_files, write_extracted, write_structured
 
 KEYWORD_REPORT = """
     SELECT lang, count(*) AS n_documents,
@@ -124,6 +124,38 @@ def list_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(F.endswith("name", F.lit(".txt")).alias("is_text"), "length")
 
 
+@functools.cache
+def _page_tree(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as files in nested folders with awkward names; every fifth file is empty."""
+    pages = spread(_table(spark, sf_dir, "pages"), "page_id")
+    kind = F.pmod("page_id", F.lit(3))
+    rows = pages.select(
+        F.when(F.pmod("page_id", F.lit(5)) > 0, F.col("html")).otherwise(F.lit("")).cast("binary").alias("data"),
+        F.when(kind == 0, F.lit("_under")).when(kind == 1, F.lit("x[1]")).otherwise(F.lit("a b")).alias("top"),
+        F.concat(F.lit("p"), "page_id", F.lit(".html")).alias("name"),
+    )
+    place = shared_dir(spark, "tree")
+    write_files(rows.select(F.concat_ws("/", F.lit(place), "top", F.lit(".deep"), "name").alias("path"), "data"))
+    return place
+
+
+def list_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hidden folders, names with brackets and empty files are all listed."""
+    files = list_files(spark, _page_tree(spark, sf_dir), recursive=True)
+    return files.select("name", "length")
+
+
+def list_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix is literal: a bracket in it is no pattern."""
+    return list_prefix(spark, f"{_page_tree(spark, sf_dir)}/x[").select("name", "length")
+
+
+def scan_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents of all files; those over 3000 bytes are set aside and counted."""
+    files = scan_documents(spark, _page_tree(spark, sf_dir), ".html", max_bytes=3000)
+    return extraction_metrics(extract_elements(files))
+
+
 def read_page_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = read_bytes(spark, _pages_as_files(spark, sf_dir))
     return files.select(F.md5("content").alias("content_md5"))
@@ -582,6 +614,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for fn in (
             scan_pages,
             list_page_files,
+            list_recursive,
+            list_by_prefix,
+            scan_isolated,
             read_page_bytes,
             json_round_trip,
             structured_round_trip,
@@ -699,6 +734,22 @@ def own_sql() -> dict[str, str]:
             FROM page_elements""",
         "list_page_files": """
             SELECT true AS is_text, octet_length(encode(html)) + 1 AS length FROM pages""",
+        "list_recursive": """
+            SELECT CASE page_id % 3 WHEN 0 THEN '_under' WHEN 1 THEN 'x[1]' ELSE 'a b' END
+                     || '/.deep/p' || page_id || '.html' AS name,
+                   CASE WHEN page_id % 5 > 0 THEN octet_length(encode(html)) ELSE 0 END AS length
+            FROM pages""",
+        "list_by_prefix": """
+            SELECT 'p' || page_id || '.html' AS name,
+                   CASE WHEN page_id % 5 > 0 THEN octet_length(encode(html)) ELSE 0 END AS length
+            FROM pages WHERE page_id % 3 = 1""",
+        "scan_isolated": """
+            WITH sized AS (
+              SELECT page_id % 5 = 0 OR octet_length(encode(html)) <= 3000 AS good FROM pages)
+            SELECT count_if(good)::BIGINT AS files_processed, count(*) AS total_files,
+                   count_if(NOT good)::BIGINT AS failed_files,
+                   printf('%.2f%%', count_if(good) / count(*) * 100.0) AS success_rate
+            FROM sized""",
         "read_page_bytes": "SELECT md5(html || chr(10)) AS content_md5 FROM pages",
         "json_round_trip": f"""
             WITH {_LAST_BY_FILE}

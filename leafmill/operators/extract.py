@@ -35,21 +35,26 @@ def extract_elements(
 
     ``parser`` is "lines" or "markup" (expressions only, no Python worker) or a
     function from the file's bytes to its elements, for formats that need a library.
-    A file that cannot be parsed keeps its row with ``error`` set and no elements.
-    One row per file, so no shuffle is needed to put a document together again.
+    A file that cannot be parsed keeps its row with ``error`` set and no elements, and so does one
+    that already came with an ``error``, which is kept; the parser is not called for it. One row
+    per file, so no shuffle is needed to put a document together again.
     """
+    earlier = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    files = files.select(key, content, earlier.alias("error"))
     if callable(parser):
-        return _parse_in_python(files.select(key, content), parser, key, content)
+        return _parse_in_python(files, parser, key, content)
     raw = F.col(content)
     if isinstance(files.schema[content].dataType, T.BinaryType):
         text = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
     else:
         text = raw
-    error = F.when(raw.isNull(), F.lit("no content")).when(
-        text.isNull(), F.lit("not valid UTF-8")
+    error = (
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(raw.isNull(), F.lit("no content"))
+        .when(text.isNull(), F.lit("not valid UTF-8"))
     )
-    elements = F.when(text.isNotNull(), BUILT_IN[parser](text))
-    return once(files.select(key, content), elements=elements, error=error).select(
+    elements = F.when(F.col("error").isNull() & text.isNotNull(), BUILT_IN[parser](text))
+    return once(files, elements=elements, error=error).select(
         key, "elements", "error"
     )
 
@@ -67,12 +72,13 @@ def _parse_in_python(files: DataFrame, parser: Parser, key: str, content: str) -
         for batch in batches:
             begun, lists, errors, held = 0, [], [], 0
             for i in range(batch.num_rows):
-                elements, error = None, None
-                try:
-                    elements = [plain_text(str(e)) for e in parser(batch.column(1)[i].as_py())]
-                    held += sum(map(len, elements))
-                except Exception as problem:  # one bad file must not stop the others
-                    elements, error = None, error_text(problem)
+                elements, error = None, batch.column(2)[i].as_py()
+                if error is None:
+                    try:
+                        elements = [plain_text(str(e)) for e in parser(batch.column(1)[i].as_py())]
+                        held += sum(map(len, elements))
+                    except Exception as problem:  # one bad file must not stop the others
+                        elements, error = None, error_text(problem)
                 lists.append(elements)
                 errors.append(error)
                 if held > HELD_CHARS or i + 1 == batch.num_rows:

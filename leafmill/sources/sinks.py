@@ -6,10 +6,15 @@ dataset with the would-be file name as a column. Writing replaces the dataset.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from leafmill.functions.text import file_stem
 from leafmill.operators.structure import keep_last
+from leafmill.sources.listing import OpenFs, open_by_uri
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "json", **options: str) -> str:
@@ -20,6 +25,30 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json", **options: str) -
     return path
 
 
+def write_files(df: DataFrame, open_fs: OpenFs = open_by_uri) -> int:
+    """Write each row's ``data`` to the file named by its ``path``, and return how many.
+
+    Bytes go out within tasks as they are, under literal names; folders are made as needed. A
+    file that is there is replaced, so a task that is run again does no harm.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: set[str] = set()
+        for batch in batches:
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                fs, place = open_fs(path if re.match("[A-Za-z][A-Za-z0-9+.-]*:", path) else f"file:{path}")
+                folder = place.rpartition("/")[0]
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with fs.open_output_stream(place) as file:
+                    file.write(data or b"")
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["written"])
+
+    rows = df.select("path", "data").mapInArrow(write, "written bigint")
+    return rows.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+
+
 def write_extracted(df: DataFrame, path: str, order: str = "path", **options: str) -> str:
     """Write extracted documents, the last by ``order`` for each stem."""
     named = df.withColumn("stem", file_stem(F.col("filename")))

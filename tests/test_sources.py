@@ -1,13 +1,17 @@
 """Scans, JSON documents and sinks on temporary folders."""
 
+import hashlib
 import json
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from leafmill.operators.extract import extract_elements
+from leafmill.operators.metrics import extraction_metrics
 from leafmill.schemas import EXTRACTED, FILES, LISTING
 from leafmill.sources.files import list_files, list_prefix, read_bytes, scan_documents
+from leafmill.sources.listing import list_tree, open_by_uri
 from leafmill.sources.json_documents import read_json_documents
 from leafmill.sources.sinks import write_dataset, write_extracted, write_structured
 
@@ -44,6 +48,9 @@ def test_scan(spark, folder):
     assert df.schema == FILES
     found = {row["path"].split("/raw/")[1]: bytes(row["content"]) for row in df.collect()}
     assert found == {
+        ".h.pdf": b"hidden",
+        "_u.pdf": b"hidden",
+        "empty.pdf": b"",
         "a.pdf": b"top",
         "sub/a.pdf": b"below",
         "sub/b.c.pdf": b"b",
@@ -62,11 +69,14 @@ def test_nothing_to_scan(spark, folder, place):
 
 def test_list(spark, folder):
     for root in (str(folder / "raw"), f"file://{folder}/raw/", f"file:{folder}/x/../raw"):
-        assert names(list_files(spark, root)) == ["U.PDF", "a.pdf", "n.txt"]
-    top = list_files(spark, str(folder / "raw"), ".pdf")
+        assert names(list_files(spark, root)) == [".h.pdf", "U.PDF", "_u.pdf", "a.pdf", "empty.pdf", "n.txt"]
+    top = list_files(spark, str(folder / "raw"), "a.pdf")
     assert names(top) == ["a.pdf"] and top.schema == LISTING
     assert names(list_files(spark, str(folder / "raw"), ".pdf", recursive=True)) == [
+        ".h.pdf",
+        "_u.pdf",
         "a.pdf",
+        "empty.pdf",
         "k=v/z.pdf",
         "sub/a.pdf",
         "sub/b.c.pdf",
@@ -78,8 +88,120 @@ def test_list(spark, folder):
 
 def test_list_prefix(spark, folder):
     found = list_prefix(spark, f"{folder}/raw", ".pdf")
-    assert names(found) == ["a.pdf", "a.pdf", "b.c.pdf", "other.pdf", "p%20q é[1].pdf", "z.pdf"]
-    assert list_prefix(spark, f"{folder}/missing").count() == 0
+    all_names = [".h.pdf", "_u.pdf", "a.pdf", "a.pdf", "b.c.pdf", "empty.pdf", "other.pdf", "p%20q é[1].pdf", "z.pdf"]
+    assert names(found) == all_names
+    assert names(list_prefix(spark, f"{folder}/raw/su")) == ["a.pdf", "b.c.pdf", "p%20q é[1].pdf"]
+    assert names(list_prefix(spark, f"{folder}/raw/")) == sorted([n for n in all_names if n != "other.pdf"] + ["U.PDF", "n.txt"])
+    for literal in ("raw/sub/deep er/p%20q é[1]", "raw/sub/deep er/p%20q é["):
+        assert names(list_prefix(spark, f"{folder}/{literal}")) == ["p%20q é[1].pdf"]
+    for pattern in ("ra*", "raw/sub/[a-z]", "raw/{a,n}", "missing", "raw/sub/deep er/p%20q é[1].pdfx"):
+        assert list_prefix(spark, f"{folder}/{pattern}").count() == 0
+
+
+@pytest.fixture
+def odd_folder(tmp_path):
+    for name, data in {"a": b"1", "b": b"22", "zero": b"", ".h": b"333", "_u": b"4", "x[1]/q": b"55555"}.items():
+        (tmp_path / "odd" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "odd" / name).write_bytes(data)
+    return tmp_path / "odd"
+
+
+def test_every_file_is_found_under_its_literal_name(spark, odd_folder):
+    found = extract_elements(scan_documents(spark, str(odd_folder), ""))
+    assert extraction_metrics(found).first().total_files == 6
+    assert [r["path"].rsplit("/", 1)[1] for r in scan_documents(spark, f"{odd_folder}/x[1]", "").collect()] == ["q"]
+    assert names(list_files(spark, f"{odd_folder}/x[1]")) == ["q"]
+    assert names(list_files(spark, f"{odd_folder}/x[1]/q")) == ["q"]
+    assert list_files(spark, f"{odd_folder}/x*").count() == 0
+
+
+@pytest.mark.parametrize("entries", [1, 3, 20_000])
+def test_rounds_of_listing_find_all_however_small(spark, tmp_path, entries):
+    expected = set()
+    for i in range(6):
+        for j in range(4):
+            place = tmp_path / "tree" / f"d{i}" / ("e" * (j + 1)) / f"f{j}"
+            place.mkdir(parents=True)
+            for k in range(i):
+                (place / f"{k}.pdf").write_text("x" * k)
+                expected.add((f"d{i}/{'e' * (j + 1)}/f{j}/{k}.pdf", k))
+    (tmp_path / "tree" / "d0" / "loop").symlink_to(tmp_path / "tree")
+    found = list_tree(spark, str(tmp_path / "tree"), task_entries=entries).collect()
+    assert {(r.path.split("/tree/")[1], r.length) for r in found} == expected
+    assert len(found) == len(expected) and {r.error for r in found} == {None}
+
+
+def test_names_that_are_no_text(spark, tmp_path):
+    (tmp_path / "n").mkdir()
+    with open(bytes(tmp_path / "n") + b"/\xff.pdf", "wb") as file:
+        file.write(b"x")
+    row = scan_documents(spark, str(tmp_path / "n")).first()
+    assert row.error == "the name is not valid UTF-8" and row.path.endswith("/\\udcff.pdf")
+
+
+def test_times_and_sizes_equal_those_of_sparks_reader(spark, folder):
+    raw = f"{folder}/raw/sub"
+    ours = list_files(spark, raw, recursive=True).select("path", "length", "modificationTime")
+    theirs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw)
+    assert sorted(ours.collect()) == sorted(theirs.select("path", "length", "modificationTime").collect())
+
+
+def test_a_file_that_cannot_be_read_is_a_row_with_an_error(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "good.pdf").write_bytes(b"fine")
+    (raw / "long.pdf").write_bytes(b"x" * 1001)
+    (raw / "gone.pdf").symlink_to(tmp_path / "nothing")
+    (raw / "sick.pdf").symlink_to("/proc/self/mem")  # opens but does not read
+    (raw / "late.pdf").write_bytes(b"here when listed")
+    files = scan_documents(spark, str(raw), max_bytes=1000)
+    (raw / "late.pdf").unlink()
+    rows = {r.path.rsplit("/", 1)[1]: r for r in files.collect()}
+    assert {n for n, r in rows.items() if r.error is None} == {"good.pdf"}
+    assert bytes(rows["good.pdf"].content) == b"fine"
+    assert "1001 bytes are more than 1000" in rows["long.pdf"].error and rows["long.pdf"].content is None
+    assert "FileNotFoundError" in rows["late.pdf"].error and "FileNotFoundError" in rows["gone.pdf"].error
+    for parser in ("lines", lambda data: [data.decode()]):
+        extracted = extract_elements(files, parser)
+        assert extraction_metrics(extracted).first().asDict() == {
+            "files_processed": 1, "total_files": 5, "failed_files": 4, "success_rate": "20.00%",
+        }
+        told = {r.path.rsplit("/", 1)[1]: r.error for r in extracted.collect()}
+        assert told == {n: r.error for n, r in rows.items()}
+
+
+def test_a_folder_that_cannot_be_listed_is_a_row_with_an_error(spark, folder):
+    def open_fs(uri):
+        if uri.endswith("/sub"):
+            raise PermissionError("no")
+        return open_by_uri(uri)
+
+    rows = {r.path.split("/raw/")[1]: r.error for r in scan_documents(spark, f"{folder}/raw", open_fs=open_fs).collect()}
+    assert rows == {
+        ".h.pdf": None, "_u.pdf": None, "a.pdf": None, "empty.pdf": None, "k=v/z.pdf": None, "sub": "PermissionError: no",
+    }
+
+
+def test_schemes_that_only_hadoop_knows(spark, folder):
+    """Listed on the driver, read by Spark; what its reader skips keeps a row."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.shelf.link./in", f"file://{folder}")
+    root = "viewfs://shelf/in/raw"
+    assert names(list_files(spark, root)) == [".h.pdf", "U.PDF", "_u.pdf", "a.pdf", "empty.pdf", "n.txt"]
+    assert names(list_prefix(spark, f"{root}/su")) == ["a.pdf", "b.c.pdf", "p%20q é[1].pdf"]
+    rows = {r.path.split("/raw/")[1]: r for r in scan_documents(spark, root).collect()}
+    assert bytes(rows["a.pdf"].content) == b"top" and bytes(rows["empty.pdf"].content) == b""
+    assert rows["_u.pdf"].error == rows[".h.pdf"].error == "skipped by Spark's reader"
+    assert sum(r.error is None for r in rows.values()) == 6
+    assert list_files(spark, "viewfs://shelf/in/missing").count() == 0
+
+
+def test_large_folders_are_read_in_bounded_batches(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    for i in range(30):
+        (tmp_path / "many" / f"{i}.pdf").write_bytes(bytes([i]) * (3 << 20))
+    rows = scan_documents(spark, str(tmp_path / "many")).select("path", F.md5("content").alias("m"), "error").collect()
+    assert len(rows) == 30 and {r.error for r in rows} == {None}
+    assert {r.m for r in rows} == {hashlib.md5(bytes([i]) * (3 << 20)).hexdigest() for i in range(30)}
 
 
 def test_read_bytes(spark, folder):
