@@ -51,7 +51,7 @@ from leafmill.plans.refresh import refresh
 from leafmill.schemas import EXTRACTED, PROMPT_MESSAGES, TABLE_COLUMNS
 from leafmill.settings import shared_dir
 from leafmill.sources.files import list_files, list_prefix, read_bytes, scan_documents
-from leafmill.sources.json_documents import read_json_documents
+from leafmill.sources.json_documents import read_json_documents, read_json_objects
 from leafmill.sources.sinks import write_dataset, write_files, write_extracted, write_structured
 
 KEYWORD_REPORT = """
@@ -192,12 +192,60 @@ def structured_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rewrite_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second write replaces the documents that come again and leaves the others."""
+    documents = _table(spark, sf_dir, "documents").select(
+        F.concat("doc_id", F.lit(".pdf")).alias("filename"),
+        F.col("text").alias("content"),
+        F.lit(FIXED_DATE).alias("extraction_date"),
+        F.col("doc_id").alias("path"),
+    )
+    place = shared_dir(spark, "rewritten")
+    write_extracted(documents.where("path % 3 < 2"), place)
+    second = documents.where("path % 3 > 0").withColumn("content", F.concat(F.lit("new "), "content"))
+    write_extracted(second, place)
+    back = read_json_documents(spark, place, EXTRACTED, one_per_file=False)
+    return back.select("stem", F.md5("content").alias("content_md5"))
+
+
+def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pretty-printed object per file, read with a declared schema."""
+    pages = spread(_table(spark, sf_dir, "pages"), "page_id")
+    place = shared_dir(spark, "objects")
+    body = F.to_json(F.struct("page_id", F.struct("url", F.array("html").alias("html")).alias("page")), {"pretty": "true"})
+    path = F.concat(F.lit(f"{place}/"), "page_id", F.lit(".json"))
+    write_files(pages.select(path.alias("path"), body.cast("binary").alias("data")))
+    back = read_json_documents(spark, place, "page_id BIGINT, page STRUCT<url: STRING, html: ARRAY<STRING>>")
+    return back.select("page_id", "page.url", F.md5(F.get("page.html", F.lit(0))).alias("html_md5"))
+
+
+def pretty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pretty-printed objects, many to a file, read as one object a row."""
+    documents = _table(spark, sf_dir, "documents")
+    body = F.to_json(F.struct("doc_id", F.struct("lang", "text").alias("body")), {"pretty": "true"})
+    place = write_dataset(documents.select(body.alias("value")), shared_dir(spark, "pretty"), "text")
+    found = read_json_objects(spark, place)
+    return found.select(
+        F.variant_get("document", "$.doc_id", "bigint").alias("doc_id"),
+        F.variant_get("document", "$.body.lang", "string").alias("lang"),
+        F.md5(F.variant_get("document", "$.body.text", "string")).alias("text_md5"),
+        "error",
+    )
+
+
 # --- Stage 1 ----------------------------------------------------------------------
 
 
 def assemble_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
-    return assemble_text(turns, "conv_id", "turn")
+    return assemble_text(turns, "conv_id", "turn").select("conv_id", "content")
+
+
+def assemble_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of uneven elements; conversations over 2000 bytes are set aside with their size."""
+    turns = _table(spark, sf_dir, "conversations")
+    joined = assemble_text(turns, "conv_id", "turn", run_length=3, run_bytes=200, max_bytes=2000)
+    return joined.select("conv_id", F.md5("content").alias("content_md5"), "error")
 
 
 def split_rejoin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +385,66 @@ def model_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 16 documents, four calls in flight; the model fails on every 50th document."""
+
+    # Defined here so that it travels to workers that cannot import this module.
+    def sizes(batch: list[list[dict[str, str]]]) -> list[str]:
+        texts = [messages[-1]["content"].split("Paper content: ", 1)[1] for messages in batch]
+        if any(text.startswith("fail here") for text in texts):
+            raise RuntimeError("the batch was refused")
+        return [json.dumps({"n_lines": text.count("\n") + 1}) for text in texts]
+
+    refused = F.pmod("doc_id", F.lit(50)) == 0
+    texts = _table(spark, sf_dir, "documents").withColumn(
+        "text", F.when(refused, F.concat(F.lit("fail here "), "text")).otherwise(F.col("text"))
+    )
+    asked = render_prompts(texts, content="text")
+    answers = run_extractor(asked, sizes, id_col="doc_id", batch_size=16, in_flight=4)
+    return parse_responses(answers).select(
+        "doc_id", F.variant_get("answer", "$.n_lines", "bigint").alias("n_lines"), "error"
+    )
+
+
+def parse_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys, values that do not fit and broken answers, by kind of event."""
+    kind, props = F.col("event_type"), F.col("props")
+    changed = (
+        F.when(kind == "error", F.replace(props, F.lit("}"), F.lit(', "k": -1}')))
+        .when(kind == "purchase", F.regexp_replace(props, r"(\d+)", '"$1 pieces"'))
+        .when(kind == "signup", F.concat(props, F.lit("}")))
+        .otherwise(props)
+    )
+    events = _table(spark, sf_dir, "events").withColumn("response", changed)
+    parsed = parse_responses(events, "k INT, more STRING")
+    return parsed.select(
+        "event_id",
+        F.col("typed.k").alias("k"),
+        F.variant_get("answer", "$.k", "string").alias("k_text"),
+        F.col("corrupt").isNotNull().alias("is_corrupt"),
+        "error",
+    )
+
+
+def validate_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects in lists in objects; each kind of event breaks the schema at another depth."""
+    kind, key = F.col("event_type"), F.get_json_object("props", "$.k")
+    body = (
+        F.when(kind == "error", F.lit('{"o":{"zz":%s},"l":[{"y":"no"}]}'))
+        .when(kind == "purchase", F.lit('{"o":{"x":%s},"l":[{"y":1},{"y":true},{"q":[],"p":0}]}'))
+        .when(kind == "signup", F.lit('{"o":{"x":%s,"deep":{"list":[[1],["a"]]}},"l":null}'))
+        .when(kind == "view", F.lit('{"o":[%s],"l":{},"m":{"a":{"z":1},"b":{}}}'))
+        .otherwise(F.lit('{"o":{"x":%s,"deep":{"list":[[1],[]]}},"l":[],"m":{"a":{"z":false}}}'))
+    )
+    events = _table(spark, sf_dir, "events").withColumn("response", F.replace(body, F.lit("%s"), key))
+    schema = _schema(
+        "o STRUCT<x: INT NOT NULL, deep: STRUCT<list: ARRAY<ARRAY<INT>>>> NOT NULL, "
+        "l ARRAY<STRUCT<y: INT>>, m MAP<STRING, STRUCT<z: BOOLEAN NOT NULL>>"
+    )
+    checked = validate_records(parse_responses(events), schema)
+    return checked.select("event_id", F.array_join("violations", ",").alias("violations"))
+
+
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     parsed = parse_responses(events, "k int", response="props")
@@ -400,6 +508,14 @@ def keep_last_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.withColumn("ts", iso_text(F.col("ts")))
 
 
+def keep_last_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most rows tie or have no order at all; one row of each user is left."""
+    events = _table(spark, sf_dir, "events").select("user_id", "event_type", "event_id").withColumn(
+        "rank", F.when(F.pmod("user_id", F.lit(3)) > 0, F.col("event_type"))
+    )
+    return keep_last(events, "user_id", "rank", tie=["event_id"])
+
+
 def structured_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("source", "lang", "doc_id")
     kept = keep_last(
@@ -620,7 +736,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             read_page_bytes,
             json_round_trip,
             structured_round_trip,
+            rewrite_by_stem,
+            json_files,
+            pretty_documents,
             assemble_conversation,
+            assemble_bounded,
             split_rejoin,
             extract_pages,
             page_elements,
@@ -635,12 +755,16 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             requested_fields,
             rule_answers,
             model_hook,
+            batch_hook,
+            parse_typed,
+            validate_nested,
             parse_props,
             parse_broken,
             validate_props,
             keep_last_by_source,
             keep_last_wide,
             keep_last_event,
+            keep_last_tied,
             structured_counts,
             json_columns,
             metadata_objects,
@@ -765,6 +889,52 @@ def own_sql() -> dict[str, str]:
         "assemble_conversation": """
             SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS content
             FROM conversations GROUP BY conv_id""",
+        "assemble_bounded": """
+            WITH joined AS (
+              SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS content
+              FROM conversations GROUP BY conv_id),
+            sized AS (SELECT *, octet_length(encode(content)) AS n FROM joined)
+            SELECT conv_id, CASE WHEN n <= 2000 THEN md5(content) END AS content_md5,
+                   CASE WHEN n > 2000 THEN n || ' bytes are more than 2000' END AS error
+            FROM sized""",
+        "rewrite_by_stem": """
+            SELECT CAST(doc_id AS VARCHAR) AS stem,
+                   md5(CASE WHEN doc_id % 3 > 0 THEN 'new ' || text ELSE text END) AS content_md5
+            FROM documents""",
+        "json_files": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
+        "pretty_documents": """
+            SELECT doc_id, lang, md5(text) AS text_md5, CAST(NULL AS VARCHAR) AS error
+            FROM documents""",
+        "batch_hook": """
+            SELECT doc_id, CASE WHEN doc_id % 50 > 0
+                   THEN length(text) - length(replace(text, chr(10), '')) + 1 END AS n_lines,
+                   CASE WHEN doc_id % 50 = 0 THEN 'RuntimeError: the batch was refused' END AS error
+            FROM documents""",
+        "parse_typed": """
+            WITH found AS (
+              SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+            SELECT event_id,
+                   CASE event_type WHEN 'error' THEN -1 WHEN 'purchase' THEN NULL
+                     WHEN 'signup' THEN NULL ELSE k END AS k,
+                   CASE event_type WHEN 'error' THEN '-1' WHEN 'purchase' THEN k || ' pieces'
+                     WHEN 'signup' THEN NULL ELSE CAST(k AS VARCHAR) END AS k_text,
+                   event_type = 'purchase' AS is_corrupt,
+                   CASE WHEN event_type = 'signup' THEN 'not a JSON object' END AS error
+            FROM found""",
+        "validate_nested": """
+            SELECT event_id, CASE event_type
+                WHEN 'error' THEN 'missing:o.x,extra:o.zz,type:l[].y'
+                WHEN 'purchase' THEN 'type:l[].y,extra:l[].p,extra:l[].q'
+                WHEN 'signup' THEN 'type:o.deep.list[]'
+                WHEN 'view' THEN 'type:o,type:l,type:m{}.z,missing:m{}.z'
+                ELSE '' END AS violations
+            FROM events""",
+        "keep_last_tied": """
+            WITH ranked AS (
+              SELECT user_id, event_type, event_id,
+                     CASE WHEN user_id % 3 > 0 THEN event_type END AS rank FROM events)
+            SELECT * FROM ranked QUALIFY row_number() OVER (
+              PARTITION BY user_id ORDER BY rank DESC NULLS LAST, event_id DESC) = 1""",
         "split_rejoin": "SELECT doc_id, md5(text) AS content_md5 FROM documents",
         "extract_pages": f"""
             WITH {_PAGE_ELEMENTS}

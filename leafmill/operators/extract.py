@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from leafmill.functions.text import (
     file_name,
@@ -14,12 +14,17 @@ from leafmill.functions.text import (
     line_elements,
     markup_elements,
 )
-from leafmill.operators.shaping import error_text, once, plain_text
+from leafmill.operators.shaping import error_text, once, plain_text, stored
+from leafmill.settings import shared_dir
 
 Parser = Callable[[bytes], Iterable[object]]
 
 # Text a parser worker gathers before handing it on.
 HELD_CHARS = 16_000_000
+# Bytes after which a run of joined elements ends, and the most that one value can have (Spark's
+# limit is 2 GB, of which some is for its own use).
+RUN_BYTES = 8 << 20
+MAX_BYTES = (1 << 31) - (1 << 16)
 
 BUILT_IN = {"lines": line_elements, "markup": markup_elements}
 
@@ -115,15 +120,23 @@ def assemble_runs(
     text: str = "text",
     *,
     run_length: int = 4096,
+    run_bytes: int = RUN_BYTES,
 ) -> DataFrame:
-    """Join elements in order within runs of ``run_length`` positions: ``(key, run, text)``.
+    """Join elements in order within runs: ``(key, run, text)``.
 
-    The runs of one document are spread over tasks, whatever its share of the rows.
-    Joined by newline in run order they are the document; use them as they are where
-    a document is too long for one value (Spark's limit is 2 GB).
+    A run has at most ``run_length`` positions, and ends with the element that brings it to
+    ``run_bytes``, so it is no longer than that and one element. The positions of a document are
+    spread over tasks, whatever its share of the rows. Joined by newline in run order the runs
+    are the document; use them as they are where a document is too long for one value.
     """
-    run = F.floor(F.col(seq) / run_length).alias("run")
-    return elements.groupBy(key, run).agg(_ordered_join(text, seq).alias("text"))
+    block = F.floor(F.col(seq) / run_length)
+    placed = elements.select(key, block.alias("_block"), F.col(seq).alias("_seq"), F.col(text).alias("text"))
+    earlier = Window.partitionBy(key, "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = F.coalesce(F.sum(_size("text")).over(earlier), F.lit(0))
+    # The number of a run orders the runs of a document; it has gaps.
+    run = F.shiftleft("_block", 32) + F.floor(so_far / run_bytes)
+    cut = placed.withColumn("run", run)
+    return cut.groupBy(key, "_block", "run").agg(_ordered_join("text", "_seq").alias("text")).drop("_block")
 
 
 def assemble_text(
@@ -133,17 +146,38 @@ def assemble_text(
     text: str = "text",
     *,
     run_length: int = 4096,
+    run_bytes: int = RUN_BYTES,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """Join each document's elements, in order, by newline: ``(key, content)``.
+    """Join each document's elements, in order, by newline: ``(key, content, error)``.
 
-    Positions are whole numbers from 0, unique within a document. Runs are joined first,
-    so the last step only puts together as many values as the document has runs. A
-    document without elements gets ''.
+    Positions are whole numbers from 0, unique within a document. Runs bounded by positions and
+    bytes are joined first, so the last step only puts together as many values as the document has
+    runs. A document without elements gets ''. One of more than ``max_bytes`` has no content and
+    an ``error`` instead of stopping the others; such are found, when this is called, by one pass
+    over the sizes that moves no text, and ``assemble_runs`` still gives their runs.
     """
-    runs = assemble_runs(elements, key, seq, text, run_length=run_length)
-    return runs.groupBy(key).agg(
-        F.coalesce(_ordered_join("text", "run"), F.lit("")).alias("content")
+    total = F.sum(_size(text)) - 1
+    long = stored(
+        elements.groupBy(F.col(key).alias("_key")).agg(total.alias("_bytes")).where(F.col("_bytes") > max_bytes),
+        shared_dir(elements.sparkSession, "long"),
     )
+    some_long = long.limit(1).count() > 0
+    fitting = elements.join(long, F.col(key).eqNullSafe(F.col("_key")), "left_anti") if some_long else elements
+    runs = assemble_runs(fitting, key, seq, text, run_length=run_length, run_bytes=run_bytes)
+    joined = runs.groupBy(key).agg(
+        F.coalesce(_ordered_join("text", "run"), F.lit("")).alias("content"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    if not some_long:
+        return joined
+    told = F.concat("_bytes", F.lit(f" bytes are more than {max_bytes}"))
+    return joined.unionAll(long.select("_key", F.lit(None).cast("string"), told))
+
+
+def _size(text: str) -> Column:
+    """Bytes that an element adds to its document, with the newline; a NULL one adds nothing."""
+    return F.coalesce(F.octet_length(text) + 1, F.lit(0)).cast("bigint")
 
 
 def _ordered_join(text: str, order: str) -> Column:

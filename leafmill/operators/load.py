@@ -49,21 +49,22 @@ def with_metadata(
 
 
 def align_to_schema(
-    df: DataFrame, mapping: Mapping[str, str] = TABLE_COLUMNS, *, strict: bool = True
+    df: DataFrame, mapping: Mapping[str, str | T.DataType] = TABLE_COLUMNS, *, strict: bool = True
 ) -> DataFrame:
     """Exactly the mapping's columns, in its order: missing ones NULL, surplus ones dropped.
 
-    A value that does not convert stops the load, unless ``strict`` is off: it is then NULL.
+    Types are column type names or Spark's own types. A value that does not convert stops the load, unless ``strict`` is off: it is then NULL.
     """
     nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
     columns = []
     for name, declared in mapping.items():
-        dtype = spark_type(declared)
+        dtype = spark_type(declared) if isinstance(declared, str) else declared
+        is_text = dtype == T.StringType() or (isinstance(dtype, str) and dtype.upper() == "STRING")
         if name not in df.columns:
             value = F.lit(None).cast(dtype)
         else:
             value = F.col(f"`{name}`")
-            if dtype == "STRING" and isinstance(df.schema[name].dataType, nested):
+            if is_text and isinstance(df.schema[name].dataType, nested):
                 value = F.to_json(value)
             value = value.cast(dtype) if strict else value.try_cast(dtype)
         columns.append(value.alias(name))
@@ -120,21 +121,64 @@ def recreate_table(
 def append_records(df: DataFrame, name: str = TABLE_NAME) -> int:
     """Append records to a table by column name and return how many.
 
-    Columns the records lack become NULL, surplus ones are left out. The records are
-    written to a folder of their own first and counted there, by its file footers, so the
-    number is theirs alone whatever else writes, and the cost does not grow with the table.
+    Columns the records lack become NULL, surplus ones are left out. The records are written once,
+    into a hidden folder inside the table's own, and counted there by their file footers: the
+    number is theirs alone whatever else writes, and the cost does not grow with the table. Then
+    the finished files are moved into the table, which changes names only; if that fails, those
+    moved go back. Tables of another format, or with partitions, get the counted records inserted.
     """
     spark = df.sparkSession
     target = _qualified(spark, name)
-    mapping = {field.name: field.dataType.simpleString() for field in spark.table(target).schema.fields}
-    batch = shared_dir(spark, "append")
-    records = stored(align_to_schema(df, mapping), batch)
-    rows = records.count()
-    records.write.insertInto(target)
-    remove_folder(spark, batch)
+    schema = spark.table(target).schema
+    records = align_to_schema(df, {field.name: field.dataType for field in schema.fields})
+    place = _plain_folder(spark, target)
+    if place is None:
+        batch = shared_dir(spark, "append")
+        held = stored(records, batch)
+        rows = held.count()
+        held.write.insertInto(target)
+        remove_folder(spark, batch)
+        return rows
+    batch = f"{place.rstrip('/')}/_append-{uuid.uuid4().hex}"
+    try:
+        records.write.parquet(batch)
+        rows = spark.read.schema(schema).parquet(batch).count()
+        _move_files(spark, batch, place)
+    finally:
+        remove_folder(spark, batch)
+    spark.catalog.refreshTable(target)
     return rows
 
 
+def _plain_folder(spark: SparkSession, target: str) -> str | None:
+    """Where a parquet table without partitions has its files; None for any other table."""
+    told = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+    if "# Partition Information" in told or told.get("Provider", "").lower() != "parquet":
+        return None
+    return told.get("Location")
+
+
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move a finished batch's files, as many as it had tasks, into a folder of the same store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(source)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    moved = []
+    try:
+        for entry in fs.listStatus(folder):
+            file = entry.getPath()
+            if not file.getName().startswith("part-"):
+                continue
+            place = path(path(target), file.getName())
+            if not fs.rename(file, place):
+                raise OSError(f"cannot move {file} to {place}")
+            moved.append((file, place))
+    except Exception:
+        for file, place in moved:
+            fs.rename(place, file)
+        raise
+
+
 def load_table(
     df: DataFrame,
     name: str = TABLE_NAME,

@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from leafmill.functions.answers import (
-    json_path,
+    json_schema_of,
     marked_json,
     object_json,
     rule_answer,
-    type_problem,
+    violations_of,
 )
 from leafmill.functions.text import has_text
-from leafmill.operators.shaping import error_text, once, plain_text
+from leafmill.operators.shaping import error_text, once, plain_text, stored
 from leafmill.schemas import ANSWER, PROMPT_MESSAGES, restrict_struct
+from leafmill.settings import DUPLICATE_KEYS, shared_dir
 
 EMPTY = "empty content"
 
 Extractor = Callable[[list[dict[str, str]]], str]
+BatchExtractor = Callable[[list[list[dict[str, str]]]], Sequence[str | None]]
+
+# Column in which the typed reader puts an answer that does not fit its schema.
+CORRUPT = "_corrupt_answer"
 
 
 def filter_empty(df: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
@@ -71,12 +79,14 @@ def project_fields(
 
 def run_extractor(
     df: DataFrame,
-    extractor: Extractor | None = None,
+    extractor: Extractor | BatchExtractor | None = None,
     *,
-    setup: Callable[[], Extractor] | None = None,
+    setup: Callable[[], Extractor | BatchExtractor] | None = None,
     id_col: str = "document_id",
     content: str = "content",
     carry: Sequence[str] = (),
+    batch_size: int = 0,
+    in_flight: int = 1,
 ) -> DataFrame:
     """One answer per document: ``(id, *carry, response, error)``.
 
@@ -88,6 +98,12 @@ def run_extractor(
     the stored documents with a smaller ``spark.sql.files.maxPartitionBytes``. Answers are
     costly: write the result before using it twice.
 
+    With ``batch_size`` the function gets lists of up to so many documents' messages and returns
+    as many answers, in order. A batch that raises, or answers with another number, is halved and
+    asked again, until the documents that fail are alone and the others have their answers; a bad
+    one among n costs at most 2 * log2(n) more calls. Up to ``in_flight`` calls of a task run at
+    once, in threads, so the function must then be safe for that.
+
     With neither, the fixed rules of ``rule_answer`` run as plain expressions.
     """
     if extractor is None and setup is None:
@@ -106,47 +122,80 @@ def run_extractor(
         ]
     )
 
+    def checked(response: object) -> str | None:
+        if response is not None:
+            if not isinstance(response, str):
+                raise TypeError(f"an answer is text, not {type(response).__name__}")
+            plain_text(response)
+        return response
+
+    def ask_each(ask: Callable, messages: list) -> list[tuple[str | None, str | None]]:
+        """``(response, error)`` of each; one bad document must not stop the others."""
+        if not batch_size:
+            try:
+                return [(checked(ask(messages[0])), None)]
+            except Exception as problem:
+                return [(None, error_text(problem))]
+        try:
+            responses = list(ask(messages))
+            if len(responses) != len(messages):
+                raise ValueError(f"{len(responses)} answers to {len(messages)} documents")
+        except Exception as problem:
+            if len(messages) == 1:
+                return [(None, error_text(problem))]
+            half = len(messages) // 2
+            return ask_each(ask, messages[:half]) + ask_each(ask, messages[half:])
+        out = []
+        for response in responses:
+            try:
+                out.append((checked(response), None))
+            except Exception as problem:
+                out.append((None, error_text(problem)))
+        return out
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = setup() if setup is not None else extractor
-        for batch in batches:
-            responses, errors = [], []
-            for messages in batch.column(batch.num_columns - 1):
-                response, error = None, None
-                if not messages.is_valid:
-                    error = EMPTY
-                else:
-                    try:
-                        response = ask(messages.as_py())
-                        if response is not None:
-                            if not isinstance(response, str):
-                                raise TypeError(f"an answer is text, not {type(response).__name__}")
-                            plain_text(response)
-                    except Exception as problem:  # one bad document must not stop the others
-                        response, error = None, error_text(problem)
-                responses.append(response)
-                errors.append(error)
-            # The other columns stay in Arrow, whatever their types.
-            yield pa.record_batch(
-                [
-                    *batch.columns[:-1],
-                    pa.array(responses, pa.string()),
-                    pa.array(errors, pa.string()),
-                ],
-                names=schema.names,
-            )
+        size = batch_size or 1
+        with ThreadPoolExecutor(in_flight) if in_flight > 1 else nullcontext() as pool:
+            for batch in batches:
+                column = batch.column(batch.num_columns - 1)
+                told = [i for i in range(batch.num_rows) if column[i].is_valid]
+                parts = [told[i : i + size] for i in range(0, len(told), size)]
+                # Messages are taken out of Arrow only when their call is next.
+                calls = (pool.map if pool else map)(
+                    lambda part, column=column: ask_each(ask, [column[i].as_py() for i in part]), parts
+                )
+                responses: list[str | None] = [None] * batch.num_rows
+                errors: list[str | None] = [EMPTY] * batch.num_rows
+                for part, answers in zip(parts, calls, strict=True):
+                    for i, (responses[i], errors[i]) in zip(part, answers, strict=True):
+                        pass
+                # The other columns stay in Arrow, whatever their types.
+                yield pa.record_batch(
+                    [
+                        *batch.columns[:-1],
+                        pa.array(responses, pa.string()),
+                        pa.array(errors, pa.string()),
+                    ],
+                    names=schema.names,
+                )
 
     return asked.mapInArrow(answer, schema)
 
 
 def parse_responses(
-    df: DataFrame, schema: T.StructType | None = None, response: str = "response"
+    df: DataFrame, schema: T.StructType | str | None = None, response: str = "response"
 ) -> DataFrame:
     """Decode JSON answers: adds ``answer`` (VARIANT) and fills ``error``.
 
     An answer must be one whole JSON object; anything else leaves ``answer`` NULL with
-    the reason in ``error``. With a ``schema``, ``typed`` holds the answer as that
-    struct too (missing and null fields are then alike).
+    the reason in ``error``. Of a repeated key the last value counts, in every session: the
+    setting on which that depends is put in place here. With a ``schema``, ``typed`` holds the
+    answer as that struct too (missing and null fields are then alike), and ``corrupt`` the text
+    of an answer that is an object but has a value which does not fit the schema; such a value is
+    NULL in ``typed``.
     """
+    df.sparkSession.conf.set(DUPLICATE_KEYS, "true")
     text = F.col(response)
     earlier = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     marked = once(df, _marked=marked_json(text))
@@ -158,68 +207,77 @@ def parse_responses(
     ).drop("_marked")
     if schema is None:
         return parsed
-    return parsed.withColumn(
-        "typed", F.when(F.col("answer").isNotNull(), F.from_json(text, schema))
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if CORRUPT in schema.names:
+        raise ValueError(f"{CORRUPT} is the name of the column for what does not fit")
+    read = F.from_json(
+        text,
+        T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
+    # What is no object has no typed form either, whatever the more lenient reader makes of it.
+    decoded = once(parsed, _typed=F.when(F.col("answer").isNotNull(), read))
+    typed = F.struct(*[F.col(f"_typed.`{name}`").alias(name) for name in schema.names])
+    return decoded.withColumns(
+        {
+            "typed": F.when(F.col("answer").isNotNull(), typed),
+            "corrupt": F.col(f"_typed.{CORRUPT}"),
+        }
+    ).drop("_typed")
 
 
 def validate_records(
     df: DataFrame,
-    schema: T.StructType = ANSWER,
+    schema: T.StructType | Mapping[str, Any] = ANSWER,
     *,
     answer: str = "answer",
     extra_allowed: bool = False,
 ) -> DataFrame:
-    """Add ``violations``, the list of ways in which an answer breaks its schema.
+    """Add ``violations``, the list of ways in which an answer breaks its schema, at any depth.
 
-    Entries read ``missing:f``, ``type:f`` and ``extra:f``, in schema order and then
-    alphabetically. Non-nullable fields are required; a nullable one may be null. No
-    row is dropped.
+    Entries read ``missing:o.x``, ``type:l[].y``, ``extra:o.z`` and ``enum:f``; see
+    ``violations_of``. A struct's non-nullable fields are required and its nullable ones may be
+    null. A JSON Schema, given as a mapping, is followed as it is: unions, listed values, and for
+    each object whether other properties are allowed. No row is dropped; rows without an answer
+    have NULL.
     """
+    if isinstance(schema, T.StructType):
+        schema = json_schema_of(schema, extra_allowed=extra_allowed)
     value = F.col(answer)
-    checks: list[Column] = []
-    for field in schema.fields:
-        item = F.variant_get(value, json_path(field.name), "variant")
-        wrong = F.coalesce(type_problem(item, field.dataType), F.lit(False))
-        if field.nullable:
-            wrong = wrong & ~F.is_variant_null(item)
-            missing = F.lit(False)
-        else:
-            missing = item.isNull()
-        checks.append(
-            F.when(missing, F.lit(f"missing:{field.name}")).when(
-                item.isNotNull() & wrong, F.lit(f"type:{field.name}")
-            )
-        )
-    found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    if not extra_allowed:
-        keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-        declared = F.array(*[F.lit(name) for name in schema.names]).cast("array<string>")
-        extra = F.transform(
-            F.array_sort(F.array_except(keys, declared)), lambda k: F.concat(F.lit("extra:"), k)
-        )
-        found = F.concat(found, F.coalesce(extra, F.array().cast("array<string>")))
-    return df.withColumn("violations", F.when(value.isNotNull(), found))
+    return df.withColumn("violations", F.when(value.isNotNull(), violations_of(value, schema)))
 
 
-def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
-    """For each key (NULL is one) the row with the highest ``order``, unique within the key.
+def keep_last(df: DataFrame, key: str, order: str, *, tie: Sequence[str] = ()) -> DataFrame:
+    """For each key (NULL is one) the one row with the highest ``order``; a NULL order is lowest.
 
-    Key and order alone are reduced, before the shuffle, to the keys that repeat; rows of
-    those keys with a lower order are then taken out. Whole rows are neither sorted nor
-    aggregated, and Spark moves none of them where the repeated keys are below
-    ``spark.sql.autoBroadcastJoinThreshold``; else the join is shuffled, with skewed keys
-    split. A NULL order is the lowest. Where a repeated key has no other, the query stops,
-    as which row is last is then unknown.
+    Of rows with equal order the one with the highest ``tie`` columns is kept, and of those still
+    equal the one whose JSON text is highest; of identical rows one.
+
+    Key and order alone are reduced first, when this is called, to the keys that repeat; these are
+    stored. Rows of those keys with a lower order are then taken out by one anti-join: whole rows
+    are neither sorted nor aggregated, and Spark moves none of them where the repeated keys are
+    below ``spark.sql.autoBroadcastJoinThreshold``; else the join is shuffled, with skewed keys
+    split. Only rows that tie for the last place are compared as a whole, and only if there are any.
     """
-    repeated = (
-        df.groupBy(F.col(key).alias("_key"))
-        .agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows"))
-        .where("_rows > 1")
-    )
-    unknown = F.raise_error(F.lit(f"a repeated {key} has no {order}"))
-    repeated = repeated.select(
-        "_key", F.when(F.col("_rows") > 1, F.coalesce("_last", unknown)).alias("_last")
+    spark = df.sparkSession
+    last = F.max(F.struct("_order", "_rows"))
+    repeated = stored(
+        df.groupBy(F.col(key).alias("_key"), F.col(order).alias("_order"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .groupBy("_key")
+        .agg(last.alias("_last"), F.sum("_rows").alias("_all"))
+        .where("_all > 1")
+        .select("_key", F.col("_last._order").alias("_last"), (F.col("_last._rows") > 1).alias("_tied")),
+        shared_dir(spark, "last"),
     )
-    lower = F.col(order).isNull() | (F.col(order) < F.col("_last"))
-    return df.join(repeated, F.col(key).eqNullSafe(F.col("_key")) & lower, "left_anti")
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    lower = F.col("_last").isNotNull() & (F.col(order).isNull() | (F.col(order) < F.col("_last")))
+    if not repeated.where("_tied").limit(1).count():
+        return df.join(repeated, same_key & lower, "left_anti")
+    alone = df.join(repeated, same_key & (F.col("_tied") | lower), "left_anti")
+    tied = df.join(repeated.where("_tied"), same_key & F.col(order).eqNullSafe(F.col("_last")), "left_semi")
+    row = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    place = F.struct(*[F.col(name) for name in tie], F.to_json(row, {"ignoreNullFields": "false"}))
+    winners = tied.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, place).alias("_row"))
+    return alone.unionByName(winners.select("_row.*"))

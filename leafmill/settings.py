@@ -8,15 +8,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+# With it, a repeated key in an answer keeps its last value; ``parse_responses`` sets it.
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
 # What a session running the whole pipeline should set. None of them is needed
-# for right results except the duplicate-key rule: with it, a repeated key in an
-# answer keeps its last value; without it, such an answer is set aside.
+# for right results.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.variant.allowDuplicateKeys": "true",
+    DUPLICATE_KEYS: "true",
     # Rows handed to the Python hooks can hold whole files: keep batches small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
 }

@@ -1,7 +1,9 @@
 """Dataset sinks.
 
-One file per document does not scale, so a folder of JSON files becomes a JSON Lines
-dataset with the would-be file name as a column. Writing replaces the dataset.
+One file per document does not scale, so a folder of JSON files becomes a JSON Lines dataset
+with the would-be file name as a column. Its rows lie in a fixed number of folders by the hash of
+that name; writing again replaces the documents that come again and leaves the others, and
+touches only the folders in which something changes.
 """
 
 from __future__ import annotations
@@ -10,13 +12,19 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.functions.text import file_stem
+from leafmill.operators.shaping import stored
 from leafmill.operators.structure import keep_last
+from leafmill.settings import remove_folder, shared_dir
 from leafmill.sources.listing import OpenFs, open_by_uri
 
 
+# Folders of a dataset that is replaced name by name.
+BUCKETS = 64
+
+
 def write_dataset(df: DataFrame, path: str, fmt: str = "json", **options: str) -> str:
     """Write a frame as ``json`` (one object per row) or ``text`` (one string column)."""
     if fmt not in ("json", "text"):
@@ -49,21 +57,77 @@ def write_files(df: DataFrame, open_fs: OpenFs = open_by_uri) -> int:
     return rows.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
 
 
-def write_extracted(df: DataFrame, path: str, order: str = "path", **options: str) -> str:
-    """Write extracted documents, the last by ``order`` for each stem."""
+def replace_named(df: DataFrame, path: str, name: str, buckets: int = BUCKETS, **options: str) -> str:
+    """Write rows as JSON below ``path``: those of names that are there are replaced, others stay.
+
+    ``name`` holds one row per name. The folders are those of the first write, whatever ``buckets``
+    says later. The new contents of all touched folders are written aside first and then put in
+    place by one dynamic partition overwrite, so a write that fails before leaves all as it was.
+    A dataset without such folders is taken over and laid out anew.
+    """
+    spark = df.sparkSession
+    folders = _subfolders(spark, path)
+    known = [m for f in folders or () if (m := re.fullmatch(r"bucket=\d+-of-(\d+)", f))]
+    if known:
+        buckets = int(known[0][1])
+    number = F.pmod(F.xxhash64(name), F.lit(buckets)).cast("string")
+    bucket = F.concat(number, F.lit(f"-of-{buckets}")).alias("bucket")
+    aside = shared_dir(spark, "named")
+    new = stored(df.select("*", bucket), f"{aside}/new")
+    merged = new
+    if folders is not None:
+        reader = spark.read.option("mode", "FAILFAST").option("maxStringLen", str((1 << 31) - 1))
+        if known:
+            touched = [row.bucket for row in new.select("bucket").distinct().collect()]  # ``buckets`` at most
+            old = reader.schema(new.schema).json(path).where(F.col("bucket").isin(touched))
+        else:
+            old = reader.schema(df.schema).json(path).select("*", bucket)
+        names = new.select(F.col(name).alias("_new"))
+        old = old.join(names, F.col(name).eqNullSafe(F.col("_new")), "left_anti")
+        merged = stored(old.unionByName(new), f"{aside}/merged")
+    how = "dynamic" if known or folders is None else "static"
+    writer = merged.repartition("bucket").write.partitionBy("bucket").mode("overwrite")
+    writer.option("partitionOverwriteMode", how).options(**options).json(path)
+    remove_folder(spark, aside)
+    return path
+
+
+def _subfolders(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder, of which a dataset has as many as buckets; None if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    return [entry.getPath().getName() for entry in fs.listStatus(folder)]
+
+
+def write_extracted(
+    df: DataFrame, path: str, order: str = "path", *, keep_others: bool = True, **options: str
+) -> str:
+    """Write extracted documents, the last by ``order`` for each stem.
+
+    Documents of other stems that are there stay, unless ``keep_others`` is off.
+    """
     named = df.withColumn("stem", file_stem(F.col("filename")))
-    last = keep_last(named, "stem", order)
-    return write_dataset(
-        last.select("stem", "filename", "content", "extraction_date"), path, "json", **options
-    )
+    last = keep_last(named, "stem", order).select("stem", "filename", "content", "extraction_date")
+    if keep_others:
+        return replace_named(last, path, "stem", **options)
+    return write_dataset(last, path, "json", **options)
+
 
+def write_structured(
+    df: DataFrame, path: str, order: str = "path", *, keep_others: bool = True, **options: str
+) -> str:
+    """Write the answers alone, each named ``{stem}_structured``, the last for each name.
 
-def write_structured(df: DataFrame, path: str, order: str = "path", **options: str) -> str:
-    """Write the answers alone, each named ``{stem}_structured``, the last for each name."""
+    Answers of other names that are there stay, unless ``keep_others`` is off.
+    """
     named = df.select(
         F.concat(file_stem(F.col("filename")), F.lit("_structured")).alias("name"),
         F.col("answer").alias("json_data"),
         F.col(order).alias("_order"),
     )
-    last = keep_last(named, "name", "_order")
-    return write_dataset(last.select("name", "json_data"), path, "json", **options)
+    last = keep_last(named, "name", "_order").select("name", "json_data")
+    if keep_others:
+        return replace_named(last, path, "name", **options)
+    return write_dataset(last, path, "json", **options)

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from leafmill.functions.answers import json_schema_of
 from leafmill.operators.extract import split_failures
 from leafmill.operators.load import flatten_record, with_metadata
 from leafmill.operators.structure import parse_responses, project_fields, validate_records
@@ -168,6 +169,126 @@ def test_validate_second_schema(spark):
     assert loose[2]["violations"] == ["type:report_year", "type:share", "type:listed"]
 
 
+NESTED = "o STRUCT<x: INT NOT NULL> NOT NULL, l ARRAY<STRUCT<y: INT>>, m MAP<STRING, STRUCT<z: BOOLEAN NOT NULL>>"
+
+
+@pytest.mark.parametrize(
+    "text, violations",
+    [
+        ('{"o":{"zz":1},"l":[{"y":"no"}]}', ["missing:o.x", "extra:o.zz", "type:l[].y"]),
+        ('{"o":{"x":1},"l":[{"y":1},{"y":null},{}]}', []),
+        ('{"o":{"x":null},"l":[{"y":"a"},{"y":"b"},{"b":1,"a":1},3]}',
+         ["type:o.x", "type:l[].y", "extra:l[].a", "extra:l[].b", "type:l[]"]),
+        ('{"o":[],"l":{},"m":[]}', ["type:o", "type:l", "type:m"]),
+        ('{"o":{"x":1},"m":{"a":{"z":true},"b":{"z":1},"c":{}}}', ["type:m{}.z", "missing:m{}.z"]),
+        ('{"o":null,"l":null,"m":null,"n":null}', ["type:o", "extra:n"]),
+    ],
+)
+def test_validate_nested(spark, text, violations):
+    assert validate_records(answers(spark, [text]), T.StructType.fromDDL(NESTED)).first()["violations"] == violations
+
+
+DEEP = {
+    "type": "object",
+    "required": ["id"],
+    "properties": {
+        "id": {"anyOf": [{"type": "integer"}, {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer"}}}]},
+        "kind": {"type": ["string", "null"], "enum": ["a", "b", None]},
+        "tree": {
+            "type": "array",
+            "items": {"type": "object", "properties": {"leaf": {"type": "array", "items": {"type": ["number", "string"]}}},
+                      "additionalProperties": False},
+        },
+        "open": {"type": "object", "additionalProperties": {"type": "integer"}},
+        "any": {},
+    },
+}
+
+
+@pytest.mark.parametrize(
+    "body, violations",
+    [
+        ({"id": 1, "kind": "a", "tree": [{"leaf": [1, "x", 2.5]}], "open": {"k": 1}, "any": [None], "more": 1}, []),
+        ({"id": {"n": 1}, "kind": None}, []),
+        ({"id": {"n": "x"}, "kind": "c"}, ["type:id", "enum:kind"]),
+        ({"id": "x", "kind": 5}, ["type:id", "type:kind"]),
+        ({"tree": [{"leaf": [True], "q": 1}, {"leaf": 3}], "open": {"a": 1, "b": "x", "c": None}},
+         ["missing:id", "type:tree[].leaf", "extra:tree[].q", "type:open"]),
+    ],
+)
+def test_validate_follows_a_json_schema(spark, body, violations):
+    assert validate_records(answers(spark, [json.dumps(body)]), DEEP).first()["violations"] == violations
+
+
+def brute_violations(value, node, path=""):
+    """The same by recursion over Python values."""
+    kinds = node.get("type")
+    kinds = [kinds] if isinstance(kinds, str) else list(kinds or ())
+    names = {bool: ["boolean"], int: ["integer", "number"], float: ["number"], str: ["string"], list: ["array"],
+             dict: ["object"], type(None): ["null"]}[type(value)]
+    if kinds and not set(kinds) & set(names):
+        return [f"type:{path}"]
+    out = []
+    if isinstance(value, dict) and "object" in kinds:
+        prefix = f"{path}." if path else ""
+        for name, child in node.get("properties", {}).items():
+            if name in value:
+                out += brute_violations(value[name], child, prefix + name)
+            elif name in node.get("required", ()):
+                out.append(f"missing:{prefix}{name}")
+        if node.get("additionalProperties") is False:
+            out += [f"extra:{prefix}{k}" for k in sorted(set(value) - set(node.get("properties", {})))]
+    if isinstance(value, list) and "items" in node:
+        child = node["items"]
+        scalar = not {"object", "array"} & set([child["type"]] if isinstance(child["type"], str) else child["type"])
+        for item in value:
+            out += brute_violations(item, child, path if scalar else path + "[]")
+    return list(dict.fromkeys(out)) if isinstance(value, list) else out
+
+
+def test_validate_equals_recursion_on_random_answers(spark):
+    import random
+
+    draw = random.Random(4)
+
+    def value(depth):
+        kind = draw.randrange(9 if depth else 6)
+        if kind < 6:
+            return [None, True, 3, 2.5, "t", 0][kind]
+        if kind == 6:
+            return [value(depth - 1) for _ in range(draw.randrange(3))]
+        return {draw.choice("oxylzq"): value(depth - 1) for _ in range(draw.randrange(4))}
+
+    node = json_schema_of(T.StructType.fromDDL(
+        "o STRUCT<x: INT NOT NULL, y: ARRAY<STRING>> NOT NULL, l ARRAY<STRUCT<y: DOUBLE, z: STRUCT<q: BOOLEAN NOT NULL>>>, x INT"
+    ))
+    bodies = [{draw.choice("olxq"): value(3) for _ in range(4)} for _ in range(400)]
+    rows = validate_records(answers(spark, [json.dumps(b) for b in bodies]), node).orderBy("id").collect()
+    assert [r["violations"] for r in rows] == [brute_violations(b, node) for b in bodies]
+
+
+@pytest.mark.parametrize("setting", ["true", "false", None])
+def test_the_last_of_equal_keys_counts_in_every_session(spark, setting):
+    name = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.unset(name) if setting is None else spark.conf.set(name, setting)
+    rows = spark.createDataFrame([('{"a":1,"a":2}',), ('{"o":{"a":1,"a":{"b":1,"b":3}}}',)], "response string")
+    parsed = parse_responses(rows, "a INT, o STRUCT<a: STRUCT<b: INT>>").collect()
+    assert [r["error"] for r in parsed] == [None, None]
+    assert [r["answer"].toPython() for r in parsed] == [{"a": 2}, {"o": {"a": {"b": 3}}}]
+    assert (parsed[0]["typed"]["a"], parsed[1]["typed"]["o"]["a"]["b"]) == (2, 3)
+
+
+def test_what_does_not_fit_the_types_is_shown(spark):
+    texts = ['{"a":1,"b":"x"}', '{"a":"no","b":"x"}', '{"a":null}', '{"a":1}}', "[1]", '{"a":NaN}', '{"a":{}}', None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, response string")
+    found = parse_responses(rows, "a INT, b STRING").orderBy("id").collect()
+    assert [r["typed"] and r["typed"]["a"] for r in found] == [1, None, None, None, None, None, None, None]
+    assert [r["corrupt"] for r in found] == [None, texts[1], None, None, None, None, texts[6], None]
+    assert [r["error"] is None for r in found] == [True, True, True, False, False, False, True, False]
+    with pytest.raises(ValueError):
+        parse_responses(rows, "_corrupt_answer STRING")
+
+
 def test_validate_leaves_unparsed_rows_alone(spark):
     rows = validate_records(answers(spark, ["{bad"])).collect()
     assert [row["violations"] for row in rows] == [None]

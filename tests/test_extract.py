@@ -1,5 +1,10 @@
 """Stage 1 operators on hand-made rows."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import iso_text, markup_elements
@@ -139,3 +144,48 @@ def test_metrics(spark):
     }
     outcomes = file_outcomes(df).orderBy("filename").collect()
     assert [r["processed"] for r in outcomes] == [True, False, True]
+
+
+def test_runs_are_bounded_by_bytes(spark):
+    """Short elements, long ones, empty and NULL ones; every run ends once it is full."""
+    sizes = [0, 5, 900, 1, 1, 2000, 0, 0, 300, 300, 300, 300, 50] * 40
+    rows = [("d", i, None if i % 17 == 3 else chr(97 + i % 26) * n) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc string, seq bigint, text string").repartition(7)
+    runs = assemble_runs(df, "doc", "seq", run_length=64, run_bytes=1000).orderBy("run").collect()
+    assert max(len(r["text"] or "") for r in runs) <= 1000 + 2001
+    assert len(runs) > len(sizes) // 64 + 1
+    whole = "\n".join(t for *_, t in rows if t is not None)
+    assert "\n".join(r["text"] for r in runs if r["text"] is not None) == whole
+    found = assemble_text(df, "doc", "seq", run_length=64, run_bytes=1000).first()
+    assert found["content"] == whole and found["error"] is None
+
+
+def test_a_document_too_long_for_a_value_is_a_row_with_an_error(spark):
+    rows = [("a", 0, "x" * 60), ("a", 1, "y" * 39), ("b", 0, "x" * 60), ("b", 1, "y" * 40), (None, 0, "z" * 101), ("c", 0, None)]
+    df = spark.createDataFrame(rows, "doc string, seq bigint, text string")
+    found = {r["doc"]: (r["content"], r["error"]) for r in assemble_text(df, "doc", "seq", max_bytes=100).collect()}
+    assert found == {
+        "a": ("x" * 60 + "\n" + "y" * 39, None), "c": ("", None),
+        "b": (None, "101 bytes are more than 100"), None: (None, "101 bytes are more than 100"),
+    }
+
+
+HUNDRED_MEGABYTES = """
+from pyspark.sql import SparkSession, functions as F
+from leafmill.operators.extract import assemble_runs, assemble_text
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.driver.host", "127.0.0.1").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+text = F.when(F.col("id") == 700, F.expr("repeat(if(id > 0, 'x', 'y'), 104857600)")).otherwise("short")
+df = spark.range(2000).select(F.lit(1).alias("doc"), F.col("id").alias("seq"), text.alias("text"))
+runs = [r.n for r in assemble_runs(df, "doc", "seq").select(F.octet_length("text").alias("n")).collect()]
+assert len(runs) == 2 and sum(runs) + 1 == 1999 * 6 + 104857600, runs
+whole = assemble_text(df, "doc", "seq").select(F.octet_length("content").alias("n"), "error").first()
+assert tuple(whole) == (1999 * 6 + 104857600, None), whole
+"""
+
+
+def test_one_element_of_a_hundred_megabytes(tmp_path):
+    """In a session with more memory than that of the other tests."""
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--driver-memory 4g pyspark-shell", "PYTHONPATH": str(Path(__file__).parent.parent)}
+    done = subprocess.run([sys.executable, "-c", HUNDRED_MEGABYTES], env=env, cwd=tmp_path, capture_output=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:].decode()

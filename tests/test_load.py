@@ -124,3 +124,50 @@ def test_failing_create_leaves_the_old_table(spark):
     with pytest.raises(Exception):
         recreate_table(spark, "precious", {"a": "TEXT", "A": "TEXT"})
     assert spark.table("precious").count() == 3
+
+
+def test_append_writes_the_batch_once(spark, tmp_path):
+    """Upstream code runs once per row, and the table's folder holds finished files alone."""
+    place = tmp_path / "t"
+    recreate_table(spark, "once_written", {"id": "BIGINT"}, str(place))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).mapInArrow(count, "id bigint")
+    assert append_records(rows, "once_written") == 1000
+    assert append_records(spark.range(10), "once_written") == 10
+    assert seen.value == 1000
+    assert spark.table("once_written").count() == 1010
+    assert not [p for p in place.rglob("_append*")]
+
+
+def test_append_to_nested_names_with_blanks(spark):
+    schema = {"o": "STRUCT<x: INT, `y z`: STRING>", "l": "ARRAY<STRUCT<`a b`: INT>>"}
+    recreate_table(spark, "nested_names", schema)
+    rows = spark.sql("SELECT named_struct('x', 1, 'y z', 'q') AS o, array(named_struct('a b', 2)) AS l")
+    assert append_records(rows, "nested_names") == 1
+    assert append_records(rows.select("o"), "nested_names") == 1
+    assert [tuple(r["o"]) for r in spark.table("nested_names").collect()] == [(1, "q"), (1, "q")]
+
+
+def test_append_that_fails_leaves_nothing(spark, tmp_path):
+    recreate_table(spark, "unharmed", {"n": "INTEGER"}, str(tmp_path / "u"))
+    append_records(spark.range(3).withColumnRenamed("id", "n"), "unharmed")
+    bad = spark.createDataFrame([("1",), ("many",)], "n string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        append_records(bad, "unharmed")
+    assert spark.table("unharmed").count() == 3
+    assert not [p for p in (tmp_path / "u").rglob("_append*")]
+
+
+def test_append_to_tables_of_other_kinds(spark):
+    spark.sql("CREATE TABLE lines_table (a STRING, n INT) USING json")
+    spark.sql("CREATE TABLE parted_table (a STRING, n INT) USING parquet PARTITIONED BY (n)")
+    rows = spark.createDataFrame([("x", 1), ("y", 2)], "a string, n int")
+    for name in ("lines_table", "parted_table"):
+        assert append_records(rows, name) == 2
+        assert sorted(map(tuple, spark.table(name).collect())) == [("x", 1), ("y", 2)]

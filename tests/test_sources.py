@@ -12,7 +12,7 @@ from leafmill.operators.metrics import extraction_metrics
 from leafmill.schemas import EXTRACTED, FILES, LISTING
 from leafmill.sources.files import list_files, list_prefix, read_bytes, scan_documents
 from leafmill.sources.listing import list_tree, open_by_uri
-from leafmill.sources.json_documents import read_json_documents
+from leafmill.sources.json_documents import read_json_documents, read_json_objects
 from leafmill.sources.sinks import write_dataset, write_extracted, write_structured
 
 
@@ -259,3 +259,94 @@ def test_write_dataset(spark, tmp_path):
     assert {r["value"] for r in spark.read.text(str(tmp_path / "t")).collect()} == {"a", "é"}
     with pytest.raises(ValueError):
         write_dataset(lines, str(tmp_path / "p"), "parquet")
+
+
+def extracted(spark, rows):
+    return spark.createDataFrame(
+        [(f"p/{s}", s and f"{s}.pdf", c, "d") for s, c in rows],
+        "path string, filename string, content string, extraction_date string",
+    )
+
+
+def stems(spark, out):
+    return {r["stem"]: r["content"] for r in read_json_documents(spark, out, EXTRACTED, one_per_file=False).collect()}
+
+
+def test_a_second_write_leaves_the_other_stems(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_extracted(extracted(spark, [(f"s{i}", "old") for i in range(300)] + [("é/ü=%", "odd")]), out)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("part-*")}
+    write_extracted(extracted(spark, [("s7", "new"), ("fresh", "new")]), out, buckets=8)
+    found = stems(spark, out)
+    assert len(found) == 302
+    assert {k for k, v in found.items() if v == "new"} == {"s7", "fresh"}
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("part-*")}
+    assert len(before.items() - after.items()) <= 2  # the folders of other stems are not touched
+    write_extracted(extracted(spark, [(None, "no name")]), out)
+    assert len(stems(spark, out)) == 303
+    write_extracted(extracted(spark, [("only", "one")]), out, keep_others=False)
+    assert stems(spark, out) == {"only": "one"}
+
+
+def test_an_older_layout_is_taken_over(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_extracted(extracted(spark, [("a", "1"), ("b", "1")]), out, keep_others=False)
+    write_extracted(extracted(spark, [("b", "2"), ("c", "2")]), out)
+    assert stems(spark, out) == {"a": "1", "b": "2", "c": "2"}
+    write_extracted(extracted(spark, [("a", "3")]), out)
+    assert stems(spark, out) == {"a": "3", "b": "2", "c": "2"}
+
+
+def test_answers_of_other_names_stay(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for rows in ("('a.pdf', '1', '{\"t\":[1,null]}'), ('b.pdf', '1', '{}')", "('b.pdf', '2', '{\"t\":2}')"):
+        df = spark.sql(f"SELECT * FROM VALUES {rows} AS t(filename, path, j)").withColumn("answer", F.parse_json("j"))
+        write_structured(df, out)
+    back = read_json_documents(spark, out, "name STRING, json_data VARIANT", one_per_file=False)
+    assert {r["name"]: r["json_data"].toPython() for r in back.collect()} == {
+        "a_structured": {"t": [1, None]}, "b_structured": {"t": 2},
+    }
+
+
+OBJECTS = [{"a": 1, "n": {"deep": [{"x": "}\n{"}, {}]}}, {"t": "é \" ] ,"}, {"l": []}]
+
+
+@pytest.mark.parametrize("layout", ["one after another", "list", "one line", "windows"])
+def test_pretty_printed_objects(spark, tmp_path, layout):
+    made = [json.dumps(o, indent=4, ensure_ascii=False) for o in OBJECTS]
+    indent = ""
+    if layout == "list":
+        text, indent = json.dumps(OBJECTS, indent=4, ensure_ascii=False) + "\n", "    "
+    elif layout == "one line":
+        (tmp_path / "1.json").write_text(json.dumps(OBJECTS[1]) + "\n", encoding="utf-8")
+        made = [made[0], made[2]]
+        text = "\n".join(made)
+    else:
+        text = "\n".join(made) + "\n"
+    data = text.replace("\n", "\r\n") if layout == "windows" else text
+    (tmp_path / "0.json").write_bytes(data.encode())
+    rows = read_json_objects(spark, str(tmp_path), indent=indent).collect()
+    assert sorted(json.dumps(r["document"].toPython(), sort_keys=True) for r in rows) == sorted(
+        json.dumps(o, sort_keys=True) for o in OBJECTS
+    )
+    assert {r["error"] for r in rows} == {None}
+
+
+def test_broken_objects_are_rows_with_an_error(spark, tmp_path):
+    (tmp_path / "0.json").write_text('{\n  "a": 1\n}\n{\n  "a": oops\n}\n{\n  "b": 2\n}\n{\n  "cut": ')
+    (tmp_path / "1.json").write_text("")
+    rows = read_json_objects(spark, str(tmp_path)).collect()
+    assert [r["document"].toPython() for r in rows if r["error"] is None] == [{"a": 1}, {"b": 2}]
+    assert sorted(r["text"] for r in rows if r["error"]) == ['{\n  "a": oops', '{\n  "cut": ']
+
+
+def test_a_large_file_of_objects_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "big.json").write_text("\n".join(json.dumps({"i": i, "t": "x" * 50}, indent=2) for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = read_json_objects(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 8
+        found = df.select(F.variant_get("document", "$.i", "int").alias("i")).agg(F.count("i"), F.sum("i")).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(found) == (20_000, sum(range(20_000)))

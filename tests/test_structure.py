@@ -133,6 +133,72 @@ def test_hooks_leave_other_columns_alone_and_survive_odd_answers(spark):
     assert found[1]["error"].startswith("UnicodeEncodeError") and "dict" in found[2]["error"]
 
 
+def fails_on(bad):
+    calls = []
+
+    def model(batch):
+        calls.append(len(batch))
+        texts = [messages[-1]["content"].rsplit("Paper content: ", 1)[1] for messages in batch]
+        if set(texts) & set(bad):
+            raise RuntimeError(f"call {len(calls)} failed")
+        return [f"{t}:{len(calls)}:{len(batch)}" for t in texts]
+
+    return model
+
+
+@pytest.mark.parametrize("bad", [["d13"], ["d0"], ["d63"], ["d5", "d6", "d40"], []])
+def test_a_failing_batch_loses_the_bad_documents_only(spark, bad):
+    df = documents(spark, [f"d{i}" for i in range(64)]).coalesce(1)
+    rows = run_extractor(render_prompts(df), setup=lambda: fails_on(bad), carry=["content"], batch_size=64).collect()
+    lost = [r["content"] for r in rows if r["error"]]
+    assert lost == bad and [r["content"] for r in rows] == [f"d{i}" for i in range(64)]
+    assert all(r["response"].startswith(r["content"] + ":") for r in rows if not r["error"])
+    calls = max([int(r["response"].split(":")[1]) for r in rows if r["response"]])
+    assert calls <= 1 + 2 * 6 * max(len(bad), 0) + (not bad)
+
+
+def test_batches_have_the_size_asked_for_and_skip_empty_documents(spark):
+    df = documents(spark, ["a", "", "b", None, "c", "d", "e"]).coalesce(1)
+    rows = run_extractor(render_prompts(df), setup=lambda: fails_on([]), batch_size=2).collect()
+    assert [r["response"] and r["response"].split(":")[2] for r in rows] == ["2", None, "2", None, "2", "2", "1"]
+    assert [r["error"] for r in rows] == [None, "empty content", None, "empty content", None, None, None]
+
+
+def test_answers_that_do_not_pair_up_are_asked_again(spark):
+    def model(batch):
+        return ["x"] * (len(batch) + (len(batch) > 1)) if len(batch) != 1 else [5 if "odd" in str(batch) else "y"]
+
+    df = documents(spark, ["a", "b", "odd", "c"]).coalesce(1)
+    rows = run_extractor(render_prompts(df), model, batch_size=4).collect()
+    assert [r["response"] for r in rows] == ["y", "y", None, "y"]
+    assert "an answer is text" in rows[2]["error"]
+
+
+@pytest.mark.parametrize("batch_size", [0, 3])
+def test_calls_in_flight_are_bounded(spark, batch_size):
+    def setup():
+        import threading
+        import time
+
+        lock, now, most = threading.Lock(), [0], [0]
+
+        def one(_):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+            time.sleep(0.02)
+            with lock:
+                now[0] -= 1
+            return str(most[0])
+
+        return (lambda batch: [one(None)] * len(batch)) if batch_size else one
+
+    df = documents(spark, [f"d{i}" for i in range(48)]).coalesce(1)
+    rows = run_extractor(render_prompts(df), setup=setup, batch_size=batch_size, in_flight=4).collect()
+    assert [r["document_id"] for r in rows] == [f"d{i}" for i in range(48)]
+    assert 2 <= max(int(r["response"]) for r in rows) <= 4
+
+
 def test_keep_last(spark):
     rows = [
         ("a", "sub/1", None),
@@ -149,10 +215,31 @@ def test_keep_last(spark):
     assert sorted(last.collect(), key=repr) == sorted(expected, key=repr)
 
 
-def test_keep_last_stops_where_no_row_is_last(spark):
-    df = spark.createDataFrame([("a", None), ("a", None)], "name string, path string")
-    with pytest.raises(Exception, match="has no path"):
-        keep_last(df, "name", "path").collect()
+def test_keep_last_leaves_one_of_equals(spark):
+    rows = [
+        ("a", 1, "x"), ("a", 1, "y"), ("a", 0, "z"),  # a tie: the highest row
+        ("b", None, "p"), ("b", None, "q"),  # no order at all
+        ("c", 5, "same"), ("c", 5, "same"), ("c", 5, "same"),  # identical rows
+        (None, 2, None), (None, 2, "n"), ("d", 1, "only"), ("e", None, "low"), ("e", 3, "high"),
+    ]
+    df = spark.createDataFrame(rows, "name string, place int, text string").repartition(5)
+    last = keep_last(df, "name", "place")
+    assert last.columns == df.columns
+    assert sorted(map(tuple, last.collect()), key=repr) == sorted(
+        [("a", 1, "y"), ("b", None, "q"), ("c", 5, "same"), (None, 2, None), ("d", 1, "only"), ("e", 3, "high")], key=repr
+    )
+
+
+def test_keep_last_ties_are_broken_by_columns_and_any_type(spark):
+    df = spark.sql(
+        """SELECT name, place, at, parse_json(j) AS answer, map('k', at) AS m FROM VALUES
+           ('a', 1, 2, '{"x":1}'), ('a', 1, 9, '{"x":0}'), ('a', 1, 9, '{"x":0}'), ('b', 1, 1, '{}')
+           AS t(name, place, at, j)"""
+    )
+    rows = keep_last(df, "name", "place", tie=["at"]).collect()
+    assert sorted((r["name"], r["at"], r["answer"].toPython(), r["m"]) for r in rows) == [
+        ("a", 9, {"x": 0}, {"k": 9}), ("b", 1, {}, {"k": 1}),
+    ]
 
 
 def test_keep_last_with_a_hot_key(spark):
