@@ -4,9 +4,14 @@ A page is a sequence of words and tags. Every word scores by where it stands (th
 enclosing blocks), every tag scores negative; the main text is the stretch with the largest
 total, found in one scan. The weights are log-odds learned from pages that label themselves:
 those whose markup has one ``article`` or ``main`` element, within which words are content
-and outside of which they are not. Elements that are never text (scripts, styles, forms and
-the like), and boxes inside the stretch (menus, notices, adverts, comments), known by name or
-as blocks whose words are seldom content, are left out; links stay with the block around them.
+and outside of which they are not. Elements that are never text (scripts, styles, forms, hidden blocks and
+the like), menus, headers, footers and sidebars marked by their element or role, and blocks whose
+words are seldom content are left out; links stay with the block around them.
+
+A block's name (a whole word of its class or id) is one more feature with a learned weight: what
+stands under it counts as a box beside the text only while labelled pages do not speak against it,
+an ``article`` or ``main`` within it ends it, and names that would take more than half of the words
+have no say, as they belong to a wrapper. Only names of reader comments are fixed.
 """
 
 from __future__ import annotations
@@ -44,12 +49,21 @@ ENDS_P = {
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol",
     "p", "pre", "section", "table", "ul",
 }
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|"
-    r"popup|modal|overlay|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer|header|masthead|"
-    r"comments?|replies|disqus|social|share|sharing|related|recommended|newsletter|subscribe|"
-    r"signup|login|search|widget\w*|toolbar|pagination|pager|copyright)(?:$|[\s_-])"
-)
+CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"}
+# Names of boxes beside the text, as whole words of a class or id, from which learning starts.
+NAMES = {
+    "ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "consent", "cookie",
+    "cookie-banner", "cookie-consent", "cookie-notice", "cookies", "copyright", "footer", "gdpr", "header", "login",
+    "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "overlay", "pager",
+    "pagination", "popup", "promo", "promotion", "recommended", "related", "related-posts", "search", "share",
+    "share-buttons", "sharing", "side", "sidebar", "signup", "site-footer", "site-header", "social", "social-links",
+    "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+}
+COMMENTS = {
+    "comment", "comments", "comment-list", "commentlist", "comments-area", "comments-section", "disqus",
+    "disqus_thread", "replies", "reply", "respond",
+}
+HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 LABELS = ("article", "main")
 
 TOKEN = re.compile(
@@ -58,10 +72,11 @@ TOKEN = re.compile(
     re.S,
 )
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # Weights before anything is learned, counted as this many words.
 PRIOR_WORDS = 50.0
+NAME_PRIOR = -2.0
 TAG_WEIGHT = -0.2
 LABEL_PAGES = 4000
 # Words from which on the text of a block is long.
@@ -74,6 +89,10 @@ class Weights:
 
     places: dict[str, float] = field(default_factory=dict)
     tag: float = TAG_WEIGHT
+    names: dict[str, float] = field(default_factory=dict)
+
+    def name(self, name: str) -> float:
+        return NAME_PRIOR if name in COMMENTS else self.names.get(name, NAME_PRIOR)
 
     def word(self, place: str) -> float:
         known = self.places.get(place)
@@ -101,7 +120,8 @@ def block_names(place: str) -> list[str]:
 
 @dataclass
 class Part:
-    """A run of text in one place: its words' place, the tags before it, its label."""
+    """A run of text in one place: its words' place, the tags before it, its label, and the name
+    of the nearest box around it that has one."""
 
     text: str
     place: str
@@ -109,6 +129,38 @@ class Part:
     inside: bool
     silent: bool
     boxed: bool
+    name: str = ""
+
+
+@dataclass
+class Open:
+    """An open element, with all that its ancestors mean for the text in it."""
+
+    name: str
+    block: str = ""
+    linked: bool = False
+    landmark: str = ""
+    silent: bool = False
+    boxed: bool = False
+    inside: bool = False
+    box_name: str = ""
+    # Where the paragraph and the list item are that would end here.
+    paragraph: int | None = None
+    item: int | None = None
+
+
+def boxes_settled(parts: list[Part], weights: Weights) -> list[Part]:
+    """The parts, boxed also where a name says so; see the module's text."""
+    named = [p for p in parts if p.name and not p.boxed and not p.silent and weights.name(p.name) < 0]
+    if not named:
+        return parts
+    labelled = any(p.inside for p in parts)
+    words = [len(p.text.split()) for p in parts]
+    within = sum(n for p, n in zip(parts, words, strict=True) if (p.inside or not labelled) and not (p.silent or p.boxed))
+    taken = sum(len(p.text.split()) for p in named if p.name not in COMMENTS and (p.inside or not labelled))
+    wrapper = 2 * taken > within
+    chosen = {id(p) for p in named if p.name in COMMENTS or not wrapper}
+    return [replace(p, boxed=True, place="-" + p.place) if id(p) in chosen else p for p in parts]
 
 
 def unlabelled(parts: list[Part]) -> list[Part]:
@@ -138,46 +190,71 @@ def any_block(place: str) -> str:
     return f"{place.split('>', 1)[0]}>*{' a' if place.endswith(' a') else ''}"
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    return {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(rest)} if rest.strip(" /") else {}
+
+
+def _opened(name: str, given: dict[str, str], above: Open, place: int) -> Open:
+    """The state within a new element at that place of the stack."""
+    block_level = name not in INLINE
+    role = given.get("role", "").strip().lower()
+    words = [w for k in ("class", "id") for w in given.get(k, "").lower().split()] if block_level else []
+    about_comments = next((w for w in words if w in COMMENTS), "")
+    label = (name in LABELS or role in LABELS) and not about_comments
+    header_of_text = name == "header" and above.inside
+    chrome = (name in CHROME or role in CHROME_ROLES) and not header_of_text and block_level
+    own_name = about_comments or next((w for w in words if w in NAMES), "")
+    hidden = "hidden" in given or given.get("aria-hidden", "").lower() == "true" or HIDDEN.search(given.get("style", ""))
+    now = Open(
+        name,
+        block=f"{name}.{given.get('class', '').lower()}" if block_level and name != "a" else above.block,
+        linked=above.linked or name == "a",
+        landmark=name if name in CHROME or name in LABELS else role if label else above.landmark,
+        silent=above.silent or name in SILENT or bool(hidden),
+        boxed=False if label else above.boxed or chrome,
+        inside=above.inside or label,
+        box_name="" if label else own_name or above.box_name,
+        paragraph=above.paragraph if not block_level else None,
+        item=None if name in ("ul", "ol", "menu") else above.item,
+    )
+    if name == "p":
+        now.paragraph = place
+    if name == "li":
+        now.item = place
+    return now
+
+
 def parts_of(page: str) -> list[Part]:
     """Split a page into runs of text; markup is gone but character references stay.
 
     The place of a run is the innermost block element with its class, under the landmark
-    around it, and whether it is a link; ``-`` in front marks a landmark or class that is
-    known from its name to be no content. A block's end leaves a blank run.
+    around it, and whether it is a link; ``-`` in front marks an element or role that is
+    no content. A block's end leaves a blank run. Time grows with the page's length alone: an open
+    element knows what all those around it mean, and an end tag without its start costs nothing.
     """
     out: list[Part] = []
-    stack: list[tuple[str, str, bool]] = []  # name, description, is a box beside the text
+    stack = [Open("")]
+    counts: dict[str, int] = {}
     tags = 0
     at = 0
 
-    def place() -> tuple[str, bool, bool, bool]:
-        block, linked, landmark, silent, boxed, inside = "", False, "", False, False, False
-        for name, described, box in stack:
-            if name in SILENT:
-                silent = True
-            if name in LABELS:
-                inside = True
-            boxed = boxed or box
-            if name == "a":
-                linked = True
-            elif name not in INLINE:
-                block = described
-                if name in CHROME or name in LABELS:
-                    landmark = name
-        where = f"{'-' if boxed else ''}{landmark}>{block}{' a' if linked else ''}"
-        return where, inside, silent, boxed
-
     def text(upto: int) -> None:
         nonlocal tags
         if upto > at:
-            where, inside, silent, boxed = place()
-            out.append(Part(page[at:upto], where, tags, inside, silent, boxed))
+            now = stack[-1]
+            where = f"{'-' if now.boxed else ''}{now.landmark}>{now.block}{' a' if now.linked else ''}"
+            out.append(Part(page[at:upto], where, tags, now.inside, now.silent, now.boxed, now.box_name))
             tags = 0
 
     def block_end() -> None:
         if out and out[-1].text != " ":
             out.append(Part(" ", "", 0, False, False, False))
 
+    def close(place: int) -> None:
+        for gone in stack[place:]:
+            counts[gone.name] -= 1
+        del stack[place:]
+
     while found := TOKEN.search(page, at):
         name = found["name"]
         text(found.start())
@@ -189,37 +266,23 @@ def parts_of(page: str) -> list[Part]:
         if name not in INLINE:
             block_end()
         if found["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        else:
-            if name in ENDS_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] not in INLINE:
-                        break
-            if name == "li":
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "li":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in ("ul", "ol", "menu"):
-                        break
-            if name not in VOID and not found["rest"].endswith("/"):
-                given = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(found["rest"])}
-                label = " ".join(given.get(k, "") for k in ("class", "id", "role")).strip().lower()
-                header_of_text = name == "header" and any(s[0] in LABELS for s in stack)
-                box = (name in CHROME and not header_of_text) or bool(
-                    label and name not in LABELS and name not in ("html", "body") and BOILERPLATE.search(label)
-                )
-                stack.append((name, f"{name}.{given.get('class', '').lower()}", box))
-                if name in RAW:
-                    # Nothing but its own end counts within; without one the rest is its own.
-                    end = RAW_END[name].search(page, at)
-                    at = end.start() if end else len(page)
+            if counts.get(name):
+                place = len(stack) - 1
+                while stack[place].name != name:
+                    place -= 1
+                close(place)
+            continue
+        if name in ENDS_P and stack[-1].paragraph is not None:
+            close(stack[-1].paragraph)
+        if name == "li" and stack[-1].item is not None:
+            close(stack[-1].item)
+        if name not in VOID and not found["rest"].endswith("/"):
+            stack.append(_opened(name, _attributes(found["rest"]), stack[-1], len(stack)))
+            counts[name] = counts.get(name, 0) + 1
+            if name in RAW:
+                # Nothing but its own end counts within; without one the rest is its own.
+                end = RAW_END[name].search(page, at)
+                at = end.start() if end else len(page)
     text(len(page))
     return out
 
@@ -249,7 +312,7 @@ def best_stretch(parts: list[Part], weights: Weights) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: Weights) -> str:
     """The main text of a page: blocks in order, white space as single blanks."""
-    parts = parts_of(page or "")
+    parts = boxes_settled(parts_of(page or ""), weights)
     if not any(p.inside for p in parts):
         parts = unlabelled(parts)
     a, b = best_stretch(parts, weights)
@@ -268,10 +331,15 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 def word_counts(page: str) -> dict[str, list[int]]:
     """Words inside and outside the labelled element by place; empty for unlabelled pages."""
-    parts = parts_of(page)
+    found = parts_of(page)
     counts: dict[str, list[int]] = {}
-    if not any(p.inside for p in parts):
+    if not any(p.inside for p in found):
         return counts
+    for p in found:
+        n = len(p.text.split())
+        if p.name and p.name not in COMMENTS and n and not (p.silent or p.boxed):
+            counts.setdefault(f"name {p.name}", [0, 0])[0 if p.inside else 1] += n
+    parts = boxes_settled(found, Weights())
     for p, bare in zip(parts, unlabelled(parts), strict=True):
         n = len(p.text.split())
         if n and not p.silent:
@@ -317,14 +385,19 @@ def learn_weights(pages: DataFrame, *, html_col: str = "html", label_pages: int
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
         .collect()
     )
-    places = {}
+    places, names = {}, {}
     # Places without their block come first: they are what is expected of those with one.
     for place, inside, outside in sorted(sums, key=lambda row: ">*" not in row["place"]):
-        expected = Weights(places).word(place)
+        is_name = place.startswith("name ")
+        expected = NAME_PRIOR if is_name else Weights(places).word(place)
         share_in = PRIOR_WORDS / (1 + math.exp(-expected))
         odds = (inside + share_in) / (outside + PRIOR_WORDS - share_in)
-        places[place] = max(-4.0, min(4.0, math.log(odds)))
-    return Weights(places)
+        weight = max(-4.0, min(4.0, math.log(odds)))
+        if is_name:
+            names[place.removeprefix("name ")] = weight
+        else:
+            places[place] = weight
+    return Weights(places, names=names)
 
 
 def extract_main_text(
@@ -332,8 +405,8 @@ def extract_main_text(
 ) -> DataFrame:
     """One row per page: id, url, ``text`` and ``n_chars``, from the whole page.
 
-    Character references are decoded, white space within a block is one blank, blocks are
-    joined by one blank in page order. A null, empty or wordless page has an empty text.
+    Character references are decoded, white space within a block is one blank, blocks are joined
+    by one blank in page order. A null, empty or wordless page has an empty text.
     """
 
     def extract(batch: pa.Array) -> pa.Array:

@@ -1,5 +1,6 @@
 import html as html_
 import re
+import time
 
 import pytest
 
@@ -104,3 +105,77 @@ def test_nulls_repeats_long_pages_and_clashing_columns(spark):
     found = extract_main_text(pages, learn_weights(pages)).collect()
     assert sorted(r.n_chars for r in found) == [0, 0, 11, 11, 299_999, 299_999]
     assert extract_main_text(pages.limit(0), learn_weights(pages.limit(0))).collect() == []
+
+
+WRAPPERS = [
+    "has-sidebar", "no-sidebar", "with-header", "page-header-image", "search-results", "layout side", "social-science",
+    "sidebar", "header", "widget", "notice", "menu nav", "ad",
+]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_of_all_names_keep_their_text(name, inner):
+    words = " ".join(f"word{i}" for i in range(80))
+    page = f"<body><nav>home</nav><div class='{name}'><{inner}><p>{words}</p></{inner}></div><footer>me</footer></body>"
+    assert main_text(page, Weights()) == words
+    assert main_text(page.replace("class", "id"), Weights()) == words
+
+
+def test_role_main_is_a_label():
+    page = "<p>before it all</p><div role=main class=no-header><p>one two three</p></div><p>and after</p>"
+    assert main_text(page, Weights({">p.": -1.0})) == "one two three"
+
+
+BODY = "<p>" + "the text goes on " * 10 + "</p>"
+TEXT = ("the text goes on " * 10).strip()
+
+
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ('<h1 class="article-header">A head</h1>', "A head"),
+        ('<div class="related-work">Earlier work</div>', "Earlier work"),
+        ('<p>Market <span class="share">share</span> grew, see <code class="search">find()</code> now</p>',
+         "Market share grew, see find() now"),
+        ('<article class="comment"><p>what a great article</p></article>', ""),
+        ('<div id="comments"><p>first</p><div class=c>second</div></div>', ""),
+        ("<div hidden>not shown</div>", ""), ('<p style="color:red; display: none">not shown</p>', ""),
+        ('<div aria-hidden="true"><p>not shown</p></div>', ""), ('<p hidden="until-found">x</p>', ""),
+        ("<aside>buy</aside>", ""), ('<div class="ad">buy this</div>', ""), ('<ul role="navigation"><li>a</ul>', ""),
+        ("<p data-hidden=1>is shown</p>", "is shown"), ("<footer>tags: a b</footer>", ""),
+        ("<header><h1>Head of text</h1></header>", "Head of text"), ('<a class="share">A link</a>', "A link"),
+    ],
+)
+def test_boxes_within_the_text(inside, text):
+    page = f"<body><article>{BODY}{inside}{BODY}</article></body>"
+    assert main_text(page, Weights()) == " ".join(f"{TEXT} {text} {TEXT}".split())
+
+
+def test_comment_articles_beside_the_text_stay_out():
+    page = f"<article>{BODY}</article>" + "<article class='comment odd'><p>I liked it a lot</p></article>" * 20
+    assert main_text(page, Weights()) == TEXT
+
+
+def test_a_name_is_judged_by_what_labelled_pages_say(spark):
+    """A site that calls blocks of its text "notice" keeps them, and loses its "side" blocks."""
+    own = "<div class=notice>Mind the gap it is wide</div>"
+    page = f"<div class=side>Our other sites are here</div><article>{BODY}{own}{BODY}</article>"
+    rows = [(i, "u", page + f"<!-- {i} -->") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    weights = learn_weights(pages)
+    assert weights.name("notice") > 0 > weights.name("side")
+    assert main_text(page, weights) == f"{TEXT} Mind the gap it is wide {TEXT}"
+    assert main_text(page, Weights()) == f"{TEXT} {TEXT}"
+    assert main_text(page.replace("class=notice", "class=side"), weights) == f"{TEXT} {TEXT}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>x" * 100_000, "<b>" * 50_000 + "<div></div>x " * 50_000, "<div>" * 100_000 + "</span>y" * 100_000,
+     "<p><x-y>" * 50_000 + "<b>" * 50_000 + "<div></div>" * 50_000, "<ul><li>z" * 60_000, "<li><b>" * 60_000],
+)
+def test_time_is_linear_in_nesting(page):
+    begun = time.process_time()
+    main_text(page, Weights())
+    assert time.process_time() - begun < 5
