@@ -17,7 +17,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
+
+from leafmill.llm.tables import Workspace
+from leafmill.operators.shaping import once
 
 SEPARATOR = b"\r\n\r\n"
 VERSION = "WARC/1.1"
@@ -74,34 +76,61 @@ def write_warc(
     their own. Empty input writes an archive without records.
     """
     payload = F.coalesce(payload_col, F.lit(""))
-    digest, page_id = F.sha2(payload, 256), F.col(id_col)
-    order = F.struct(page_id.isNull().alias("none"), page_id.alias("id"))
-    first = (
-        pages.where(F.octet_length(payload) >= LEAST_REVISIT)
-        .groupBy(digest.alias("digest"))
-        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
+    page_id = F.col(id_col)
+    rows = pages.select(
+        F.sha2(payload, 256).alias("digest"),
+        F.struct(page_id.isNull().alias("none"), page_id.alias("id")).alias("order"),
+        F.col(url_col).alias("url"),
+        payload.alias("payload"),
+    )
+    small = F.octet_length("payload") < LEAST_REVISIT
+    large = rows.where(~small)
+    work = Workspace(pages.sparkSession, "captures")
+    copied = work.put(
+        large.groupBy(F.col("digest").alias("copied"))
+        .agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .select("digest", "first")
+        .select("copied", "first"),
+        "copied",
     )
-    rows = pages.select(
-        digest.alias("digest"), order.alias("order"), F.col(url_col).alias("url"), payload.alias("payload")
-    ).join(first, "digest", "left")
-    # Full repeats of a row are told apart by a number, 0 for all others.
-    repeats = Window.partitionBy("digest", "order").orderBy("url")
-    rows = rows.withColumn("copy", F.row_number().over(repeats) - 1)
-    name = F.concat_ws(
-        "-",
-        F.coalesce(F.col("order.id").cast("string"), F.lit("none")),
-        F.substring("digest", 1, 16),
-        F.col("copy").cast("string"),
+    same = F.col("digest") == F.col("copied")
+    nothing = F.lit(None).cast(copied.schema["first"].dataType).alias("first")
+    # Payloads of one kind never meet: rows that are no copy are written where they are or, if
+    # large, tell so by a join that Spark can split, and originals are reduced before they move.
+    alone = rows.where(small).unionByName(large.join(copied, same, "left_anti"))
+    original = (
+        large.join(copied, same & (F.col("order") == F.col("first")), "left_semi")
+        .groupBy("digest")
+        .agg(F.min_by(F.struct("order", "url", "payload"), F.struct(F.col("url").isNotNull(), "url")).alias("row"))
+        .select("digest", "row.order", "row.url", "row.payload")
+    )
+    # Revisits have no payload. Of the rows alike in digest and id with an original all but one are.
+    narrow = large.select("digest", "order", "url").join(copied, same).drop("copied")
+    least = F.min(F.struct(F.col("url").isNotNull(), "url")).alias("least")
+    repeated = narrow.where("order = first").groupBy("digest", "order", "first", "url").agg(F.count(F.lit(1)).alias("n"))
+    least = repeated.groupBy(F.col("digest").alias("of")).agg(least)
+    more = (
+        repeated.join(least, F.col("digest") == F.col("of"))
+        .withColumn("n", F.col("n") - F.col("url").eqNullSafe(F.col("least.url")).cast("int"))
+        .where("n > 0")
+        .select("digest", "order", "url", "first", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
+        .drop("k")
     )
-    original = F.concat_ws(
-        "-",
-        F.coalesce(F.col("first.id").cast("string"), F.lit("none")),
-        F.substring("digest", 1, 16),
-        F.lit("0"),
+    revisits = narrow.where("order <> first").unionByName(more).withColumn("payload", F.lit(""))
+    captures = (
+        alone.select("*", nothing, F.lit(False).alias("revisit"), F.lit(False).alias("original"))
+        .unionByName(original.select("*", nothing, F.lit(False).alias("revisit"), F.lit(True).alias("original")))
+        .unionByName(revisits.select("*", F.lit(True).alias("revisit"), F.lit(False).alias("original")))
     )
-    revisit = F.col("first").isNotNull() & ((F.col("order") != F.col("first")) | (F.col("copy") > 0))
+
+    def named(order: str, last: Column) -> Column:
+        number = F.coalesce(F.col(f"{order}.id").cast("string"), F.lit("none"))
+        return F.concat_ws("-", number, F.substring("digest", 1, 16), last)
+
+    # Only an original is named by others; all others are told apart by chance.
+    captures = once(captures, name=named("order", F.when(F.col("original"), F.lit("0")).otherwise(F.expr("uuid()"))))
+    name, revisit = F.col("name"), F.col("revisit")
+    referred = named("first", F.lit("0"))
     url, own = F.col("url"), _urn("main", name)
     host = F.coalesce(F.regexp_extract(url, "^[a-z]+://([^/?#]+)", 1), F.lit(""))
     target = F.coalesce(F.regexp_replace(url, r"\s", "%20"), F.lit("/"))
@@ -113,17 +142,18 @@ def write_warc(
         _record(
             F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
             own,
-            F.when(revisit, F.lit("")).otherwise(F.col("payload")),
+            F.col("payload"),
             profile=F.when(revisit, F.lit(REVISIT_PROFILE)),
-            refers_to=F.when(revisit, _urn("main", original)),
+            refers_to=F.when(revisit, _urn("main", referred)),
             payload_digest_stated=F.concat(F.lit("sha256:"), "digest"),
             **common,
         ),
         _record("metadata", _urn("metadata", name), told, concurrent_to=own, **common),
     )
-    rows.select(F.explode(records)).write.option("lineSep", SEPARATOR.decode()).option(
+    captures.select(F.explode(records)).write.option("lineSep", SEPARATOR.decode()).option(
         "compression", "gzip"
     ).text(path)
+    work.drop(copied)
     return path
 
 
@@ -243,17 +273,18 @@ def assemble_captures(records: DataFrame) -> DataFrame:
         .join(beside, "record_id", "left")
         .withColumns({"requests": F.coalesce("requests", none), "metadata": F.coalesce("metadata", none)})
     )
-    originals = captures.where("record_type <> 'revisit'").select(
+    revisit = F.col("record_type") == "revisit"
+    originals = captures.where(~revisit).select(
         F.col("record_id").alias("refers_to"),
         F.struct("record_id", "target_uri", "payload_bytes", "payload_digest", "metadata").alias("original"),
     )
+    # Only revisits refer to others: the rest is not joined, where all would meet at NULL.
     stated = F.regexp_replace("payload_digest_stated", "^sha256:", "")
-    revisit = F.col("record_type") == "revisit"
-    return captures.join(originals, "refers_to", "left").withColumns(
+    again = captures.where(revisit).join(originals, "refers_to", "left").withColumns(
         {
-            "payload_bytes": F.when(revisit, F.col("original.payload_bytes")).otherwise(F.col("payload_bytes")),
-            "payload_digest": F.when(revisit, F.coalesce("original.payload_digest", stated)).otherwise(
-                F.col("payload_digest")
-            ),
+            "payload_bytes": F.col("original.payload_bytes"),
+            "payload_digest": F.coalesce("original.payload_digest", stated),
         }
-    ).drop("payload_digest_stated")
+    )
+    none = F.lit(None).cast(originals.schema["original"].dataType)
+    return captures.where(~revisit).withColumn("original", none).unionByName(again).drop("payload_digest_stated")

@@ -83,3 +83,42 @@ def test_foreign_archives(spark, tmp_path):
 def test_empty_input(spark, pages, work):
     records = read_warc(spark, write_warc(pages.limit(0), f"{work.path}/two"))
     assert records.collect() == [] and assemble_captures(records).collect() == []
+
+
+def test_many_equal_pages_are_spread(spark, work):
+    """Half of the pages are one page, a tenth are full repeats and a fifth are empty, broadcasts off."""
+    big = "<p>" + "all the same " * 20
+    rows = [
+        (0 if i % 10 == 0 else i, f"http://h{i % 7}.org/" if i % 10 else None, big if i % 2 == 0 else "" if i % 5 == 0 else f"{big}{i}")
+        for i in range(4000)
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(8)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        records = work.put(read_warc(spark, write_warc(pages, f"{work.path}/hot")), "records")
+        captures = assemble_captures(records)
+        plan = captures._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+        sizes = captures.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        found = captures.collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert len(found) == len(rows) and len({c.record_id for c in found}) == len(rows)
+    by_type = {t: sum(c.record_type == t for c in found) for t in ("response", "revisit")}
+    equal = sum(h == big for *_, h in rows)
+    assert by_type == {"response": len(rows) - equal + 1, "revisit": equal - 1}
+    assert {bytes(c.original.metadata[0].payload) for c in found if c.record_type == "revisit"} == {b"pageId: 0"}
+    want = sorted((f"pageId: {i}", len(h.encode()), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows)
+    assert sorted((bytes(c.metadata[0].payload).decode(), c.payload_bytes, c.payload_digest) for c in found) == want
+
+
+def test_full_repeats_of_an_original(spark, work):
+    rows = [(1, u, BIG) for u in ("http://b.org/", "http://a.org/", "http://a.org/", None, "http://b.org/")] + [(2, "u", BIG)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    found = assemble_captures(read_warc(spark, write_warc(pages, f"{work.path}/full"))).collect()
+    assert sorted(str(c.target_uri) for c in found) == sorted(str(u) for _, u, _ in rows)
+    assert sorted(c.record_type for c in found) == ["response"] + ["revisit"] * 5
+    assert len({c.record_id for c in found}) == 6
