@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from leafmill.llm.tables import Workspace, text_key
+from leafmill.llm.tables import Workspace, fresh, text_key
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -262,6 +262,7 @@ def without_contaminated(
     found = contamination(
         keyed, items, width=width, id_col="key", item_id_col=item_id_col, item_text_col=item_text_col
     )
-    bad = found.where("contaminated").select(F.col("key").alias("__text_key")).distinct()
-    marked = docs.withColumn("__text_key", text_key(F.col(text_col)))
-    return marked.join(bad, "__text_key", "left_anti").select(*docs.columns)
+    own = fresh("__text_key", docs.columns)
+    bad = found.where("contaminated").select(F.col("key").alias(own)).distinct()
+    marked = docs.withColumn(own, text_key(F.col(text_col)))
+    return marked.join(bad, own, "left_anti").select(*docs.columns)

@@ -157,9 +157,13 @@ def learn_languages(
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = SAMPLE_DOCS,
+    with_none: bool = False,
 ) -> LanguageModel:
     """Train on a sample of at most ``sample_docs`` documents of each language.
 
+    ``with_none`` adds a class ``und`` for what is none of them, learned from windows made of the
+    sample's by ``no_language``; a model without it always answers with a language.
+
     Sampled are the documents with the smallest hashes of id and text, among those with a
     letter in their text and a label. Per document up to ``SAMPLE_WINDOWS`` windows, evenly
     spaced, are used, cut in their middle for every second one so that short texts are
@@ -203,9 +207,46 @@ def learn_languages(
             part = part[: int(rng.integers(24, WINDOW))]
         windows[i, : len(part)] = part
     labels = np.array([languages.index(row["lang"]) for row in rows], np.int64)
+    if with_none and len(rows):
+        made = no_language(windows, rng)
+        windows, labels = np.concatenate([windows, made]), np.append(labels, [len(languages)] * len(made))
+        languages = [*languages, UNKNOWN]
     return train(windows, labels, languages)
 
 
+# First code points and sizes of alphabets from which letters are drawn for no language.
+ALPHABETS = [(0x61, 26), (0x41, 26), (0x30, 10), (0x430, 32), (0x3B1, 24), (0x5D0, 27), (0x627, 36), (0x905, 50),
+             (0xE01, 46), (0x3041, 83), (0x4E00, 2000), (0xAC00, 2000), (0xE0, 31)]
+
+
+def no_language(windows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """About as many windows that are no language as each has: for every sixth one of those given,
+    in turn, its bytes in any order, its words' letters in any order, or words of random letters of
+    one alphabet (of letters and digits, for every other)."""
+    out = []
+    for i, row in enumerate(windows[::6]):
+        text = row[: np.max(np.flatnonzero(row), initial=0) + 1].tobytes()
+        if i % 3 == 0:
+            made = bytes(rng.permutation(list(text)).astype(np.uint8))
+        elif i % 3 == 1:
+            words = text.decode("utf-8", "ignore").split(" ")
+            letters = rng.permutation(list("".join(words)))
+            cuts = np.cumsum([0, *map(len, words)])
+            made = " ".join("".join(letters[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)).encode()
+        else:
+            first, size = ALPHABETS[int(rng.integers(len(ALPHABETS)))]
+            points = first + rng.integers(0, size, len(text))
+            if i % 2:
+                points = np.where(rng.random(len(text)) < 0.3, 0x30 + rng.integers(0, 10, len(text)), points)
+            points[rng.random(len(text)) < rng.choice([0.02, 0.15])] = 0x20
+            made = "".join(map(chr, points)).encode()[: len(text)]
+        part = np.frombuffer(made[: windows.shape[1]], np.uint8)
+        filled = np.zeros(windows.shape[1], np.uint8)
+        filled[: len(part)] = part
+        out.append(filled)
+    return np.stack(out)
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
 
@@ -243,7 +284,8 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, text_col: str =
 
     The score is the mean probability of the predicted language over all windows, by their
     length. ``und`` with score 0 where the text is null or has no letter, or the model
-    knows no language. Columns with these names are replaced.
+    knows no language. Columns with these names are replaced; repeated rows are judged alike, and
+    an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
@@ -258,11 +300,15 @@ def identify_language(docs: DataFrame, model: LanguageModel, *, text_col: str =
 
 
 def known_language(
-    docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least_score: float = 0.3
+    docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least_score: float = 0.5
 ) -> DataFrame:
     """The rows of ``docs`` whose language is recognised with at least ``least_score``.
 
-    All columns stay as they are. A model without languages keeps every text with a letter.
+    With a model that knows ``und`` (``learn_languages(..., with_none=True)``) texts that are most
+    likely none of its languages go, and so do null texts, those without a letter, and those of
+    which no language has half of the windows' probability. All columns stay as they are, whatever
+    their names; repeated rows are judged alike. A model without languages keeps every text with a
+    letter; an empty table gives no rows.
     """
     if not model.languages:
         return docs.where(has_letter(F.col(text_col)))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from leafmill.llm.tables import Workspace, text_key
+from leafmill.llm.tables import Workspace, fresh, text_key
 
 BLANKS = "\t\n\x0b\x0c\r "
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -340,25 +340,24 @@ def drop_common_lines(docs: DataFrame, index: LineIndex, *, text_col: str = "tex
     text. All other columns stay as they are; columns named ``n_lines`` and ``n_dropped``
     are replaced.
     """
-    found = common_lines(docs, index, text_col=text_col).withColumnsRenamed(
-        {"text_key": "__text_key", "dropped": "__dropped"}
-    )
+    key, dropped, own = (fresh(c, [*docs.columns, "n_lines", "n_dropped"]) for c in ("__text_key", "__dropped", "__cut"))
+    found = common_lines(docs, index, text_col=text_col).withColumnsRenamed({"text_key": key, "dropped": dropped})
     marked = docs.withColumns(
-        {"__text_key": text_key(F.col(text_col)), text_col: F.coalesce(text_col, F.lit(""))}
-    ).join(found, "__text_key", "left")
+        {key: text_key(F.col(text_col)), text_col: F.coalesce(text_col, F.lit(""))}
+    ).join(found, key, "left")
     n_lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"))) + 1
-    some = F.col("__dropped").isNotNull()
+    some = F.col(dropped).isNotNull()
     # Only texts that lose lines go to Python.
-    cut = _without(F.when(some, F.col(text_col)), F.col("__dropped"))
+    cut = _without(F.when(some, F.col(text_col)), F.col(dropped))
     counted = marked.withColumns(
         {
             "n_lines": n_lines.cast("bigint"),
-            "n_dropped": F.coalesce(F.size("__dropped"), F.lit(0)).cast("bigint"),
-            "__cut": cut,
+            "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("bigint"),
+            own: cut,
         }
     )
     names = [*docs.columns, *[c for c in ("n_lines", "n_dropped") if c not in docs.columns]]
-    return counted.withColumn(text_col, F.coalesce("__cut", text_col)).select(*names)
+    return counted.withColumn(text_col, F.coalesce(own, text_col)).select(*names)
 
 
 def dedup_lines(

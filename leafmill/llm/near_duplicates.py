@@ -398,19 +398,22 @@ def keep_one_per_group(
     """The rows of ``docs`` without near duplicates, one of each group, all columns as they are.
 
     The row with the smallest id stands for its group (of rows with that id, the one whose
-    text has the smallest key; of full repeats, one). Rows without words all stay.
+    text has the smallest key; of full repeats, one). Rows without words all stay. Columns may have
+    any names; an empty table stays empty.
     """
     texts = near_duplicate_texts(
         docs, id_col=id_col, text_col=text_col, width=width, percent=percent
     )
-    key, row = "__text_key", "__row_key"
     heads = texts.where("n_shingles > 0 AND key = kept_key").select(
-        row_key(F.col("component_id"), F.lit("")).alias("__id_key"), F.col("key").alias(key)
+        row_key(F.col("component_id"), F.lit("")).alias("id_key"), "key"
     )
-    empty = texts.where("n_shingles = 0").select(F.col("key").alias(key))
-    marked = docs.withColumns(
-        {key: text_key(F.col(text_col)), "__id_key": row_key(F.col(id_col), F.lit(""))}
+    empty = texts.where("n_shingles = 0").select("key")
+    # The row's own columns are kept apart from the keys, whatever their names.
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        text_key(F.col(text_col)).alias("key"),
+        row_key(F.col(id_col), F.lit("")).alias("id_key"),
     )
-    kept = marked.join(heads, [key, "__id_key"], "left_semi").dropDuplicates([key, "__id_key"])
-    wordless = marked.join(empty, key, "left_semi")
-    return kept.unionByName(wordless).select(*docs.columns)
+    kept = marked.join(heads, ["key", "id_key"], "left_semi").dropDuplicates(["key", "id_key"])
+    wordless = marked.join(empty, "key", "left_semi")
+    return kept.unionByName(wordless).select("doc.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leafmill.settings import shared_dir
+from leafmill.settings import remove_folder, shared_dir
 
 
 # Rows that go to a Python worker at a time: whole documents, so fewer than Spark's default.
@@ -43,13 +43,15 @@ class Workspace:
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         for table in tables:
-            remove(self.spark, table._workspace_path)
+            remove_folder(self.spark, table._workspace_path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, wherever Spark keeps it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_key(text: Column) -> Column:

@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from leafmill.llm.language import (
-    WIDTHS, LanguageModel, identify_language, known_language, learn_languages, pooled, _gradients,
+    UNKNOWN, WIDTHS, LanguageModel, identify_language, known_language, learn_languages, pooled, _gradients,
 )
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -87,3 +88,29 @@ def test_without_labels(none, hard):
     model = learn_languages(none)
     assert {r.lang_pred for r in identify_language(hard, model).collect()} == {"und"}
     assert known_language(hard, model).count() == 12
+
+
+def test_what_is_no_language_is_rejected_and_languages_are_kept(spark):
+    """Held-out documents stay; the same with their characters shuffled, and other texts, go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = learn_languages(docs.where(~held), with_none=True)
+    clean = docs.where(held & (F.length("text") >= 100))
+    assert known_language(clean, model).count() >= 0.99 * clean.count()
+    mixed = clean.withColumn("text", F.expr("array_join(shuffle(split(text, '')), '')"))
+    assert known_language(mixed, model).count() <= 0.06 * mixed.count()
+    other = [
+        "0a9f8e7d6c5b4a39 28170f1e2d3c4b5a " * 10, "QmFzZTY0IGVuY29kZWQgdGV4dCBsb29rcyBsaWtlIHRoaXM" * 8,
+        "человек время дом рука слово жизнь день работа город " * 8, "的一是不了人我在有他这为之大来以个中上们到说国和地也子时道出" * 8,
+        "qxz wvkj ptfg hbd zzqk xcvb mnrt lkjh gfds qwpx " * 8, "", None, "   ", "!!! ???",
+    ]
+    rows = spark.createDataFrame([(i, t, 5.0, "x") for i, t in enumerate(other)], "doc_id int, text string, score double, lang_pred string")
+    assert known_language(rows, model).collect() == []
+    assert known_language(rows.limit(0), model).columns == rows.columns
+
+
+def test_the_class_of_no_language_is_left_out_unless_asked_for(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i}", "en") for i in range(30)], "doc_id int, text string, lang string")
+    assert learn_languages(docs).languages == ["en"]
+    assert learn_languages(docs, with_none=True).languages == ["en", UNKNOWN]
+    assert learn_languages(docs.limit(0), with_none=True).languages == []
