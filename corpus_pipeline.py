@@ -18,15 +18,19 @@ from leafmill.llm.tables import Workspace
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and those that fit none of the labelled languages."""
-    return known_language(docs, learn_languages(docs))
+    """Rejects texts without letters and those that fit none of the labelled languages.
+
+    Null and empty texts go, repeated rows are judged alike, an empty table stays empty.
+    """
+    return known_language(docs, learn_languages(docs, with_none=True))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines found in ten different texts or more out of all texts.
 
     Copies of one text count once here, as the next stage is there to remove them. All
-    documents stay, if need be with an empty text; ``n_chars`` follows the text.
+    documents stay, if need be with an empty text; ``n_chars`` follows the text. A null text is
+    empty; repeated rows stay, each without the lines. An empty table stays empty.
     """
     kept = dedup_lines(docs, min_docs=10, min_chars=1, distinct_texts=True)
     if "n_chars" in docs.columns:
@@ -35,17 +39,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at a similarity of 0.8 over five-word shingles stays."""
+    """One document of each group at a similarity of 0.8 over five-word shingles stays.
+
+    Of repeated rows one stays; texts without words all stay. An empty table stays empty.
+    """
     return keep_one_per_group(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with ten words in a row of a benchmark item go."""
+    """Documents with ten words in a row of a benchmark item go.
+
+    A null text has no words and stays; repeated rows go or stay together. Without items, or
+    without documents, nothing changes.
+    """
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens."""
+    """Sequences of 2048 tokens; a null or empty text is one separator, an empty table no rows."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
