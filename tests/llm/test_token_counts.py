@@ -48,3 +48,32 @@ def test_documents(hard, hard_rows, none):
     assert len(found) == len(hard_rows)
     assert sorted(map(repr, expected)) == sorted(repr(f) for f in found if f[0] not in (9, 10))
     assert token_counts(none, MODEL).collect() == []
+
+
+def test_long_words_equal_the_trie_and_need_little_memory():
+    import tracemalloc
+
+    from leafmill.llm.token_counts import LONG_WORD, PrefixTrie, count_long, count_words
+
+    scores, byte_score = piece_scores(MODEL)
+    longest = max(map(len, scores))
+    for word in ("\u2581" + "international" * 40, "\u2581" + "日本é" * 150, "\u2581" + "ab\U0001f600" * 100, "\u2581"):
+        assert count_long(word, scores, byte_score, longest) == PrefixTrie(scores, byte_score).insert(word)
+    base64 = "QmFzZTY0IGVuY29kZWQgdGV4dA" * 4_000
+    tracemalloc.start()
+    count_words({base64, "x" * LONG_WORD}, scores, byte_score)
+    assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    tracemalloc.stop()
+
+
+def test_scores_of_a_unigram_file_are_used():
+    from leafmill.llm.token_counts import SCALE, unigram_scores, zipf_score
+
+    ranks, byte_score = unigram_scores(["a", "b", "c"], [0.0, -1.0, -2.0])
+    assert ranks == {"a": zipf_score(0), "b": zipf_score(1), "c": zipf_score(2)} and byte_score < min(ranks.values())
+    own, byte_score = unigram_scores(["a", "b", "ab"], [-2.5, -3.25, -9.0])
+    assert own == {"a": -2.5 * SCALE, "b": -3.25 * SCALE, "ab": -9 * SCALE} and byte_score == -11 * SCALE
+    from leafmill.llm.token_counts import count_words
+
+    counts = count_words({"ab"}, {**own, "\u2581": 0}, byte_score)
+    assert counts["ab"] == 3  # the two letters are likelier than their pair
