@@ -45,11 +45,10 @@ def zipf_score(rank: int) -> int:
 def unigram_scores(names: list[str], given: list[float]) -> tuple[dict[str, int], int]:
     """Scores of pieces in millionths, and the score of a byte.
 
-    ``given`` are the file's scores. A merge vocabulary has ranks there, one less from piece to
-    piece; then Zipf's law gives the scores. Otherwise a byte scores below the worst piece.
+    ``given`` are the file's scores. A merge vocabulary has ranks there, whole numbers; then
+    Zipf's law gives the scores. Otherwise a byte scores below the worst piece.
     """
-    steps = {b - a for a, b in zip(given[:-1], given[1:], strict=True)}
-    if steps <= {-1.0, 0.0}:
+    if all(score == int(score) for score in given):
         return {name: zipf_score(rank) for rank, name in enumerate(names)}, zipf_score(2 * len(names))
     scores = {name: round(SCALE * score) for name, score in zip(names, given, strict=True)}
     return scores, min(scores.values()) - 2 * SCALE

@@ -71,6 +71,8 @@ def test_scores_of_a_unigram_file_are_used():
 
     ranks, byte_score = unigram_scores(["a", "b", "c"], [0.0, -1.0, -2.0])
     assert ranks == {"a": zipf_score(0), "b": zipf_score(1), "c": zipf_score(2)} and byte_score < min(ranks.values())
+    found, _ = piece_scores(MODEL)  # a merge vocabulary
+    assert list(found.values()) == [zipf_score(rank) for rank in range(len(found))]
     own, byte_score = unigram_scores(["a", "b", "ab"], [-2.5, -3.25, -9.0])
     assert own == {"a": -2.5 * SCALE, "b": -3.25 * SCALE, "ab": -9 * SCALE} and byte_score == -11 * SCALE
     from leafmill.llm.token_counts import count_words
