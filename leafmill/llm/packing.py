@@ -9,7 +9,7 @@ number is fixed; when one more is needed, the fullest is closed.
 
 Each task packs the pieces it reads. What its open sequences hold at the end are units that
 are packed again, in groups of bounded size that are drawn anew each round, until what still
-has room is one group or a round saves next to nothing. Every piece is placed in any case.
+has room is one group or a round saves nothing. Every piece is placed in any case.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,34 +26,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from leafmill.llm.tables import Workspace
-from leafmill.llm.words import worker_cache
+from leafmill.llm.words import text_bytes, worker_cache
 
 LENGTH = 2048
 SEPARATOR = 0
 OPEN = 4096
 # Units that are packed together in one task when open sequences are packed again.
 GROUP_UNITS = 1 << 16
-# The share of sequences that a round over several groups must save for another to follow.
-LEAST_GAIN = 0.01
-# Words whose ids a worker remembers.
-REMEMBERED = 300_000
-# Blanks that are not single: their ids depend on what follows.
-UNEVEN = re.compile(r" \s| $")
-# White space as the vocabulary's pattern has it, in runs so long that tiktoken's matching of
-# them can overflow its stack.
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-LONG = 1000
-LONG_RUN = re.compile(f"(?<![{WHITE}])[{WHITE}]{{{LONG},}}")
-# Every LONG / 4th character of a text with such a run has four blanks in a row.
-SAMPLED_RUN = re.compile(f"[{WHITE}]{{4}}")
-
-
-def byte_bpe(path: str) -> Callable[[str], bytes]:
+# The end of the vocabulary's pattern: a run of white space leaves its last character to what
+# follows. Looking ahead makes matching slow, and on long runs overflows its stack, so runs are
+# found here and the rest is split without.
+RUN_RULE, ONE_BLANK = r"|\s+(?!\S)|\s+", r"|\s"
+# White space as the pattern has it.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN = re.compile(f"[{WHITE}]{{2,}}")
+ASCII_BLANK = np.zeros(256, bool)
+ASCII_BLANK[[9, 10, 11, 12, 13, 32]] = True
+WIDE_LEAD = np.zeros(256, bool)
+WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def may_have_runs(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each text (its bytes begin at ``starts``) whether white space may follow white space.
+
+    True also for bytes with which white space outside of ASCII begins.
+    """
+    blank = ASCII_BLANK[data]
+    at = np.flatnonzero((blank[1:] & blank[:-1]) | WIDE_LEAD[data[1:]])
+    out = np.zeros(len(starts) - 1, bool)
+    out[np.searchsorted(starts, at + 1, "right") - 1] = True
+    first = data[starts[:-1][starts[:-1] < starts[1:]]]
+    out[starts[:-1] < starts[1:]] |= WIDE_LEAD[first]
+    return out
+
+
+def byte_bpe(path: str) -> Callable[..., bytes]:
     """A function from a text to its ids (little-endian, four bytes each).
 
-    ``path`` is a vocabulary file: pairs of a base64 byte string and its rank. Splitting
-    never joins what a blank separates, so a text whose blanks are all single is encoded by
-    blank-separated part, and parts seen before are looked up.
+    ``path`` is a vocabulary file: pairs of a base64 byte string and its rank. A text is
+    encoded whole; a table of words seen before costs more than it saves. The function's second
+    argument may say that the text has no runs of white space, which saves looking for them.
     """
     held = worker_cache(f"byte-bpe {path}")
     if "encode" in held:
@@ -62,38 +75,28 @@ def byte_bpe(path: str) -> Callable[[str], bytes]:
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    if not public_tokenizers.PATTERN.endswith(RUN_RULE):
+        raise ValueError("the vocabulary splits white space in another way")
     own = tiktoken.Encoding(
-        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "own",
+        pat_str=public_tokenizers.PATTERN.removesuffix(RUN_RULE) + ONE_BLANK,
+        mergeable_ranks=ranks,
+        special_tokens={},
     )
 
-    def whole(text: str) -> bytes:
-        if not SAMPLED_RUN.search(text[:: LONG // 4]):
-            return np.asarray(own.encode_ordinary(text), "<u4").tobytes()
+    def encode(text: str, runs: bool = True) -> bytes:
+        run = RUN.search(text) if runs else None
+        if not run:
+            return array("I", own.encode_ordinary(text)).tobytes()
         ids, at = [], 0
-        for run in LONG_RUN.finditer(text):
-            # The pattern leaves a run's last blank to the word behind it.
+        while run:
             end = run.end() - (run.end() < len(text))
             ids += own.encode_ordinary(text[at : run.start()])
             ids += own._encode_single_piece(text[run.start() : end])
             at = end
+            run = RUN.search(text, run.end())
         ids += own.encode_ordinary(text[at:])
-        return np.asarray(ids, "<u4").tobytes()
-
-    class Parts(dict):
-        def __missing__(self, part: str) -> bytes:
-            ids = whole(" " + part)
-            if len(self) < REMEMBERED:
-                self[part] = ids
-            return ids
-
-    parts = Parts()
-    look_up = parts.__getitem__
-
-    def encode(text: str) -> bytes:
-        if UNEVEN.search(text):
-            return whole(text)
-        first, *rest = text.split(" ")
-        return whole(first) + b"".join(map(look_up, rest))
+        return array("I", ids).tobytes()
 
     held["encode"] = encode
     return encode
@@ -112,8 +115,9 @@ def _pieces(path: str, length: int, separator: int, with_ids: bool):
     def pieces(texts: pa.Array) -> pa.Array:
         encode = byte_bpe(path)
         counts, columns = [0], [[] for _ in fields]
-        for text in texts:
-            ids = encode(text.as_py() or "") + end
+        runs = may_have_runs(*text_bytes(texts)).tolist()
+        for text, some in zip(texts, runs, strict=True):
+            ids = encode(text.as_py() or "", some) + end
             total = len(ids) // 4
             bounds = [0, *range(total - (total - 1) // length * length, total + 1, length)]
             for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
@@ -289,7 +293,7 @@ def _merged(packed: DataFrame, work: Workspace, length: int) -> DataFrame:
     while True:
         heads = moves.where("unit = into").select(F.col("into").alias("unit"), "used")
         least, many = heads.agg(F.min("used"), F.count(F.lit(1))).first()
-        if left is not None and many > left * (1 - LEAST_GAIN):
+        if left is not None and many >= left:
             break
         left = many
         # What not even the smallest unit fits into is final.

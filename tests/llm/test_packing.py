@@ -4,12 +4,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from leafmill.llm import packing
 from leafmill.llm.packing import OpenSequences, byte_bpe, pack_documents
 from leafmill.llm.tables import Workspace
+from leafmill.llm.words import text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
@@ -45,6 +47,15 @@ def test_long_white_space_gives_the_tokenizers_ids(tokenizer):
         assert encode(text) == np.asarray(ids, "<u4").tobytes(), text[:5]
 
 
+def test_texts_with_runs_are_known_by_their_bytes():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ab é\n\t\x85\u3000\u2003") for _ in range(rng.randrange(6))) for _ in range(2000)]
+    found = packing.may_have_runs(*text_bytes(pa.array([*texts, None, " ", ""])))
+    assert all(flag or not packing.RUN.search(text) for flag, text in zip(found, texts, strict=False))
+    assert not packing.may_have_runs(*text_bytes(pa.array(["a b c", " ", "é à\tx", "a ", " b", None, ""]))).any()
+    assert packing.may_have_runs(*text_bytes(pa.array([], pa.string()))).tolist() == []
+
+
 def test_best_fit_and_fullest_closed_first():
     bins = OpenSequences(10, 2)
     assert bins.add("a", 6) == [] and bins.add("b", 7) == []
