@@ -30,6 +30,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARD_KEYS = 1 << 16
 # Copies of a shard's filter, times the shuffle partitions of the session.
 DEALS = 4
+# Changes after which counts are written as one table again.
+LAYERS = 8
+FILTER = "shard bigint, filter binary, many bigint"
 SLOTS = 4
 LOAD = 0.84
 KICKS = 500
@@ -116,24 +119,43 @@ def _pairs(keys: pa.Array) -> np.ndarray:
 
 
 def _build_filter(key: tuple, rows: pa.Table) -> pa.Table:
-    """The filter of one shard, from its old one (if any) and the keys that come and go."""
-    keys, signs = _pairs(rows["key"].combine_chunks()), rows["sign"].to_numpy()
-    old = rows["filter"].drop_null()
-    if len(old):
-        made = CuckooFilter(np.frombuffer(old[0].as_py(), np.uint16).copy())
-        for gone in keys[signs < 0]:
-            made.delete(gone)
-        whole = all(made.insert(new) for new in keys[signs > 0])
-    if not len(old) or not whole:
-        made = CuckooFilter.of(keys[signs >= 0])
+    """The filter of one shard from all of its keys."""
+    keys = _pairs(rows["key"].combine_chunks())
+    return _filter_row(key[0].as_py(), CuckooFilter.of(keys), len(keys))
+
+
+def _filter_row(shard: int, made: CuckooFilter | None, many: int) -> pa.Table:
+    table = made.table.tobytes() if made is not None else None
     return pa.table(
-        {"shard": pa.array([key[0].as_py()], pa.int64()), "filter": [made.table.tobytes()]}
+        {"shard": pa.array([shard], pa.int64()), "filter": pa.array([table], pa.binary()), "many": pa.array([many], pa.int64())}
     )
 
 
+def _update_filter(key: tuple, rows: pa.Table) -> pa.Table:
+    """The filter of one shard after some keys have come (sign 1) and gone (-1).
+
+    One row (sign 0) holds the old filter, if there is one. No filter comes out where the keys no
+    longer fit into the table.
+    """
+    signs = rows["sign"].to_numpy()
+    keys = _pairs(rows["key"].combine_chunks())
+    old = rows["filter"].drop_null()
+    many = int(signs.sum()) + sum(m or 0 for m in rows["many"].to_pylist())
+    if not len(old):
+        return _filter_row(key[0].as_py(), CuckooFilter.of(keys[signs > 0]), many)
+    made = CuckooFilter(np.frombuffer(old[0].as_py(), np.uint16).copy())
+    for gone in keys[signs < 0]:
+        made.delete(gone)
+    whole = all(made.insert(new) for new in keys[signs > 0])
+    return _filter_row(key[0].as_py(), made if whole else None, many)
+
+
 @dataclass
 class LineIndex:
-    """``counts`` (key, n), ``filters`` (shard, filter) and what they were made with."""
+    """``counts`` (key, n), ``filters`` (shard, filter, many) and what they were made with.
+
+    ``counts`` is a stored table with up to ``LAYERS`` layers of later changes over it.
+    """
 
     counts: DataFrame
     filters: DataFrame
@@ -141,6 +163,7 @@ class LineIndex:
     min_docs: int
     min_chars: int
     distinct_texts: bool
+    layers: int = 0
 
 
 def _document_keys(
@@ -181,68 +204,71 @@ def build_line_index(
     counts = work.put(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "counts")
     common = counts.where(F.col("n") >= min_docs)
     shards = max(1, -(-common.count() // SHARD_KEYS))
-    filters = (
-        common.select(
-            _shard(shards).alias("shard"),
-            "key",
-            F.lit(0).alias("sign"),
-            F.lit(None).cast("binary").alias("filter"),
-        )
-        .groupBy("shard")
-        .applyInArrow(_build_filter, "shard bigint, filter binary")
-    )
-    stored = work.put(filters, "filters")
-    return LineIndex(counts, stored, shards, min_docs, min_chars, distinct_texts)
+    filters = work.put(_built(common, shards), "filters")
+    return LineIndex(counts, filters, shards, min_docs, min_chars, distinct_texts)
+
+
+def _built(common: DataFrame, shards: int) -> DataFrame:
+    return common.select(_shard(shards).alias("shard"), "key").groupBy("shard").applyInArrow(_build_filter, FILTER)
 
 
 def _changed(index: LineIndex, docs: DataFrame, text_col: str, sign: int, work: Workspace) -> LineIndex:
+    """The state after documents have come (1) or gone (-1).
+
+    Written are the counts of their keys alone, as a layer over the others, and the filters of the
+    shards in which a key reaches the threshold or falls below it; such a filter gets those keys
+    alone. A filter is built anew only where its table is full, and all are, over more shards, when
+    they hold twice the keys they are meant for.
+    """
     keys = _document_keys(docs, text_col, index.min_chars, index.distinct_texts)
     change = keys.groupBy("key").agg((F.count(F.lit(1)) * sign).alias("change"))
-    both = work.put(
-        index.counts.join(change, "key", "full").select(
+    touched = work.put(
+        work.put(change, "change")
+        .join(index.counts.withColumnRenamed("n", "before"), "key", "left")
+        .select(
             "key",
-            F.coalesce("n", F.lit(0)).alias("before"),
-            (F.coalesce("n", F.lit(0)) + F.coalesce("change", F.lit(0))).alias("n"),
+            F.coalesce("before", F.lit(0)).alias("before"),
+            (F.coalesce("before", F.lit(0)) + F.col("change")).alias("n"),
         ),
-        "changes",
-    )
-    was, now = F.col("before") >= index.min_docs, F.col("n") >= index.min_docs
-    moves = both.where(was | now).select(
-        _shard(index.shards).alias("shard"),
-        "key",
-        F.when(was & now, 0).when(now, 1).otherwise(-1).alias("sign"),
-        F.lit(None).cast("binary").alias("filter"),
+        "touched",
     )
-    old = index.filters.select(
-        "shard", F.lit(b"\0" * 16).alias("key"), F.lit(-2).alias("sign"), "filter"
+    if touched.where("n < 0").limit(1).count():
+        raise ValueError("documents are to be removed that were never added")
+    counts = index.counts.join(touched.select("key"), "key", "left_anti").unionByName(
+        touched.where("n > 0").select("key", "n")
     )
-    filters = moves.unionByName(old).groupBy("shard").applyInArrow(
-        _update_filter, "shard bigint, filter binary"
-    )
-    counts = both.where("n > 0").select("key", "n")
-    return LineIndex(
-        work.put(counts, "counts"),
-        work.put(filters, "filters"),
-        index.shards,
-        index.min_docs,
-        index.min_chars,
-        index.distinct_texts,
+    layers = (index.layers + 1) % LAYERS
+    if not layers:
+        counts = work.put(counts, "counts")
+    was, now = F.col("before") >= index.min_docs, F.col("n") >= index.min_docs
+    moves = work.put(
+        touched.where(was != now).select(
+            _shard(index.shards).alias("shard"), "key", F.when(now, 1).otherwise(-1).alias("sign")
+        ),
+        "moves",
     )
-
-
-def _update_filter(key: tuple, rows: pa.Table) -> pa.Table:
-    import pyarrow.compute as pc
-
-    old = rows.filter(pc.equal(rows["sign"], -2))
-    rest = rows.filter(pc.greater(rows["sign"], -2))
-    if old.num_rows:
-        filters = pa.chunked_array(
-            [pa.array([old["filter"][0].as_py()] + [None] * (rest.num_rows - 1), pa.binary())]
-        ) if rest.num_rows else None
-        if filters is None:
-            return old.select(["shard", "filter"])
-        rest = rest.set_column(rest.schema.get_field_index("filter"), "filter", filters)
-    return _build_filter(key, rest)
+    filters, shards = index.filters, index.shards
+    grown = sum(r[0] or 0 for r in (filters.agg(F.sum("many")).first(), moves.agg(F.sum("sign")).first()))
+    common = counts.where(F.col("n") >= index.min_docs)
+    if grown > 2 * SHARD_KEYS * shards:
+        shards = -(-grown // SHARD_KEYS)
+        filters = work.put(_built(common, shards), "filters")
+    elif moves.limit(1).count():
+        stirred = moves.select("shard").distinct()
+        old = filters.join(stirred, "shard", "left_semi")
+        rows = moves.withColumns({"filter": F.lit(None).cast("binary"), "many": F.lit(None).cast("bigint")}).unionByName(
+            old.withColumns({"key": F.lit(b"\0" * 16), "sign": F.lit(0)})
+        )
+        made = work.put(rows.groupBy("shard").applyInArrow(_update_filter, FILTER), "updated")
+        full = made.where("filter IS NULL").select("shard")
+        again = common.withColumn("shard", _shard(shards)).join(full, "shard", "left_semi")
+        filters = work.put(
+            filters.join(stirred, "shard", "left_anti")
+            .unionByName(made.where("filter IS NOT NULL"))
+            .unionByName(again.groupBy("shard").applyInArrow(_build_filter, FILTER)),
+            "filters",
+        )
+    return LineIndex(counts, filters, shards, index.min_docs, index.min_chars, index.distinct_texts, layers)
 
 
 def add_documents(index: LineIndex, docs: DataFrame, work: Workspace, *, text_col: str = "text") -> LineIndex:
@@ -251,7 +277,7 @@ def add_documents(index: LineIndex, docs: DataFrame, work: Workspace, *, text_co
 
 
 def remove_documents(index: LineIndex, docs: DataFrame, work: Workspace, *, text_col: str = "text") -> LineIndex:
-    """The state without documents that were added before."""
+    """The state without documents that were added before; others are a ``ValueError``."""
     return _changed(index, docs, text_col, -1, work)
 
 
