@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leafmill.settings import remove_folder, shared_dir
@@ -18,6 +21,25 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+_collected: list[list[Workspace]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete, at its end, the tables of all operators that are called within.
+
+    For results that are written within, as nothing reads those tables then.
+    """
+    made: list[Workspace] = []
+    _collected.append(made)
+    try:
+        yield
+    finally:
+        _collected.remove(made)
+        for work in made:
+            remove_folder(work.spark, work.path)
+
+
 class Workspace:
     """Tables that one operator writes on its way; each is written once and read back.
 
@@ -30,6 +52,8 @@ class Workspace:
         self.spark = spark
         self.path = shared_dir(spark, purpose)
         self.count = 0
+        if _collected:
+            _collected[-1].append(self)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as a table and return what reads it."""

@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -103,3 +104,15 @@ def test_columns_of_any_name_pass_unchanged(spark, number):
     rows = out.collect()
     assert len(rows) > 20
     assert all(r[name] == f"{name}{r.doc_id}" for r in rows for name in names)
+
+
+def test_a_run_leaves_the_last_stage_alone_and_equals_the_stages(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in base.iterdir()}
+    found = corpus_pipeline.run(spark, SF_DIR)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in base.iterdir() if p.name not in before)
+    assert left == ["corpus", "packing"]
+    corpus = next(p for p in base.iterdir() if p.name not in before and p.name.startswith("corpus"))
+    assert [p.name for p in corpus.iterdir()] == ["4-decontaminate"]
+    kept = spark.read.parquet(str(corpus / "4-decontaminate"))
+    assert {r.doc_id for r in found.collect()} == {r.doc_id for r in kept.collect()}
