@@ -14,7 +14,7 @@ from leafmill.llm.language import known_language, learn_languages
 from leafmill.llm.line_dedup import dedup_lines
 from leafmill.llm.near_duplicates import keep_one_per_group
 from leafmill.llm.packing import pack_documents
-from leafmill.llm.tables import Workspace
+from leafmill.llm.tables import Workspace, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,10 +74,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read back."""
+    """All stages over ``documents``, each written and read back.
+
+    A stage's own tables, and its input, are deleted once its output is written; what the last
+    stage reads stays, as its result is not written here.
+    """
     work = Workspace(spark, "corpus")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = work.put(stage(spark, docs, sf_dir), name)
+        with scratch():
+            docs = work.put(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            work.drop(before)
+        before = docs
     name, stage = STAGES[-1]
     return stage(spark, docs, sf_dir)
