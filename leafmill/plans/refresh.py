@@ -33,7 +33,7 @@ from leafmill.operators.structure import (
     run_extractor,
 )
 from leafmill.schemas import PROMPT_MESSAGES, TABLE_COLUMNS, TABLE_NAME
-from leafmill.settings import shared_dir
+from leafmill.settings import remove_folder, shared_dir
 from leafmill.sources.files import scan_documents
 from leafmill.sources.sinks import write_extracted, write_structured
 
@@ -49,6 +49,11 @@ class Refresh:
     extraction: DataFrame
     structure: DataFrame
     load: dict[str, object]
+    work: str = ""
+
+    def forget(self) -> None:
+        """Delete what the frames here are read from; the table and the datasets stay."""
+        remove_folder(self.documents.sparkSession, self.work)
 
 
 def extract_documents(files: DataFrame, parser: str | Parser = "lines") -> DataFrame:
@@ -129,4 +134,5 @@ def refresh(
         extraction=extraction_metrics(extracted),
         structure=structured_metrics(documents, answers),
         load=loaded,
+        work=work,
     )

@@ -80,6 +80,42 @@ def test_refresh(spark, tmp_path):
     names = spark.read.json(str(tmp_path / "structured"), schema="name string")
     assert {r["name"] for r in names.collect()} == {"a_structured", "b.c_structured"}
 
+    done.forget()
+    assert not (tmp_path / "work").exists()
+    assert spark.table("refreshed").count() == 2 and names.count() == 2
+
+
+def test_unreadable_files_are_counted_and_the_rest_is_loaded(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "good.pdf").write_text("fine")
+    (raw / "gone.pdf").symlink_to(tmp_path / "nothing")
+    (raw / "sick.pdf").symlink_to("/proc/self/mem")
+    done = refresh(
+        spark, str(raw), parser="lines", table="partly_read",
+        work_path=str(tmp_path / "work"), table_path=str(tmp_path / "table"),
+    )
+    assert done.extraction.first().asDict() == {
+        "files_processed": 1, "total_files": 3, "failed_files": 2, "success_rate": "33.33%",
+    }
+    assert {r["filename"] for r in done.extraction_errors.collect()} == {"gone.pdf", "sick.pdf"}
+    assert [r["title"] for r in spark.table("partly_read").collect()] == ["fine"]
+
+
+def test_a_second_refresh_leaves_datasets_of_other_documents(spark, tmp_path):
+    for name, text in (("a", "one"), ("b", "two")):
+        raw = tmp_path / name
+        raw.mkdir()
+        (raw / f"{name}.pdf").write_text(text)
+        refresh(
+            spark, str(raw), parser="lines", table="in_turn", table_path=str(tmp_path / "table"),
+            extracted_path=str(tmp_path / "extracted"), structured_path=str(tmp_path / "structured"),
+        ).forget()
+    stems = spark.read.json(str(tmp_path / "extracted"), schema="stem string, content string").select("stem", "content")
+    assert {tuple(r) for r in stems.collect()} == {("a", "one"), ("b", "two")}
+    names = spark.read.json(str(tmp_path / "structured"), schema="name string")
+    assert {r["name"] for r in names.collect()} == {"a_structured", "b_structured"}
+
 
 def test_refresh_of_an_empty_folder(spark, tmp_path):
     done = refresh(
