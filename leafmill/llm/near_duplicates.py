@@ -140,8 +140,10 @@ def _sets(width: int):
     return sets
 
 
-# Members that are compared with as many others in one go.
+# Members that are compared with as many others in one go, and the shingles that count as one
+# member where full sets are compared: a side of a square has about two million.
 SQUARE = 512
+MEMBER_SHINGLES = 4096
 
 
 def _by_square(work_on):
@@ -327,7 +329,13 @@ def near_duplicate_texts(
     relatives = work.put(
         placed.select("node", "root").distinct().join(named, "root"), "relatives"
     )
-    many = relatives.groupBy("name").agg(F.count(F.lit(1)).alias("many"))
+    # Squares of long documents have fewer members, so that their sets fit.
+    large = F.ceil(F.sum("n") / MEMBER_SHINGLES)
+    many = (
+        relatives.join(nodes.select("node", "n"), "node")
+        .groupBy("name")
+        .agg(F.greatest(F.count(F.lit(1)), large).alias("many"))
+    )
     more = work.put(
         _squares(relatives.join(marked, "node").join(sets, "node"), many).mapInArrow(
             _joined_groups(percent, exact=True), "a bigint, b bigint"

@@ -27,8 +27,9 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 WINDOW_WORDS = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
-# Words whose pieces a worker remembers.
-REMEMBERED = 300_000
+# Bytes that a worker spends on remembered words and their pieces, what a word costs besides its
+# letters, and the longest that is remembered.
+REMEMBERED_BYTES, WORD_BYTES, LONGEST_REMEMBERED = 64 << 20, 150, 256
 # Pieces 3 to 258 of the vocabulary stand for single bytes.
 FIRST_BYTE_PIECE, LAST_BYTE_PIECE = 3, 258
 MEASURES = ("chars_per_token", "byte_share", "token_entropy")
@@ -134,11 +135,14 @@ def word_pieces(model: str):
     processor = sentencepiece.SentencePieceProcessor(model_file=model)
 
     class Pieces(dict):
+        size = 0
+
         def __missing__(self, word: bytes) -> bytes:
             ids = processor.encode(word.decode("utf-8", "replace"), num_threads=1)
             packed = np.asarray(ids, "<u2").tobytes()
-            if len(self) < REMEMBERED:
+            if len(word) <= LONGEST_REMEMBERED and self.size < REMEMBERED_BYTES:
                 self[word] = packed
+                self.size += len(word) + len(packed) + WORD_BYTES
             return packed
 
     held["look_up"] = Pieces().__getitem__

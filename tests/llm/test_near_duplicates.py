@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from leafmill.llm import near_duplicates
 from leafmill.llm.components import components
 from leafmill.llm.near_duplicates import (
     BANDS, ROWS, keep_one_per_group, near_duplicate_groups, signatures,
@@ -96,3 +97,12 @@ def test_components_of_long_chains_and_stars(spark, work):
     assert all(roots[i] == 0 for i in range(1, 201))
     assert all(roots[1000 + i] == 1000 for i in range(1, 50))
     assert 0 not in roots and 1000 not in roots
+
+
+def test_squares_of_long_documents_have_fewer_members_and_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "SQUARE", 8)
+    monkeypatch.setattr(near_duplicates, "MEMBER_SHINGLES", 20)
+    rows = family(size=40) + [(500 + i, t + " " + t) for i, t in family(seed=2, size=30)]
+    found = near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()
+    expected = [(i, n, c) for (i, _), (n, c) in zip(rows, groups(rows, 2), strict=True)]
+    assert sorted(tuple(r)[:3] for r in found) == sorted(expected)

@@ -134,3 +134,19 @@ def test_held_out_labels(spark):
 def test_bands_are_sent_to_all_tasks_without_moving_documents(spark, hard):
     plan = quality(hard, MODEL)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_remembered_words_are_bounded_by_bytes(monkeypatch):
+    from leafmill.llm import quality as module
+    from leafmill.llm.words import worker_cache
+
+    worker_cache("another one").clear()
+    monkeypatch.setattr(module, "REMEMBERED_BYTES", 4000)
+    look_up = word_pieces(MODEL)
+    held = look_up.__self__
+    first = [look_up(f"w{i}".encode()) for i in range(200)]
+    assert 10 < len(held) < 40
+    assert [look_up(f"w{i}".encode()) for i in range(200)] == first
+    look_up(b"x" * 1000)
+    assert max(map(len, held)) <= 256
+    worker_cache("another one").clear()
