@@ -273,7 +273,10 @@ def keep_last(df: DataFrame, key: str, order: str, *, tie: Sequence[str] = ()) -
     )
     same_key = F.col(key).eqNullSafe(F.col("_key"))
     lower = F.col("_last").isNotNull() & (F.col(order).isNull() | (F.col(order) < F.col("_last")))
-    if not repeated.where("_tied").limit(1).count():
+    some, some_tied = repeated.agg(F.count(F.lit(1)), F.bool_or("_tied")).first()
+    if not some:
+        return df
+    if not some_tied:
         return df.join(repeated, same_key & lower, "left_anti")
     alone = df.join(repeated, same_key & (F.col("_tied") | lower), "left_anti")
     tied = df.join(repeated.where("_tied"), same_key & F.col(order).eqNullSafe(F.col("_last")), "left_semi")

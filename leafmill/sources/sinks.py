@@ -61,9 +61,11 @@ def replace_named(df: DataFrame, path: str, name: str, buckets: int = BUCKETS, *
     """Write rows as JSON below ``path``: those of names that are there are replaced, others stay.
 
     ``name`` holds one row per name. The folders are those of the first write, whatever ``buckets``
-    says later. The new contents of all touched folders are written aside first and then put in
-    place by one dynamic partition overwrite, so a write that fails before leaves all as it was.
-    A dataset without such folders is taken over and laid out anew.
+    says later: take as many as make a folder a few gigabytes, since a write reads and writes whole
+    folders. A folder has as many files as its size asks for. When something is there, the new
+    contents of all touched folders are written aside first and then put in place by one dynamic
+    partition overwrite, so a write that fails before leaves all as it was. A dataset without such
+    folders is taken over and laid out anew.
     """
     spark = df.sparkSession
     folders = _subfolders(spark, path)
@@ -72,26 +74,32 @@ def replace_named(df: DataFrame, path: str, name: str, buckets: int = BUCKETS, *
         buckets = int(known[0][1])
     number = F.pmod(F.xxhash64(name), F.lit(buckets)).cast("string")
     bucket = F.concat(number, F.lit(f"-of-{buckets}")).alias("bucket")
+    new = df.select("*", bucket)
+    if folders is None:
+        _write_buckets(new, path, "static", options)
+        return path
     aside = shared_dir(spark, "named")
-    new = stored(df.select("*", bucket), f"{aside}/new")
-    merged = new
-    if folders is not None:
-        reader = spark.read.option("mode", "FAILFAST").option("maxStringLen", str((1 << 31) - 1))
-        if known:
-            touched = [row.bucket for row in new.select("bucket").distinct().collect()]  # ``buckets`` at most
-            old = reader.schema(new.schema).json(path).where(F.col("bucket").isin(touched))
-        else:
-            old = reader.schema(df.schema).json(path).select("*", bucket)
-        names = new.select(F.col(name).alias("_new"))
-        old = old.join(names, F.col(name).eqNullSafe(F.col("_new")), "left_anti")
-        merged = stored(old.unionByName(new), f"{aside}/merged")
-    how = "dynamic" if known or folders is None else "static"
-    writer = merged.repartition("bucket").write.partitionBy("bucket").mode("overwrite")
-    writer.option("partitionOverwriteMode", how).options(**options).json(path)
+    new = stored(new, f"{aside}/new")
+    reader = spark.read.option("mode", "FAILFAST").option("maxStringLen", str((1 << 31) - 1))
+    if known:
+        touched = [row.bucket for row in new.select("bucket").distinct().collect()]  # ``buckets`` at most
+        old = reader.schema(new.schema).json(path).where(F.col("bucket").isin(touched))
+    else:
+        old = reader.schema(df.schema).json(path).select("*", bucket)
+    names = new.select(F.col(name).alias("_new"))
+    old = old.join(names, F.col(name).eqNullSafe(F.col("_new")), "left_anti")
+    merged = stored(old.unionByName(new), f"{aside}/merged")
+    _write_buckets(merged, path, "dynamic" if known else "static", options)
     remove_folder(spark, aside)
     return path
 
 
+def _write_buckets(df: DataFrame, path: str, how: str, options: dict[str, str]) -> None:
+    """One JSON folder per bucket; Spark joins small ones in a task and splits large ones."""
+    writer = df.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite")
+    writer.option("partitionOverwriteMode", how).options(**options).json(path)
+
+
 def _subfolders(spark: SparkSession, path: str) -> list[str] | None:
     """Names in a folder, of which a dataset has as many as buckets; None if it is not there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
