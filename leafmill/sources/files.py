@@ -18,8 +18,10 @@ from leafmill.operators.shaping import error_text
 from leafmill.schemas import FILES, LISTING
 from leafmill.sources.listing import OpenFs, list_tree, open_by_uri, opens_in_tasks, qualified
 
-# Bytes of files that a reading task is given, and that a worker holds before it hands them on.
+# Bytes and number of files that a reading task is given, and bytes that a worker holds before it
+# hands them on.
 TASK_BYTES = 256 << 20
+TASK_FILES = 10_000
 HELD_BYTES = 32 << 20
 LONGEST = "spark.sql.sources.binaryFile.maxLength"
 
@@ -63,8 +65,8 @@ def read_contents(
 ) -> DataFrame:
     """Open every listed file within a task: the rows of ``list_tree`` with ``content``.
 
-    Rows are dealt out by number so that a task has about ``TASK_BYTES`` to read. A worker holds
-    one file and ``HELD_BYTES`` more. ``root`` is the URI that was listed; where Arrow has no file
+    Rows are dealt out by number so that a task has about ``TASK_BYTES`` to read, and no more than
+    about ``TASK_FILES`` files. A worker holds one file and ``HELD_BYTES`` more. ``root`` is the URI that was listed; where Arrow has no file
     system for it and ``open_fs`` is not given, Spark's own reader fetches the contents and a file
     it skips keeps its row.
     """
@@ -108,7 +110,7 @@ def read_contents(
 
     total, many = listed.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     cores = spark.sparkContext.defaultParallelism
-    tasks = max(1, min(many, max(cores, -(-total // TASK_BYTES))))
+    tasks = max(1, min(many, max(cores, -(-total // TASK_BYTES), -(-many // TASK_FILES))))
     return listed.repartition(tasks).mapInArrow(read, FILES)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from leafmill.operators.extract import extract_elements
 from leafmill.operators.metrics import extraction_metrics
 from leafmill.schemas import EXTRACTED, FILES, LISTING
+from leafmill.sources import files as sources_files
 from leafmill.sources.files import list_files, list_prefix, read_bytes, scan_documents
 from leafmill.sources.listing import list_tree, open_by_uri
 from leafmill.sources.json_documents import read_json_documents, read_json_objects
-from leafmill.sources.sinks import write_dataset, write_extracted, write_structured
+from leafmill.sources.sinks import _line_files, write_dataset, write_extracted, write_structured
 
 
 @pytest.fixture
@@ -261,6 +263,74 @@ def test_write_dataset(spark, tmp_path):
         write_dataset(lines, str(tmp_path / "p"), "parquet")
 
 
+def spark_writes(df, path):
+    df.write.option("maxRecordsPerFile", "1").text(path)
+
+
+def contents(path):
+    return sorted(p.read_bytes() for p in path.glob("part-*.txt"))
+
+
+def test_one_file_per_row_is_what_sparks_writer_makes(spark, tmp_path):
+    texts = ["a", "a", "é\nb", "", None, "x" * 100_000] * 7
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    spark_writes(df, str(tmp_path / "theirs"))
+    for _ in range(2):  # the second write replaces the first
+        assert write_dataset(df, f"{tmp_path}/o d[1]/ours", "text", maxRecordsPerFile="1") == f"{tmp_path}/o d[1]/ours"
+        assert contents(tmp_path / "o d[1]/ours") == contents(tmp_path / "theirs") == sorted(f"{t or ''}\n".encode() for t in texts)
+    assert len(list((tmp_path / "o d[1]/ours").iterdir())) == len(texts) + 2  # _SUCCESS and its checksum
+    assert [p.name for p in (tmp_path / "o d[1]").iterdir()] == ["ours"]
+    empty = spark.createDataFrame([], "text string")
+    write_dataset(empty, str(tmp_path / "empty"), "text", maxRecordsPerFile="1")
+    assert contents(tmp_path / "empty") == [] and spark.read.text(str(tmp_path / "empty")).count() == 0
+
+
+def test_a_failing_write_of_single_rows_leaves_what_was_there(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_dataset(spark.range(4).select(F.col("id").cast("string")), out, "text", maxRecordsPerFile="1")
+    bad = spark.range(4).select(F.when(F.col("id") < 3, "new").otherwise(F.raise_error(F.lit("no"))).alias("t"))
+    with pytest.raises(Exception, match="no"):
+        write_dataset(bad, out, "text", maxRecordsPerFile="1")
+    assert contents(tmp_path / "out") == [b"0\n", b"1\n", b"2\n", b"3\n"]
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    with pytest.raises(AnalysisException):
+        write_dataset(spark.range(2), str(tmp_path / "numbers"), "text", maxRecordsPerFile="1")
+
+
+def test_a_task_run_again_names_its_rows_alike(spark):
+    texts = ["b", None, "a", "b", ""]
+    made = [
+        _line_files(spark.createDataFrame([(t,) for t in some], "t string").coalesce(1), "/x").collect()
+        for some in (texts, texts[::-1])
+    ]
+    one, two = ([(r.path.split("-")[1], bytes(r.data)) for r in rows] for rows in made)
+    assert one == two and len(dict(one)) == 5
+
+
+def test_single_rows_go_to_schemes_that_only_hadoop_knows(spark, tmp_path):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.apart.link./in", f"file://{tmp_path}")
+    write_dataset(spark.createDataFrame([("a",), ("b",)], "t string"), "viewfs://apart/in/out", "text", maxRecordsPerFile="1")
+    assert [t for t in contents(tmp_path / "out") if t] == [b"a\n", b"b\n"]
+
+
+def test_a_task_writes_thousands_of_files_in_seconds(spark, tmp_path):
+    df = spark.range(0, 3000, 1, 1).select(F.col("id").cast("string"))
+    write_dataset(df.limit(3), str(tmp_path / "out"), "text", maxRecordsPerFile="1")
+    begun = time.monotonic()
+    write_dataset(df, str(tmp_path / "out"), "text", maxRecordsPerFile="1")
+    assert time.monotonic() - begun < 15  # by Spark's writer 36
+    assert len(contents(tmp_path / "out")) == 3000
+
+
+def test_reading_tasks_are_bounded_in_files(spark, tmp_path, monkeypatch):
+    for i in range(50):
+        (tmp_path / f"{i}.pdf").write_bytes(b"%d" % i)
+    monkeypatch.setattr(sources_files, "TASK_FILES", 4)
+    found = scan_documents(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 13
+    assert sorted(bytes(r.content) for r in found.collect()) == sorted(b"%d" % i for i in range(50))
+
+
 def extracted(spark, rows):
     return spark.createDataFrame(
         [(f"p/{s}", s and f"{s}.pdf", c, "d") for s, c in rows],
