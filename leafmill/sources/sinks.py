@@ -58,12 +58,12 @@ def _write_lines_apart(df: DataFrame, path: str) -> bool:
     try:
         write_files(_line_files(df, aside.toString()))
         fs.create(new_path(aside, "_SUCCESS"), True).close()
-        fs.delete(place, True)
-        if not fs.rename(aside, place):
-            raise OSError(f"{aside.toString()} could not be renamed to {path}")
     except Exception:
         remove_folder(spark, aside.toString())
         raise
+    fs.delete(place, True)
+    if not fs.rename(aside, place):
+        raise OSError(f"{path} could not be put in place; it is whole in {aside.toString()}")
     return True
 
 
